@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import lookalike, sentences, splitting
+from pagewright.llm import lookalike, sentences, splitting, truncation
 from pagewright.llm.tables import boxes, table
 
 
@@ -51,8 +51,21 @@ def p3_sentences(spark: SparkSession, sf: str) -> DataFrame:
     return sentences.sentences(boxes(table(spark, sf, "ocr_pages")), "box_key", "text")
 
 
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return truncation.truncated(table(spark, sf, "documents"), "doc_id", "text").select("doc_id").distinct()
+
+
+def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Cut documents per source (null is a source of its own)."""
+    documents = table(spark, sf, "documents")
+    cut = truncation.truncated(documents, "doc_id", "text")
+    marked = documents.select("doc_id", "source").join(cut, "doc_id", "left")
+    by = marked.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.count("evidence").alias("n_cut"))
+    return by.withColumn("cut_rate", F.col("n_cut") / F.col("n_docs"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_pieces, p3_found, p3_sentences)}
+    return {f.__name__: f for f in (p10_found, p10_rates, p1_found, p1_canonical, p2_found, p2_pieces, p3_found, p3_sentences)}
 
 
 def oracle_sql() -> dict[str, str]:
