@@ -189,17 +189,24 @@ def truncated(df: DataFrame, key: str, text: str) -> DataFrame:
     wanted = found.filter("state not in ('broken', 'line')").select("k", F.posexplode("contexts").alias("rank", "h")).filter("h is not null")
     contexts = bitmap(wanted, "h")
     hits = _follows(df, text, prefixes, contexts).groupBy("what", "h").agg(F.sum("ends").alias("ends"), F.sum("goes_on").alias("goes_on"))
-    copies = hits.filter("what = 0").select(F.col("h").alias("prefix"), F.col("ends").alias("copy_ends"), F.col("goes_on").alias("copy_goes_on"))
-    known = hits.filter(f"what = 1 and ends + goes_on >= {LEAST}").select("h", "ends", "goes_on")
+    # one join for prefixes and contexts, so that all texts are scanned once
+    asked = found.filter("state <> 'line'").select("k", F.lit(0).cast("tinyint").alias("what"), F.lit(-1).alias("rank"), F.col("prefix").alias("h"))
+    asked = asked.unionByName(wanted.select("k", F.lit(1).cast("tinyint").alias("what"), "rank", "h"))
+    answers = asked.join(hits, ["what", "h"])
+    known = (F.col("what") == 1) & (F.col("ends") + F.col("goes_on") >= LEAST)
     # the longest context that the corpus knows decides
-    best = wanted.join(known, "h").groupBy("k").agg(F.min_by(F.struct("ends", "goes_on"), "rank").alias("c"))
-    judged = found.join(copies, "prefix", "left").join(best, "k", "left")
+    best = answers.groupBy("k").agg(
+        F.min_by(F.when(known, F.struct("ends", "goes_on")), F.when(known, F.col("rank"))).alias("c"),
+        F.max(F.when(F.col("what") == 0, F.col("ends"))).alias("copy_ends"),
+        F.max(F.when(F.col("what") == 0, F.col("goes_on"))).alias("copy_goes_on"),
+    )
+    judged = found.join(best, "k", "left")
     least = F.coalesce(*[F.when(F.col("state") == k, F.lit(v)) for k, v in COMPLETE.items()])
     inside = F.coalesce(F.col("c.ends") / (F.col("c.ends") + F.col("c.goes_on")) < least, F.col("state") != "purpose")
     evidence = (
         F.when(F.col("state") == "line", F.lit(None))
-        .when(F.col("state") == "broken", "broken")
         .when(F.col("copy_goes_on") > F.coalesce("copy_ends", F.lit(0)), "copy")
+        .when(F.col("state") == "broken", "broken")
         .when(F.col("copy_ends") > 0, F.lit(None))
         .when(inside, "corpus")
     )
