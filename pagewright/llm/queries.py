@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import lookalike, markup, sentences, splitting, truncation
+from pagewright.llm import lookalike, markup, scan, sentences, splitting, truncation
 from pagewright.llm.tables import boxes, table
 
 
@@ -60,6 +60,15 @@ def p4_clean(spark: SparkSession, sf: str) -> DataFrame:
     return markup.marked(boxes(table(spark, sf, "ocr_pages")), "box_key", "text")
 
 
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return scan.defects(table(spark, sf, "ocr_pages"), spark)
+
+
+def p6_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    """Scanned pages as continuous paragraphs."""
+    return scan.paragraphs(table(spark, sf, "ocr_pages"), spark)
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return truncation.truncated(table(spark, sf, "documents"), "doc_id", "text").select("doc_id").distinct()
 
@@ -74,7 +83,7 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p4_found, p4_clean, p10_found, p10_rates, p1_found, p1_canonical, p2_found, p2_pieces, p3_found, p3_sentences)}
+    return {f.__name__: f for f in (p4_found, p4_clean, p6_found, p6_paragraphs, p10_found, p10_rates, p1_found, p1_canonical, p2_found, p2_pieces, p3_found, p3_sentences)}
 
 
 def oracle_sql() -> dict[str, str]:
