@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import lookalike, markup, scan, sentences, splitting, truncation
+from pagewright.llm import lookalike, markup, mixing, packing, scan, sentences, splitting, tokens, truncation
 from pagewright.llm.tables import boxes, table
 
 
@@ -69,6 +69,34 @@ def p6_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
     return scan.paragraphs(table(spark, sf, "ocr_pages"), spark)
 
 
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document in containers of each capacity."""
+    documents = table(spark, sf, "documents")
+    sized = tokens.sizes(documents, "doc_id", "text", "lang")
+    return packing.pack(sized, table(spark, sf, "pack_limits"), n_rows=documents.count())
+
+
+def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Containers and used space of each capacity."""
+    return packing.fill(p8_containers(spark, sf), table(spark, sf, "pack_limits"))
+
+
+def _mix(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    # sizes are used for the amounts and for the mix: encoded once
+    sized = tokens.sizes(table(spark, sf, "documents"), "doc_id", "text", "source").persist()
+    return mixing.mix(spark, sized, table(spark, sf, "mix_targets"))
+
+
+def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """The mixed sequence of documents."""
+    return _mix(spark, sf)[0]
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares reached by each source."""
+    return _mix(spark, sf)[1]
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return truncation.truncated(table(spark, sf, "documents"), "doc_id", "text").select("doc_id").distinct()
 
@@ -83,7 +111,7 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p4_found, p4_clean, p6_found, p6_paragraphs, p10_found, p10_rates, p1_found, p1_canonical, p2_found, p2_pieces, p3_found, p3_sentences)}
+    return {f.__name__: f for f in (p4_found, p4_clean, p6_found, p6_paragraphs, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_rates, p1_found, p1_canonical, p2_found, p2_pieces, p3_found, p3_sentences)}
 
 
 def oracle_sql() -> dict[str, str]:
