@@ -68,7 +68,7 @@ PATTERNS: list[tuple[str, str, regex.Pattern]] = [
         ("markdown", "list", r"^\s*[-+*]\s+(?:\[[ xX]\]\s+)?(?=[^\s\d*+-]|\d[^\n]{6,})"),
         ("markdown", "emphasis", r"(?<![\d*])\*{2,3}(?![\d*])|(?<![\w*])__(?=[^\s_])|(?<=[^\s_])__(?![\w_])"),
         ("markdown", "emphasis", r"(?<![A-Za-z0-9*\\])\*(?=[^\s*\d])[^*\n]*?(?<=[^\s*])\*(?![A-Za-z0-9*])"),
-        ("markdown", "emphasis", r"(?<![A-Za-z0-9_\\/])_(?=[^\s_])[^_\n]*?(?<=[^\s_])_(?![A-Za-z0-9_/.])"),
+        ("markdown", "emphasis", r"(?<![A-Za-z0-9_\\/])_(?=[^\s_])[^_\n]*?(?<=[^\s_])_(?![A-Za-z0-9_/]|\.[A-Za-z0-9])"),
         ("markdown", "strike", r"~~"),
         ("markdown", "code", r"(?<!`)`[^`\n]+`(?!`)|`(?=\S)"),
         ("html", "remnant", rf"</?(?:{_NAMES})(?:\s+[\w:-]+(?:\s*=\s*(?:\"[^\"<>]*\"?|'[^'<>]*'?|[^\s<>\"']*))?)*\s*/?$"),
@@ -230,7 +230,7 @@ _REWRITE: list[tuple[regex.Pattern, object]] = [
         (r"(?<!\!)\[([^\]\[\n]+)\]\([^)\s]+(?:\s+\"[^\"\n]*\")?\)", 0, r"\1"),
         (r"\*{2,3}([^*\n]+?)\*{2,3}", 0, r"\1"),
         (r"(?<![A-Za-z0-9*\\])\*(?=[^\s*\d])([^*\n]*?)(?<=[^\s*])\*(?![A-Za-z0-9*])", 0, r"\1"),
-        (r"(?<![A-Za-z0-9_\\/])_{1,2}(?=[^\s_])([^_\n]*?)(?<=[^\s_])_{1,2}(?![A-Za-z0-9_/.])", 0, r"\1"),
+        (r"(?<![A-Za-z0-9_\\/])_{1,2}(?=[^\s_])([^_\n]*?)(?<=[^\s_])_{1,2}(?![A-Za-z0-9_/]|\.[A-Za-z0-9])", 0, r"\1"),
         (r"~~([^~\n]*)~~", 0, r"\1"),
         (r"^\s*(?:>\s?)+", 0, ""),
         (r"^\s*[*+]\s+(?=\S)", 0, "- "),

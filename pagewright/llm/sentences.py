@@ -98,7 +98,7 @@ _TOKEN = regex.compile(rf"[{_MARK}]+|[“”‘’「」『』（）()\[\]【】
 _SPACED_CLOSER = regex.compile(r"\s+»")
 _COLON = regex.compile(r"[：:]\s*$")
 _EMPTY_LINE = regex.compile(r"\n[^\S\n]*\n\s*")
-_ENDED = regex.compile(rf"[{_MARK}][\s{_MARK}”’」』）)»\"\]】〕]*$")
+_ENDED = regex.compile(rf"[{_MARK}][\s{_MARK}”’“‘」』）)»\"\]】〕]*$")
 # what goes on after a quotation that opened its sentence: reporting words, joined without a blank or in lower case
 _REPORT_CJK = regex.compile(rf"{_CJK}")
 _REPORT_LOWER = regex.compile(r"\s*[,，]|\s+\p{Ll}|\s*[—–-]\s*\p{Ll}")
