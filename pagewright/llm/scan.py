@@ -203,7 +203,8 @@ def train(texts: list[str], seed: int = 7, epochs: int = EPOCHS) -> np.ndarray:
             break
         x, y, o = np.concatenate(slots, axis=1), np.concatenate(labels), np.concatenate(ops_all)
         order = rng.permutation(len(y))
-        for part in np.array_split(order, max(1, len(order) // 4096)):
+        # small samples are taken in small steps, so that there are enough of them
+        for part in np.array_split(order, max(1, len(order) // max(64, min(4096, len(order) // 64)))):
             score = w[x[:, part]].sum(axis=0) + w[SLOTS + o[part]]
             wrong = part[(y[part] * score) <= 1.0]
             if len(wrong):
@@ -270,10 +271,20 @@ class Editor:
         return self.w[_slots(plain, at, op, _WIDTH[op])].sum(axis=0) + self.w[SLOTS + op]
 
 
-def sample(df: DataFrame, text: str, bound: int = TRAIN_TEXTS) -> list[str]:
-    """At most ``bound`` distinct texts in order of their hash, to train on."""
-    own = df.filter(F.length(text).between(20, 2000)).select(F.col(text).alias("t")).orderBy(F.xxhash64("t"), "t").limit(bound * 2).dropDuplicates(["t"]).limit(bound)
-    return sorted(r.t for r in own.collect())
+def fitted(df: DataFrame, text: str, bound: int = TRAIN_TEXTS) -> np.ndarray:
+    """Weights trained on at most ``bound`` distinct texts in order of their hash.
+
+    The sample goes to one task, which trains and returns the weights (4 MB); the driver never holds the texts.
+    """
+    own = df.filter(F.length(text).between(20, 2000)).select(F.col(text).alias("t")).orderBy(F.xxhash64("t"), "t").limit(bound * 2)
+
+    def run(batches):
+        texts = sorted({t for batch in batches for t in batch.column(0).to_pylist()})
+        # the order of the hash can't be had here; any fixed order does
+        yield pa.RecordBatch.from_arrays([pa.array([train(texts[:: max(1, -(-len(texts) // bound))]).tobytes()], pa.binary())], names=["w"])
+
+    rows = own.coalesce(1).mapInArrow(run, "w binary").collect()
+    return np.frombuffer(rows[0].w, np.float32) if rows else train([])
 
 
 _WORD = r"(?<![\p{L}\p{N}])(?<![-‐­¬]\n)(\p{L}{2,}(?:[-‐]\p{L}{2,})*)(?![\p{L}\p{N}])(?![-‐­¬](?:\s|$))"
@@ -335,10 +346,10 @@ def divided(proposed: DataFrame, key: str, words: DataFrame) -> DataFrame:
     """Joins that are divided words: compounds and ranges broken at their own hyphen are taken out by the vocabulary."""
     soft = proposed.filter("kind = 'soft'").select(key, "pos")
     hard = proposed.filter("kind = 'hard' and written <> ''").withColumns({"l": F.lower("written"), "r": F.lower("printed")})
-    hard = hard.withColumns({"joined": F.concat("l", "r"), "compound": F.concat_ws("-", "l", "r")})
-    counted = hard
-    for name in ("joined", "compound", "l", "r"):
-        counted = counted.join(words.select(F.col("word").alias(name), F.col("n").alias(f"n_{name}")), name, "left").fillna(0, [f"n_{name}"])
+    asked = {"joined": F.concat("l", "r"), "compound": F.concat_ws("-", "l", "r"), "l": F.col("l"), "r": F.col("r")}
+    keyed = hard.select(key, "pos", "r", "score", F.explode(F.array(*[F.struct(F.lit(name).alias("what"), form.alias("word")) for name, form in asked.items()])).alias("x")).select(key, "pos", "r", "score", "x.*")
+    found = keyed.join(words, "word", "left").groupBy(key, "pos", "r", "score")
+    counted = found.agg(*[F.coalesce(F.max(F.when(F.col("what") == name, F.col("n"))), F.lit(0)).alias(f"n_{name}") for name in asked])
     whole = F.col("n_joined") > F.col("n_compound")
     # a second part that is a word by itself makes a compound, unless the parts are known as one word
     is_split = F.when(whole, True).when(F.col("n_compound") > 0, False).when(F.col("r") == "", F.col("n_l") < 2).when(F.col("n_r") >= 2, False).otherwise((F.col("score") > 0) | (F.col("n_l") < 2))
@@ -433,11 +444,12 @@ def defects(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEXT
     """One row per box and defect: box_key, defect. Boxes without text have none; a page delivered twice counts once."""
     exploded = pages.select("page_id", F.col("boxes").alias("all"), F.posexplode("boxes").alias("box_no", "b"))
     texts = exploded.select((F.col("page_id") * 100 + F.col("box_no")).alias("box_key"), F.col("b.text_content").alias("text"), F.get("all", F.col("box_no") + 1)["text_content"].alias("following"))
-    weights = train(sample(texts, "text", train_texts))
-    proposed = proposals(texts, "box_key", "text", weights, "following")
+    weights = fitted(texts, "text", train_texts)
+    # both are small beside the texts and used several times
+    proposed = proposals(texts, "box_key", "text", weights, "following").persist()
     misread = proposed.filter("kind = 'misread'").select("box_key", F.lit("misread").alias("defect"))
     split = divided(proposed, "box_key", vocabulary(texts, "text")).select("box_key", F.lit("split_word").alias("defect"))
-    lines = edge_lines(pages)
+    lines = edge_lines(pages).persist()
     heads = running_heads(lines).select("box_key", F.lit("running_head").alias("defect"))
     numbers = page_numbers(lines).select("box_key", F.lit("page_number").alias("defect"))
     return misread.unionByName(split).unionByName(heads).unionByName(numbers).distinct()
@@ -479,7 +491,7 @@ def paragraphs(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_T
     once = pages.dropDuplicates(["page_id"])
     exploded = once.select("page_id", F.col("boxes").alias("all"), F.posexplode("boxes").alias("box_no", "b"))
     texts = exploded.select((F.col("page_id") * 100 + F.col("box_no")).alias("box_key"), "page_id", "box_no", F.col("b.text_content").alias("text"), F.get("all", F.col("box_no") + 1)["text_content"].alias("following")).filter(F.length("text") > 0)
-    weights = train(sample(texts, "text", train_texts))
+    weights = fitted(texts, "text", train_texts)
     proposed = proposals(texts, "box_key", "text", weights, "following")
     joins = divided(proposed, "box_key", vocabulary(texts, "text"))
     edits = proposed.filter("kind = 'misread'").unionByName(proposed.filter("kind <> 'misread'").join(joins, ["box_key", "pos"], "left_semi"))
