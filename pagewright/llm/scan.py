@@ -276,7 +276,10 @@ def fitted(df: DataFrame, text: str, bound: int = TRAIN_TEXTS) -> np.ndarray:
 
     The sample goes to one task, which trains and returns the weights (4 MB); the driver never holds the texts.
     """
-    own = df.filter(F.length(text).between(20, 2000)).select(F.col(text).alias("t")).orderBy(F.xxhash64("t"), "t").limit(bound * 2)
+    # a share of the hashes that leaves a few times the bound, so that what the task reads doesn't grow with the data
+    share = min(1.0, 4.0 * bound / max(1, df.count()))
+    low = F.xxhash64("t") <= F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1)
+    own = df.select(F.col(text).alias("t")).filter(F.length("t").between(20, 2000)).filter(low).orderBy(F.xxhash64("t"), "t").limit(bound * 2)
 
     def run(batches):
         texts = sorted({t for batch in batches for t in batch.column(0).to_pylist()})
@@ -368,17 +371,15 @@ _CHAPTER = r"^(?:第.{1,5}[章节節回篇卷部编講讲]|[0-9]{1,3}[.、．]|[
 _SENTENCE_END = r"[。！？!?;；，,：:]$|\.$"
 
 
-def _roman(n: int) -> str:
-    out = ""
-    for v, s in ((100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")):
-        while n >= v:
-            out, n = out + s, n - v
-    return out
-
-
 def _value(number: Column) -> Column:
-    romans = F.create_map(*[F.lit(x) for n in range(1, 400) for x in (_roman(n), n)])
-    return F.coalesce(F.when(number.rlike("^[0-9]+$"), number.cast("int")), F.try_element_at(romans, F.lower(number)))
+    """Arabic or roman number; null for letters that form no roman number below 400."""
+    r = F.lower(number)
+    for pair, same in (("xc", "lxxxx"), ("xl", "xxxx"), ("ix", "viiii"), ("iv", "iiii")):
+        r = F.replace(r, F.lit(pair), F.lit(same))
+    count = lambda c: F.length(r) - F.length(F.replace(r, F.lit(c), F.lit("")))
+    roman = count("c") * 100 + count("l") * 50 + count("x") * 10 + count("v") * 5 + count("i")
+    form = F.lower(number).rlike("^c{0,3}(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})$") & (F.length(number) > 0)
+    return F.when(number.rlike("^[0-9]+$"), number.cast("int")).when(form, roman)
 
 
 def edge_lines(pages: DataFrame, reach: int = 3) -> DataFrame:
