@@ -199,7 +199,8 @@ def same_looking(df: DataFrame, group: list[str], key: str, text: str, least: in
             low, high = [x & 0xFFFFFFFFFFFFFFFF for x in form], [x >> 64 for x in form]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(group) + 1)], signed(low), signed(high), signed(raw)], names=[*group, "k", "c1", "c2", "raw"])
 
-    hashed = source.mapInArrow(run, f"{kinds}, k bigint, c1 bigint, c2 bigint, raw bigint")
+    # hashes are small beside the texts and are read three times: kept, so that texts are folded once
+    hashed = source.mapInArrow(run, f"{kinds}, k bigint, c1 bigint, c2 bigint, raw bigint").persist()
     at = [*group, "c1", "c2"]
     varied = hashed.groupBy(*at).agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).filter("lo <> hi").select(*at)
     members = hashed.join(varied, at).dropDuplicates([*at, "k", "raw"])
