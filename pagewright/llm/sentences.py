@@ -85,7 +85,7 @@ CASCADE: dict[str, list[Rule]] = {
         _rule(True, rf"[!?]{_CLOSE}*", rf"{_CJK}|{_OPEN}|\p{{Lu}}"),
         _rule(True, rf"[.]{_CLOSE}*", rf"{_CJK}"),
         # the blank between two sentences is missing
-        _rule(True, rf"\p{{Ll}}{{2}}[.]{_CLOSE}*", rf"{_OPEN}?\p{{Lu}}[\p{{Ll}}’\s]"),
+        _rule(True, rf"(?:\p{{Ll}}{{2}}|[\p{{Pe}}\p{{Pf}}]|\s\d+)[.]{_CLOSE}*", rf"{_OPEN}?\p{{Lu}}[\p{{Ll}}’\s]"),
         _rule(True, r"", r"\s*$"),
     ],
 }

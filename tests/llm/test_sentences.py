@@ -41,6 +41,11 @@ def test_unclosed_quotes_and_long_texts():
     assert len(sentence_ends("一句话。" * 50_000)) == 50_000
 
 
+def test_missing_blanks():
+    assert parts("It fell (approx. 9 km off).The road is open.Le fol. 7 v. est bon.") == ["It fell (approx. 9 km off).", "The road is open.", "Le fol. 7 v. est bon."]
+    assert parts("See file_v3.2.json and No. 5.") == ["See file_v3.2.json and No. 5."]
+
+
 def test_frame(spark):
     df = spark.createDataFrame([(1, "a. B c.", 3), (1, "a. B c.", 3), (2, None, 1), (3, "", 1)], "box_key bigint, text string, end_pos int")
     got = sorted((r.box_key, r.end_pos) for r in sentences(df, "box_key", "text").collect())
