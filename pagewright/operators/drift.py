@@ -12,6 +12,7 @@ without a type and can't be retyped. An empty array counts as an array of unknow
 
 from __future__ import annotations
 
+import functools
 import json
 from collections import defaultdict
 from collections.abc import Iterator
@@ -213,34 +214,39 @@ def widest(a: str, b: str) -> str:
 def migrations(records: DataFrame, **columns: str) -> DataFrame:
     """Per file the chained rename and cast rules: stream, file, version, rules (array of struct<path, canonical, type>).
 
-    A stream's chain is folded over its files in order of writing. Only fingerprints are folded (one small row per file),
-    never records.
+    The chain of a stream is folded over its fingerprints (one small row per file) in order of writing, row by row as they
+    stream by, so that a stream of any length needs the memory of one schema. The type of a canonical path is the widest
+    that it has in any file of the stream.
     """
     prints = fingerprints(records, **columns)
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["written", "file"])
-        names: dict[str, str] = {}
-        kinds: dict[str, str] = {}
-        files, before = [], None
-        for row in pdf.itertuples():
-            now = {r["path"]: set(r["types"]) for r in row.paths}
-            if before is not None:
-                for kind, old, new in compare(before, now):
-                    if kind == "renamed":
-                        names[new] = names.pop(old, old)
-            own = {}
-            for p, t in now.items():
-                own[p] = names.setdefault(p, p)
-                kinds[own[p]] = widest(kinds.get(own[p], ""), merge_types(t))
-            files.append((row.stream, row.file, own))
-            before = now
-        return pd.DataFrame(
-            [(s, f, v, [{"path": p, "canonical": c, "type": kinds[c]} for p, c in sorted(own.items())]) for v, (s, f, own) in enumerate(files)],
-            columns=["stream", "file", "version", "rules"],
-        )
-
-    return prints.groupBy("stream").applyInPandas(fold, "stream string, file string, version bigint, rules array<struct<path:string,canonical:string,type:string>>")
+    ordered = prints.repartition("stream").sortWithinPartitions("stream", "written", "file")
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        stream, names, before, version = None, {}, None, 0
+        for pdf in frames:
+            rows = []
+            for row in pdf.itertuples():
+                if before is None or row.stream != stream:
+                    stream, names, before, version = row.stream, {}, None, 0
+                now = {r["path"]: set(r["types"]) for r in row.paths}
+                if before is not None:
+                    version += 1
+                    for kind, old, new in compare(before, now):
+                        if kind == "renamed":
+                            names[new] = names.pop(old, old)
+                rows += [(row.stream, row.file, version, p, names.setdefault(p, p), merge_types(t)) for p, t in sorted(now.items())]
+                before = now
+            yield pd.DataFrame(rows, columns=["stream", "file", "version", "path", "canonical", "own"])
+
+    chained = ordered.mapInPandas(fold, "stream string, file string, version bigint, path string, canonical string, own string").persist()
+
+    @F.pandas_udf("string")
+    def widest_of(types: pd.Series) -> pd.Series:
+        return types.map(lambda ts: functools.reduce(widest, sorted(ts), ""))
+
+    kinds = chained.groupBy("stream", "canonical").agg(F.collect_set("own").alias("t")).select("stream", "canonical", widest_of("t").alias("type"))
+    rules = chained.join(kinds, ["stream", "canonical"]).groupBy("stream", "file", "version")
+    return rules.agg(F.array_sort(F.collect_list(F.struct("path", "canonical", "type"))).alias("rules"))
 
 
 def consistent(records: DataFrame, stream: str = "stream_key", file: str = "file_name", written: str = "written_at", payload: str = "payload", line: str = "line_no") -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
-from pagewright.operators import fusion, joins, layout, quotes
+from pagewright.functions import text as X
+from pagewright.operators import fusion, joins, layout, quotes, spans, stats
 from pagewright.sinks import envelope
 from pagewright.sinks import files as sinks
 from pagewright.sources import clients, docx, grounding
@@ -82,3 +83,25 @@ def evaluate(texts: DataFrame, key: str, text: str, baseline: Callable[[DataFram
         part = part.select(key, "model", F.coalesce("base", F.expr("cast(array() as array<string>)")).alias("base"), "other")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def convert(spans_: DataFrame, tables: DataFrame, page_width: float = 595.0, page_height: float = 842.0) -> DataFrame:
+    """Span tables of one document's pages to Markdown lines: page, order_no, md_line_index, text, mapping text and box.
+
+    Blocks that tables cover are left out, tables (page, x0, y0, x1, y1, cells) come in as Markdown, headings by size,
+    blocks in column-aware reading order.
+    """
+    b = spans.block_texts(spans_, " ", page_height).withColumn("page_id", F.col("page").cast("bigint"))
+    grid = tables.select(F.col("page").cast("bigint").alias("page_id"), "x0", "y0", "x1", "y1", X.markdown_table(F.col("cells")).alias("text"), F.lit("table").alias("label"), F.lit(None).cast("double").alias("max_size"))
+    own = b.select("page_id", "x0", "y0", "x1", "y1", "text", F.lit("text").alias("label"), "max_size")
+    order = layout.Window.partitionBy("page_id").orderBy("y0", "x0", "text")
+    all_ = own.unionByName(grid).withColumn("box_no", F.row_number().over(order)).withColumn("box_key", F.col("page_id") * 10_000 + F.col("box_no"))
+    kept = joins.without_tables(all_).unionByName(all_.filter("label = 'table'"))
+    # one row of sizes: that of the document
+    sizes = stats.font_sizes(spans_.withColumn("one", F.lit(1)), "one", "size", "page").withColumnRenamed("max_size", "most")
+    sign = stats.heading_sign(F.col("max_size"), F.col("heading_size"), F.col("most"))
+    signed = kept.withColumn("one", F.lit(1)).join(F.broadcast(sizes), "one", "left").withColumn("text", F.when(F.col("label") == "table", F.col("text")).otherwise(F.concat(sign, F.col("text"))))
+    read = layout.reading_order(signed.withColumn("w", F.lit(page_width)))
+    placed = signed.join(read, ["page_id", "box_no"]).withColumns({"doc_key": F.lit("document"), "page": F.col("page_id"), "box": F.array("x0", "y0", "x1", "y1")})
+    lines = layout.line_index(placed.select("doc_key", "page", "page_id", F.col("order_no").alias("box_no"), "text"))
+    return placed.join(lines.withColumnRenamed("box_no", "order_no"), ["page_id", "order_no"]).select("page", "order_no", "md_line_index", "text", X.shorten(F.col("text")).alias("mapping_text"), "box")

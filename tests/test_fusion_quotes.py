@@ -119,3 +119,12 @@ def test_totals(spark, n):
     rows = [(f"k{i}", "f", 10 * i, i % 2) for i in range(n)] * 2
     df = spark.createDataFrame(rows, "file_md5 string, file_name string, total_chars bigint, file_exist int")
     assert tuple(stats.file_totals(df).first()) == (n // 2, 10 if n else 0, n - n // 2, 20 if n else 0)
+
+
+def test_convert(spark):
+    cols = "page int, block_no int, line_no int, span_no int, text string, size double, flags int, font string, x0 double, y0 double, x1 double, y1 double"
+    rows = [(1, 0, 0, 0, "Head", 24.0, 0, "f", 10.0, 10.0, 500.0, 34.0), (1, 1, 0, 0, "right column", 10.0, 0, "f", 320.0, 100.0, 500.0, 110.0), (1, 2, 0, 0, "left column", 10.0, 0, "f", 10.0, 120.0, 200.0, 130.0), (1, 3, 0, 0, "inside", 10.0, 0, "f", 20.0, 310.0, 60.0, 320.0), (2, 0, 0, 0, "next", 10.0, 0, "f", 10.0, 10.0, 500.0, 20.0)]
+    tables = spark.createDataFrame([(1, 10.0, 300.0, 500.0, 400.0, [["a"], ["b"]])], "page int, x0 double, y0 double, x1 double, y1 double, cells array<array<string>>")
+    out = pipelines.convert(spark.createDataFrame(rows, cols), tables).orderBy("page", "order_no").collect()
+    assert [r.text for r in out] == ["# Head", "left column", "right column", "| a |\n| --- |\n| b |\n", "next"]
+    assert [r.md_line_index for r in out] == [0, 2, 4, 6, 11]
