@@ -43,7 +43,7 @@ def _running_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return sentences.sentences(_running_text(spark, sf), "box_key", "text").select("box_key", "end_pos").distinct()
+    return sentences.sentences(_running_text(spark, sf), "box_key", "text", with_text=False).select("box_key", "end_pos").distinct()
 
 
 def p3_sentences(spark: SparkSession, sf: str) -> DataFrame:

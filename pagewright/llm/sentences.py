@@ -216,10 +216,10 @@ def sentence_ends(text: str) -> list[int]:
     return out
 
 
-def sentences(df: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per sentence: key, sentence_no, start_pos, end_pos, sentence. Null, empty and blank texts give no row.
+def sentences(df: DataFrame, key: str, text: str, with_text: bool = True) -> DataFrame:
+    """One row per sentence: key, sentence_no, start_pos, end_pos, sentence (null if it isn't asked for).
 
-    Rows delivered twice count once; other columns are ignored.
+    Null, empty and blank texts give no row. Rows delivered twice count once; other columns are ignored.
     """
     source = df.filter(F.length(text) > 0).select(F.col(key).alias("k"), F.col(text).alias("t"))
     kind = df.schema[key].dataType.simpleString()
@@ -230,7 +230,7 @@ def sentences(df: DataFrame, key: str, text: str) -> DataFrame:
             a = 0
             for no, b in enumerate(sentence_ends(t)):
                 a += len(t[a:b]) - len(t[a:b].lstrip())
-                rows.append((i, no, a, b, t[a:b]))
+                rows.append((i, no, a, b, t[a:b] if with_text else None))
                 a = b
         if not rows:
             return None
@@ -238,4 +238,4 @@ def sentences(df: DataFrame, key: str, text: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(c[0])), *[pa.array(c[i], pa.int64()) for i in (1, 2, 3)], pa.array(c[4], pa.string())], names=["k", "sentence_no", "start_pos", "end_pos", "sentence"])
 
     out = map_arrow(source, run, f"k {kind}, sentence_no bigint, start_pos bigint, end_pos bigint, sentence string")
-    return out.dropDuplicates(["k", "sentence_no", "sentence"]).withColumnRenamed("k", key)
+    return out.dropDuplicates(["k", "sentence_no", "start_pos", "end_pos", "sentence"]).withColumnRenamed("k", key)
