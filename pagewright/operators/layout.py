@@ -27,6 +27,11 @@ def blocks(pages: DataFrame) -> DataFrame:
     return rows.select("page_id", "doc_key", "page", "box_no", (F.col("page_id") * 100 + F.col("box_no")).alias("box_key"), "w", "h", F.coalesce("b.label", F.lit("")).alias("label"), *c, F.coalesce("b.text_content", F.lit("")).alias("text"))
 
 
+def without_texts(b: DataFrame, texts: list[str]) -> DataFrame:
+    """Blocks whose text is none of the given ones (texts that an OCR model is known to make up)."""
+    return b.filter(~F.col("text").isin(texts)) if texts else b
+
+
 def _kept(b: DataFrame) -> DataFrame:
     return b.withColumn("is_text", F.col("label").isin(*TEXT_LABELS)).filter(~F.col("is_text") | (X.strip(F.col("text")) != ""))
 

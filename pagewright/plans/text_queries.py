@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
+from pagewright.functions import html
 from pagewright.functions import text as X
 from pagewright.operators import fusion, layout
 from pagewright.operators import joins as J
@@ -93,6 +94,12 @@ def envelope_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return written.select("doc_id", *[c.alias(n) for n, c in zip(("model", "content"), envelope.read(F.col("e")))])
 
 
+def closed_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """Fragments with HTML, their open elements closed."""
+    b = _blocks(spark, sf).filter(F.contains("text", F.lit("<")))
+    return b.select("box_key", html.closed(F.col("text")).alias("c")).select("box_key", "c.text", "c.changed")
+
+
 def text_fusion_positional(spark: SparkSession, sf: str) -> DataFrame:
     b = _blocks(spark, sf)
     found = b.join(J.spatial_text(b, J.mapping_blocks(table(spark, sf, "mapping_rows"))).withColumnRenamed("text", "lt").filter("n_blocks > 0"), "box_key")
@@ -110,7 +117,7 @@ def page_fusion(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = (html_table_markdown, polygon_boxes, document_model_names, natural_page_order, json_extraction, envelope_roundtrip, text_fusion_positional, text_fusion_aligned, page_fusion)
+    own = (closed_tags, html_table_markdown, polygon_boxes, document_model_names, natural_page_order, json_extraction, envelope_roundtrip, text_fusion_positional, text_fusion_aligned, page_fusion)
     return _BLOCK_QUERIES | {f.__name__: f for f in own}
 
 

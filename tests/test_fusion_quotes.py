@@ -128,3 +128,12 @@ def test_convert(spark):
     out = pipelines.convert(spark.createDataFrame(rows, cols), tables).orderBy("page", "order_no").collect()
     assert [r.text for r in out] == ["# Head", "left column", "right column", "| a |\n| --- |\n| b |\n", "next"]
     assert [r.md_line_index for r in out] == [0, 2, 4, 6, 11]
+
+
+def test_closed_tags(spark):
+    from pagewright.functions import html
+
+    cases = [("<b>x", "<b>x</b>", True), ("<ul><li>a<li>b</ul>", "<ul><li>a<li>b</ul>", False), ("a < b", "a < b", False), ("<br><i><b>x</i>", "<br><i><b>x</i>", False), ("", "", False), (None, None, False), ("<p><q>x", "<p><q>x</q></p>", True)]
+    df = spark.createDataFrame([(c[0],) for c in cases], "t string")
+    got = [tuple(r) for r in df.select(html.closed(F.col("t")).alias("c")).select("c.*").collect()]
+    assert got == [(c[1], c[2]) for c in cases]
