@@ -38,7 +38,8 @@ SHAPES = {"‐": "-", "‑": "-", "⁃": "-", "﹣": "-", "ʼ": "’", "‧": "
 
 #: Compatibility tags under which a character looks like its decomposition.
 _SAME = {"<wide>", "<narrow>", "<compat>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>", "<vertical>"}
-_KEEP = set("№℡™℠ºª")
+#: Characters whose compatibility form looks different.
+_KEEP = set("№℡™℠ºªſẛϐϑϒϕϖϰϱϲϵ℀℁℅℆Ⅽ⁇⁈⁉") | {chr(c) for c in range(0x2135, 0x2139)}
 
 
 def _fold_table() -> dict[int, str | None]:

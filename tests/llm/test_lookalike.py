@@ -35,6 +35,14 @@ def test_forms():
     assert len(L.canonical("со" * 50_000, m)) == 100_000
 
 
+def test_other_shapes_stay():
+    m = model()
+    for a, b in (("ſo", "so"), ("x²", "x2"), ("½", "1/2"), ("№ 5", "No 5"), ("ｶﾞ", "カ"), ("記", "记")):
+        assert L.canonical(a, m) != L.canonical(b, m)
+    for a, b in (("ﬁn", "fin"), ("ｶﾞ", "ガ"), ("⾥", "里"), ("館", "館"), ("a\u2011b", "a-b"), ("x\u3000y", "x y"), ("क\u200dख", "कख")):
+        assert L.canonical(a, m) == L.canonical(b, m)
+
+
 def test_script_is_that_of_the_token():
     m = model()
     assert L.canonical("раздел", m) == "раздел"
