@@ -23,8 +23,9 @@ from pagewright.llm.tables import code_points, map_arrow
 #: Lengths of the contexts (last characters, digits as 0), the longest that is known well enough decides.
 CONTEXTS = (12, 8, 5, 3)
 #: Least number of occurrences for a context to count, and the share of ends from which an open end is taken as complete:
-#: without a trace, with dots, with a doubled ellipsis or dash.
-LEAST, COMPLETE = 3, {"open": 0.25, "dots": 0.6, "purpose": 0.02}
+#: without a trace, with dots, with a doubled ellipsis or dash. A cut falls on any place alike, a missing mark only on ends;
+#: so ends speak for a missing mark once they are more than about one in the length of a sentence.
+LEAST, COMPLETE = 3, {"open": 0.04, "dots": 0.6, "purpose": 0.002}
 
 MARKS = "。！？!?.।॥؟｡"
 CLOSERS = "”’\"'」』）)]】》〉»›“‘〕"
