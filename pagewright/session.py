@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +40,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="pagewright-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, for clusters on which it isn't installed.
+
+    The archive is served by the driver like any file of the application; nothing is read from a local folder elsewhere.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    folder = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="pagewright-")) / "pagewright.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(folder.rglob("*.py")):
+            z.write(path, path.relative_to(folder.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
