@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagewright.llm.tables import map_arrow
+from pagewright.session import ensure_checkpoint_dir
 
 #: What OCR writes for what is printed, as pairs "written printed".
 CONFUSIONS = """
@@ -441,19 +442,33 @@ def running_heads(lines: DataFrame) -> DataFrame:
     return exact.unionByName(labelled).unionByName(fuzzy).distinct()
 
 
-def defects(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEXTS) -> DataFrame:
-    """One row per box and defect: box_key, defect. Boxes without text have none; a page delivered twice counts once."""
+def _boxes(pages: DataFrame) -> DataFrame:
+    """Boxes with the text of the next box of their page."""
     exploded = pages.select("page_id", F.col("boxes").alias("all"), F.posexplode("boxes").alias("box_no", "b"))
-    texts = exploded.select((F.col("page_id") * 100 + F.col("box_no")).alias("box_key"), F.col("b.text_content").alias("text"), F.get("all", F.col("box_no") + 1)["text_content"].alias("following"))
+    return exploded.select((F.col("page_id") * 100 + F.col("box_no")).alias("box_key"), "page_id", "box_no", F.col("b.text_content").alias("text"), F.get("all", F.col("box_no") + 1)["text_content"].alias("following"))
+
+
+def analysed(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEXTS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(edits, heads, numbers): what to mend in each box, and the boxes with head lines and page numbers.
+
+    edits: box_key, kind, pos, written, printed. Lines near the edges, proposals and the results are small beside the texts;
+    each is checkpointed, so that every further plan is short and nothing is worked out twice.
+    """
+    ensure_checkpoint_dir(spark)
+    texts = _boxes(pages)
     weights = fitted(texts, "text", train_texts)
-    # both are small beside the texts and used several times
-    proposed = proposals(texts, "box_key", "text", weights, "following").persist()
-    misread = proposed.filter("kind = 'misread'").select("box_key", F.lit("misread").alias("defect"))
-    split = divided(proposed, "box_key", vocabulary(texts, "text")).select("box_key", F.lit("split_word").alias("defect"))
-    lines = edge_lines(pages).persist()
-    heads = running_heads(lines).select("box_key", F.lit("running_head").alias("defect"))
-    numbers = page_numbers(lines).select("box_key", F.lit("page_number").alias("defect"))
-    return misread.unionByName(split).unionByName(heads).unionByName(numbers).distinct()
+    proposed = proposals(texts, "box_key", "text", weights, "following").checkpoint()
+    joins = divided(proposed, "box_key", vocabulary(texts, "text"))
+    mended = proposed.filter("kind = 'misread'").unionByName(proposed.filter("kind <> 'misread'").join(joins, ["box_key", "pos"], "left_semi").withColumn("kind", F.lit("split_word")).select(proposed.columns))
+    lines = edge_lines(pages).checkpoint()
+    return mended.select("box_key", "kind", "pos", "written", "printed").checkpoint(), running_heads(lines).checkpoint(), page_numbers(lines).checkpoint()
+
+
+def defects(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEXTS) -> DataFrame:
+    """One row per box and defect: box_key, defect. Boxes without text have none; a page delivered twice counts once."""
+    edits, heads, numbers = analysed(pages, spark, train_texts)
+    found = edits.select("box_key", F.col("kind").alias("defect"))
+    return found.unionByName(heads.withColumn("defect", F.lit("running_head"))).unionByName(numbers.withColumn("defect", F.lit("page_number"))).distinct()
 
 
 _ENDS = regex.compile(r"[。！？!?.।…：:][”’」』）)»\"]*$")
@@ -489,17 +504,12 @@ def paragraphs(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_T
     Misread characters are replaced, divided words joined, furniture lines left out, lines joined; a box that doesn't end
     a sentence goes on in the next. Pages without text give no row; a page delivered twice counts once.
     """
-    once = pages.dropDuplicates(["page_id"])
-    exploded = once.select("page_id", F.col("boxes").alias("all"), F.posexplode("boxes").alias("box_no", "b"))
-    texts = exploded.select((F.col("page_id") * 100 + F.col("box_no")).alias("box_key"), "page_id", "box_no", F.col("b.text_content").alias("text"), F.get("all", F.col("box_no") + 1)["text_content"].alias("following")).filter(F.length("text") > 0)
-    weights = fitted(texts, "text", train_texts)
-    proposed = proposals(texts, "box_key", "text", weights, "following")
-    joins = divided(proposed, "box_key", vocabulary(texts, "text"))
-    edits = proposed.filter("kind = 'misread'").unionByName(proposed.filter("kind <> 'misread'").join(joins, ["box_key", "pos"], "left_semi"))
-    per_box = edits.groupBy("box_key").agg(F.collect_list(F.struct("pos", "kind", "written", "printed")).alias("edits"))
-    lines = edge_lines(once)
-    heads, numbers = running_heads(lines).withColumn("head", F.lit(True)), page_numbers(lines).withColumn("number", F.lit(True))
-    full = texts.join(per_box, "box_key", "left").join(heads, "box_key", "left").join(numbers, "box_key", "left")
+    edits, heads, numbers = analysed(pages, spark, train_texts)
+    texts = _boxes(pages.dropDuplicates(["page_id"])).filter(F.length("text") > 0).select("box_key", "page_id", "box_no", "text")
+    # one table of all changes, so that texts are joined once
+    marks = edits.groupBy("box_key").agg(F.collect_set(F.struct("pos", "kind", "written", "printed")).alias("edits"))
+    marks = marks.join(heads.withColumn("head", F.lit(True)), "box_key", "full").join(numbers.withColumn("number", F.lit(True)), "box_key", "full")
+    full = texts.join(marks, "box_key", "left")
     by_page = full.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("box_no", "text", "edits", "head", "number"))).alias("boxes"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
