@@ -1,14 +1,16 @@
 """Noise in text from scanned pages: divided words, misread characters, running heads and page numbers.
 
 An averaged perceptron edits character by character: keep, replace (delete and insert are replacements of two characters
-by one and of one by two) and join two lines at a mark. It is trained on text of the corpus itself that is damaged by the
-confusions of OCR; each decision scores hashed patterns of the neighbouring characters. Vocabulary counts over all texts
+by one and of one by two) and join two lines at a mark. What it may replace is a table of known confusions and all pairs
+that the corpus itself shows (``operations``). It is trained on text of the corpus itself that is damaged by these pairs; each
+decision scores hashed patterns of the neighbouring characters. Vocabulary counts over all texts
 then tell divided words from compounds broken at their own hyphen. Head lines and page numbers ("furniture") are found
 from the place of a line on its page and its repetition over the pages of a book.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 
@@ -40,6 +42,11 @@ PATTERNS = ((-1, 1), (-2, -1), (1, 2), (-3, -2, -1), (1, 2, 3), (-2, -1, 1), (-1
 SLOTS = 1 << 20
 #: Bound of the training sample (texts), passes over it, and the share of printed characters that are damaged in it.
 TRAIN_TEXTS, EPOCHS, DAMAGE = 12_000, 4, 0.12
+#: Share of the printed characters damaged by drawn pairs, which are many and rarer each than those of the table.
+DRAWN_DAMAGE = 0.04
+#: A pair is drawn from contexts whose commonest string occurs so often and makes up half of them; a string that is so many
+#: times rarer than it counts as written for it; so many contexts must show the pair.
+USUAL, RARER, CONTEXTS = 8, 20, 3
 
 
 @dataclass(frozen=True)
@@ -49,14 +56,36 @@ class Op:
 
 
 OPS = [Op(p[0], p[1]) for p in CONFUSIONS if len(p) == 2 and p[0] != p[1]] + [Op(a, b) for a, b in MULTI]
-JOIN = len(OPS)
-#: Operations between letters that are both frequent, or that also go the other way, need more evidence than the rest.
-_FREQUENT = {op for op in OPS if len(op.written) == 1 and op.written.isascii() and op.written.isalpha() and op.printed.isalpha()} | {op for op in OPS if Op(op.printed, op.written) in OPS and op.written in "已大人日未图测料条例"} | {Op("m", "rn"), Op("d", "cl"), Op("li", "h")}
-#: Letters written for digits and digits written for letters, which need the right neighbours.
-_TO_LETTER = np.array([op.written.isdigit() and op.printed.isalpha() for op in OPS])
-_TO_DIGIT = np.array([op.written.isalpha() and op.printed.isdigit() for op in OPS])
-_LOWER_L = np.array([op.written == "l" for op in OPS])
-_IN_WORD = np.array([op.written.isascii() and op.written.isalpha() and op.printed.isalpha() for op in OPS])
+#: Pairs that also go the other way.
+_BOTH = {op for op in OPS if Op(op.printed, op.written) in OPS}
+#: Operations between letters that are both frequent need more evidence than the rest.
+_FREQUENT = {op for op in OPS if len(op.written) == 1 and op.written.isascii() and op.written.isalpha() and op.printed.isalpha()} | {Op("m", "rn"), Op("d", "cl"), Op("li", "h")}
+
+
+class Operations:
+    """The operations of an editor: the table, then those drawn from the corpus, then the join of two lines.
+
+    ``counts`` are those of the characters in the corpus: of pairs that go both ways, the one that takes away the commoner
+    character needs more evidence.
+    """
+
+    def __init__(self, drawn: list[Op] | None = None, counts: dict[str, int] | None = None) -> None:
+        n = counts or {}
+        self.ops = list(OPS) + [op for op in drawn or [] if op not in set(OPS)]
+        self.known, self.join = len(OPS), len(self.ops)
+        self.width = np.array([len(o.written) for o in self.ops] + [1])
+        # letters written for digits and digits written for letters need the right neighbours
+        self.to_letter = np.array([op.written.isdigit() and op.printed.isalpha() for op in self.ops])
+        self.to_digit = np.array([op.written.isalpha() and op.printed.isdigit() for op in self.ops])
+        self.lower_l = np.array([op.written == "l" for op in self.ops])
+        self.in_word = np.array([op.written.isascii() and op.written.isalpha() and op.printed.isalpha() for op in self.ops])
+        listed = {op.written for op in OPS}
+        # drawn pairs are seldom damaged in training, so that their scores stay lower; the table speaks against another reading of its own
+        self.least = np.array([_KEEP_MARGIN + (0.4 if i >= self.known and op.written not in listed else 1.2 if i >= self.known or op in _FREQUENT or op in _BOTH and n.get(op.written, 0) > n.get(op.printed, 0) else 0.0) for i, op in enumerate(self.ops)] + [-1e9], np.float32)
+
+
+_KEEP_MARGIN = 0.3
+TABLE = Operations()
 
 
 def _codes(text: str) -> np.ndarray:
@@ -92,21 +121,21 @@ def _slots(plain: np.ndarray, at: np.ndarray, op: np.ndarray, width: np.ndarray)
 class Candidates:
     """Positions of a text array at which an operation applies."""
 
-    def __init__(self) -> None:
-        self.first = np.full(0x11000, -1, np.int32)
+    def __init__(self, table: Operations = TABLE) -> None:
+        self.first = np.full(0x110000, -1, np.int32)
         self.by: dict[int, list[int]] = {}
-        for i, op in enumerate(OPS):
+        for i, op in enumerate(table.ops):
             self.by.setdefault(ord(op.written[0]), []).append(i)
         self.most = max(map(len, self.by.values()))
         self.ops = np.full((len(self.by), self.most), -1, np.int32)
         for row, (code, ops) in enumerate(self.by.items()):
             self.first[code] = row
             self.ops[row, : len(ops)] = ops
-        self.second = np.array([ord(o.written[1]) if len(o.written) > 1 else 0 for o in OPS], np.uint32)
+        self.second = np.array([ord(o.written[1]) if len(o.written) > 1 else 0 for o in table.ops], np.uint32)
 
     def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, operations) over codes; codes outside the table have none."""
-        row = self.first[np.minimum(codes, 0x10FFF)]
+        """(positions, operations) over codes; codes that no operation begins with have none."""
+        row = self.first[np.minimum(codes, 0x10FFFF)]
         at = np.flatnonzero(row >= 0)
         row = row[at]
         following = np.append(codes[1:], np.uint32(0))[at]
@@ -122,18 +151,18 @@ class Candidates:
 
 
 _JOINS = regex.compile(rf"(?<=[\p{{L}}])[{MARKS}](?=[ \t]*(?:\n|$))")
-_WIDTH = np.array([len(o.written) for o in OPS] + [1])
 
 
 def _joins(text: str) -> list[int]:
     return [m.start() for m in _JOINS.finditer(text)]
 
 
-def _damage(text: str, rng: np.random.Generator, inverse: dict[str, list[int]]) -> tuple[str, dict[int, int]]:
+def _damage(text: str, rng: np.random.Generator, inverse: dict[str, list[int]], table: Operations = TABLE, drawn: dict[str, list[int]] | None = None) -> tuple[str, dict[int, int]]:
     """A damaged text and the operation that mends each damaged position."""
     out: list[str] = []
     mend: dict[int, int] = {}
     n, i, draw = 0, 0, rng.random(len(text) + 1)
+    rare = rng.random(len(text)) if drawn else None
     size = len(text)
     while i < size:
         ch = text[i]
@@ -143,17 +172,23 @@ def _damage(text: str, rng: np.random.Generator, inverse: dict[str, list[int]])
         if pair and draw[i] < DAMAGE:
             op = pair[int(draw[i + 1] * len(pair)) % len(pair)]
             mend[n] = op
-            out.append(OPS[op].written)
-            n += len(OPS[op].written)
+            out.append(table.ops[op].written)
+            n += len(table.ops[op].written)
             i += 2
         elif options and draw[i] < DAMAGE:
             op = options[int(draw[i + 1] * len(options)) % len(options)]
             mend[n] = op
-            out.append(OPS[op].written)
-            n += len(OPS[op].written)
+            out.append(table.ops[op].written)
+            n += len(table.ops[op].written)
             i += 1
+        elif drawn and rare[i] < DRAWN_DAMAGE and (more := drawn.get(ch, []) + (drawn.get(two, []) if len(two) == 2 else [])):
+            op = more[int(draw[i + 1] * len(more)) % len(more)]
+            mend[n] = op
+            out.append(table.ops[op].written)
+            n += len(table.ops[op].written)
+            i += len(table.ops[op].printed)
         elif draw[i] < 0.004 and ch.isalpha() and ch < "ʰ" and 1 < i < size - 2 and text[i - 2 : i + 2].isalpha():
-            mend[n] = JOIN
+            mend[n] = table.join
             out.append(MARKS[int(draw[i] * 1e6) % 4] + "\n" + ch)
             n += 3
             i += 1
@@ -169,19 +204,20 @@ def _damage(text: str, rng: np.random.Generator, inverse: dict[str, list[int]])
     return "".join(out), mend
 
 
-def train(texts: list[str], seed: int = 7, epochs: int = EPOCHS) -> np.ndarray:
+def train(texts: list[str], seed: int = 7, epochs: int = EPOCHS, table: Operations = TABLE) -> np.ndarray:
     """Averaged weights (SLOTS + one bias per operation) from texts that are taken as printed."""
     rng = np.random.default_rng(seed)
     inverse: dict[str, list[int]] = {}
-    for i, op in enumerate(OPS):
-        inverse.setdefault(op.printed, []).append(i)
-    candidates = Candidates()
-    w = np.zeros(SLOTS + len(OPS) + 1, np.float32)
+    drawn: dict[str, list[int]] = {}
+    for i, op in enumerate(table.ops):
+        (inverse if i < table.known else drawn).setdefault(op.printed, []).append(i)
+    candidates = Candidates(table)
+    w = np.zeros(SLOTS + table.join + 1, np.float32)
     total, steps = np.zeros_like(w, np.float64), 0
     for _ in range(epochs):
         slots, labels, ops_all = [], [], []
         for begin in range(0, len(texts), 500):
-            damaged = [_damage(t, rng, inverse) for t in texts[begin : begin + 500]]
+            damaged = [_damage(t, rng, inverse, table, drawn) for t in texts[begin : begin + 500]]
             codes = _codes("".join(d for d, _ in damaged)) if damaged else np.zeros(0, np.uint32)
             plain = np.pad(_neighbours(codes), 5)
             mend = np.full(len(codes), -1, np.int32)
@@ -192,12 +228,12 @@ def train(texts: list[str], seed: int = 7, epochs: int = EPOCHS) -> np.ndarray:
                 joins += [base + k for k in _joins(d)]
                 base += len(d)
             at, op = candidates.of(codes)
-            at, op = np.append(at, np.array(joins, np.int64)), np.append(op, np.full(len(joins), JOIN, np.int32))
+            at, op = np.append(at, np.array(joins, np.int64)), np.append(op, np.full(len(joins), table.join, np.int32))
             label = np.where(mend[at] == op, 1, -1).astype(np.float32)
             # keeping is by far the commoner case; a part of it is enough
             keep = (label > 0) | (rng.random(len(at)) < 0.35)
             at, op, label = at[keep], op[keep], label[keep]
-            slots.append(_slots(plain, at, op, _WIDTH[op]))
+            slots.append(_slots(plain, at, op, table.width[op]))
             labels.append(label)
             ops_all.append(op)
         if not slots:
@@ -217,28 +253,24 @@ def train(texts: list[str], seed: int = 7, epochs: int = EPOCHS) -> np.ndarray:
     return (total / max(1, steps // 8)).astype(np.float32)
 
 
-_KEEP_MARGIN = 0.3
-
-
 class Editor:
     """The trained perceptron over texts."""
 
-    def __init__(self, weights: np.ndarray):
-        self.w, self.candidates = weights, Candidates()
-        self.least = np.array([_KEEP_MARGIN + (1.2 if op in _FREQUENT else 0.0) for op in OPS] + [-1e9], np.float32)
+    def __init__(self, weights: np.ndarray, table: Operations = TABLE):
+        self.w, self.table, self.candidates = weights, table, Candidates(table)
 
-    @staticmethod
-    def _possible(codes: np.ndarray, at: np.ndarray, op: np.ndarray) -> np.ndarray:
+    def _possible(self, codes: np.ndarray, at: np.ndarray, op: np.ndarray) -> np.ndarray:
         """Whether the neighbours allow the operation: digits become letters inside words, letters digits inside numbers."""
+        t = self.table
         wide = np.pad(codes, 3)
-        before, after = wide[at + 2], wide[at + 3 + _WIDTH[op]]
+        before, after = wide[at + 2], wide[at + 3 + t.width[op]]
         digit = lambda c: (c >= 48) & (c <= 57)
         lower = lambda c: ((c >= 97) & (c <= 122)) | ((c >= 0xDF) & (c <= 0x24F))
         point = (before == 46) | (before == 44)
         to_letter = (lower(before) | lower(after)) & ~digit(before) & ~digit(after)
-        to_digit = digit(before) | (point & digit(wide[at + 1])) | (_LOWER_L[op] & digit(after) & ~lower(before))
+        to_digit = digit(before) | (point & digit(wide[at + 1])) | (t.lower_l[op] & digit(after) & ~lower(before))
         in_word = (lower(before) | lower(after)) & (before != 10) & (after != 10)
-        return np.where(_TO_LETTER[op], to_letter, np.where(_TO_DIGIT[op], to_digit, np.where(_IN_WORD[op], in_word, True)))
+        return np.where(t.to_letter[op], to_letter, np.where(t.to_digit[op], to_digit, np.where(t.in_word[op], in_word, True)))
 
     def edits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text, position in it, operation, score) of all proposed replacements, the best one per position."""
@@ -255,24 +287,156 @@ class Editor:
         score = np.empty(len(at), np.float32)
         for a in range(0, len(at), 200_000):
             p, o = at[a : a + 200_000], op[a : a + 200_000]
-            score[a : a + 200_000] = self.w[_slots(plain, p, o, _WIDTH[o])].sum(axis=0) + self.w[SLOTS + o]
-        hit = score > self.least[op]
+            score[a : a + 200_000] = self.w[_slots(plain, p, o, self.table.width[o])].sum(axis=0) + self.w[SLOTS + o]
+        hit = score > self.table.least[op]
         at, op, score = at[hit], op[hit], score[hit]
         order = np.lexsort((-score, at))
         at, op, score = at[order], op[order], score[order]
         first = np.append(True, at[1:] != at[:-1]) if len(at) else np.zeros(0, bool)
         at, op, score = at[first], op[first], score[first]
+        # a string of two characters that is replaced isn't changed again at its second
+        apart = np.append(True, at[1:] >= at[:-1] + self.table.width[op[:-1]]) if len(at) else first
+        at, op, score = at[apart], op[apart], score[apart]
         text = np.searchsorted(starts, at, side="right") - 1
         return text, at - starts[text], op, score
 
     def join_scores(self, text: str, positions: list[int]) -> np.ndarray:
         plain = np.pad(_neighbours(_codes(text)), 5)
         at = np.array(positions, np.int64)
-        op = np.full(len(at), JOIN, np.int32)
-        return self.w[_slots(plain, at, op, _WIDTH[op])].sum(axis=0) + self.w[SLOTS + op]
+        op = np.full(len(at), self.table.join, np.int32)
+        return self.w[_slots(plain, at, op, self.table.width[op])].sum(axis=0) + self.w[SLOTS + op]
 
 
-def fitted(df: DataFrame, text: str, bound: int = TRAIN_TEXTS) -> np.ndarray:
+#: Scripts without blanks between words, as ranges of codes.
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3041, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_SPACED = regex.compile(r"(?V1)(?<![\p{L}\p{M}\p{N}])(?<![-‐­¬]\n)(?=\p{N}*\p{L})[[\p{L}\p{M}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]]{4,40}(?![\p{L}\p{M}\p{N}])(?![-‐­¬](?:\s|$))")
+#: Distinct trigrams that a task holds before it hands them on.
+_HELD = 1 << 21
+
+
+def _trigrams(texts: list[str]) -> np.ndarray:
+    """All three neighbouring characters of unspaced scripts, 21 bits each."""
+    codes = _codes("\n".join(texts))
+    own = np.zeros(len(codes), bool)
+    for a, b in _UNSPACED:
+        own |= (codes >= a) & (codes <= b)
+    at = np.flatnonzero(own[:-2] & own[1:-1] & own[2:])
+    c = codes.astype(np.int64)
+    return (c[at] << 42) | (c[at + 1] << 21) | c[at + 2]
+
+
+def _pairs(seen: DataFrame, two: bool) -> list[tuple]:
+    """Pairs (rare, usual) of strings in the same context: seen has key, seg, n and, where ``two``, strings of two characters.
+
+    Strings that are both usual somewhere are different words, not one misread for the other.
+    """
+    size = F.length("seg") if two else F.lit(1)
+    seen = seen.withColumn("size", size)
+    tops = seen.groupBy("key", F.col("size").alias("top_size")).agg(F.max_by("seg", F.struct("n", "seg")).alias("usual"), F.max("n").alias("top"), F.sum("n").alias("total")).filter((F.col("top") >= USUAL) & (F.col("top") * 2 >= F.col("total")))
+    both = seen.join(tops, "key").filter((F.col("seg") != F.col("usual")) & (F.col("size") + F.col("top_size") <= 3))
+    if two:  # a character more or less at the end of a word is an ending
+        both = both.filter((F.col("size") == F.col("top_size")) | ~F.endswith("key", F.lit(" ")))
+    rare = F.col("n") * RARER <= F.col("top")
+    counts = both.groupBy("seg", "usual").agg(F.count_if(rare).alias("rare"), F.count_if(~rare).alias("level"))
+    found = {(r.seg, r.usual): (r.rare, r.level) for r in counts.filter((F.col("rare") >= CONTEXTS) & (F.col("level") * 2 <= F.col("rare"))).collect()}
+    return sorted(p for p, (n, level) in found.items() if n >= 2 * (level + found.get(p[::-1], (0, 0))[0]))
+
+
+_IGNORED = regex.compile(r"[\p{Default_Ignorable_Code_Point}]")
+_SCRIPTS = [regex.compile(rf"\p{{Script_Extensions={name}}}") for name in ("Latin", "Greek", "Cyrillic", "Armenian", "Hebrew", "Arabic", "Han", "Hangul", "Hiragana", "Katakana")]
+
+
+def _in(char: str, codec: str) -> bool:
+    try:
+        return bool(char.encode(codec))
+    except UnicodeEncodeError:
+        return False
+
+
+def _visible(op: Op) -> bool:
+    """Whether the two look different: no other encoding, case or look-alike of another script, nor a traditional form of a simplified one."""
+    plain = lambda t: _IGNORED.sub("", unicodedata.normalize("NFKC", t)).casefold()
+    a, b = plain(op.written), plain(op.printed)
+    if a == b:
+        return False
+    if any(s.search(a) and not s.search(b) and any(z.search(b) for z in _SCRIPTS) for s in _SCRIPTS):
+        return False
+    # forms that are each found in one of the two national standards only
+    return not any(_in(x, p) and not _in(x, q) and _in(y, q) and not _in(y, p) for x, y in ((a, b),) for p, q in (("big5", "gb2312"), ("gb2312", "big5")))
+
+
+def _form(text: str, pos: int, op: Op) -> tuple[str, str] | None:
+    """What stands at the position and what it would become, as the forms that ``operations`` counts; None where neither is counted."""
+    a, b = max(0, pos - 41), pos + len(op.written)
+    for m in _SPACED.finditer(text, a, min(len(text), b + 41)):
+        if m.start() <= pos and b <= m.end():
+            return m.group(), text[m.start() : pos] + op.printed + text[b : m.end()]
+    if len(op.written) == len(op.printed) == 1:
+        for begin in (pos - 1, pos - 2, pos):
+            if begin >= 0 and len(part := text[begin : begin + 3]) == 3:
+                other = part[: pos - begin] + op.printed + part[pos - begin + 1 :]
+                if len(own := _trigrams([part])) and len(new := _trigrams([other])):
+                    return str(own[0]), str(new[0])
+    return None
+
+
+def confirmed(proposed: DataFrame, forms: DataFrame) -> DataFrame:
+    """Proposals without those of drawn pairs that make no usual form out of a rare one; was and would are the forms."""
+    asked = proposed.filter("was is not null")
+    known = asked.join(forms.select(F.col("form").alias("would"), F.col("n").alias("n_would")), "would").filter(F.col("n_would") >= USUAL)
+    known = known.join(forms.select(F.col("form").alias("was"), F.col("n").alias("n_was")), "was", "left").filter(F.coalesce("n_was", F.lit(0)) * RARER <= F.col("n_would"))
+    columns = [c for c in proposed.columns if c not in ("was", "would")]
+    return proposed.filter("was is null").select(columns).unionByName(known.select(columns))
+
+
+def operations(df: DataFrame, text: str) -> tuple[Operations, DataFrame]:
+    """(the table and the operations that all texts show, counts of forms: form, n). Shown are strings written in a context for the one that is usual there.
+
+    Words of scripts with blanks are compared whole, but for one or two characters (one replaced, inserted or deleted, or
+    two by one). Other scripts are compared by the character between two neighbours. Only counts of distinct words and
+    trigrams are shuffled, and only pairs (bounded by the alphabets) reach the driver. Pairs that look alike (``_visible``)
+    are no misreadings; digits are exchanged for letters and back only by the table.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+
+    def words(batches):
+        n: Counter[str] = Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                n.update(_SPACED.findall(t))
+            if len(n) > _HELD // 8:
+                yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], names=["word", "n"])
+                n = Counter()
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], names=["word", "n"])
+
+    def trigrams(batches):
+        held, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            own, n = np.unique(_trigrams(batch.column(0).to_pylist()), return_counts=True)
+            held, inverse = np.unique(np.append(held, own), return_inverse=True)
+            counts = np.bincount(inverse, np.append(counts, n), len(held)).astype(np.int64)
+            if len(held) > _HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts)], names=["t", "n"])
+                held, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(held):
+            yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts)], names=["t", "n"])
+
+    texts = df.filter(F.length(text) > 0).select(text)
+    whole = texts.mapInArrow(words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).checkpoint()
+    cut = F.expr("flatten(transform(array(1, 2), s -> transform(sequence(1, length(word) - s + 1), i -> struct(concat(left(word, i - 1), ' ', substring(word, i + s)) as key, substring(word, i, s) as seg))))")
+    spaced = whole.select("n", F.explode(cut).alias("x")).select("x.key", "x.seg", "n")
+    mask = (1 << 21) - 1
+    unspaced = texts.mapInArrow(trigrams, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).select(F.col("t").bitwiseAND(F.lit(~(mask << 21))).alias("key"), F.shiftright("t", 21).bitwiseAND(F.lit(mask)).alias("seg"), "n").checkpoint()
+    found = [Op(a, b) for a, b in _pairs(spaced, True)] + [Op(chr(a), chr(b)) for a, b in _pairs(unspaced, False)]
+    digit = lambda op: any(c.isdigit() for c in op.written + op.printed)
+    asked = {ord(c) for op in _BOTH for c in op.written if len(op.written) == 1}
+    counts = unspaced.filter(F.col("seg").isin(*asked)).groupBy("seg").agg(F.sum("n").alias("n")).collect()
+    forms = whole.withColumnRenamed("word", "form").unionByName(unspaced.select(F.col("key").bitwiseOR(F.shiftleft("seg", 21)).cast("string").alias("form"), "n"))
+    return Operations([op for op in found if not digit(op) and _visible(op)], {chr(r.seg): r.n for r in counts}), forms
+
+
+def fitted(df: DataFrame, text: str, bound: int = TRAIN_TEXTS, table: Operations = TABLE) -> np.ndarray:
     """Weights trained on at most ``bound`` distinct texts in order of their hash.
 
     The sample goes to one task, which trains and returns the weights (4 MB); the driver never holds the texts.
@@ -285,10 +449,10 @@ def fitted(df: DataFrame, text: str, bound: int = TRAIN_TEXTS) -> np.ndarray:
     def run(batches):
         texts = sorted({t for batch in batches for t in batch.column(0).to_pylist()})
         # the order of the hash can't be had here; any fixed order does
-        yield pa.RecordBatch.from_arrays([pa.array([train(texts[:: max(1, -(-len(texts) // bound))]).tobytes()], pa.binary())], names=["w"])
+        yield pa.RecordBatch.from_arrays([pa.array([train(texts[:: max(1, -(-len(texts) // bound))], table=table).tobytes()], pa.binary())], names=["w"])
 
     rows = own.coalesce(1).mapInArrow(run, "w binary").collect()
-    return np.frombuffer(rows[0].w, np.float32) if rows else train([])
+    return np.frombuffer(rows[0].w, np.float32) if rows else train([], table=table)
 
 
 _WORD = r"(?<![\p{L}\p{N}])(?<![-‐­¬]\n)(\p{L}{2,}(?:[-‐]\p{L}{2,})*)(?![\p{L}\p{N}])(?![-‐­¬](?:\s|$))"
@@ -316,9 +480,10 @@ def vocabulary(df: DataFrame, text: str) -> DataFrame:
 _LEFT, _RIGHT = regex.compile(r"\p{L}+$"), regex.compile(r"[ \t]*\n?[ \t]*(\p{L}+)")
 
 
-def proposals(df: DataFrame, key: str, text: str, weights: np.ndarray, following: str | None = None) -> DataFrame:
+def proposals(df: DataFrame, key: str, text: str, weights: np.ndarray, following: str | None = None, table: Operations = TABLE) -> DataFrame:
     """What the editor proposes: key, kind ('misread', 'soft', 'hard'), pos, written, printed, score.
 
+    was and would are the forms before and after an operation that isn't in the table, for ``confirmed``.
     'soft' and 'hard' are joins at a mark that can't or can be part of a word; written and printed are then the parts of
     the word. ``following`` is the text that comes after (the next box), for marks at the end.
     """
@@ -326,24 +491,28 @@ def proposals(df: DataFrame, key: str, text: str, weights: np.ndarray, following
     shared = df.sparkSession.sparkContext.broadcast(weights)  # 4 MB, whatever the data
 
     def run(batches):
-        editor = Editor(shared.value)
+        editor = Editor(shared.value, table)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             after = batch.column(2).to_pylist()
             row, pos, op, score = editor.edits(texts)
-            rows = [(int(i), "misread", int(p), OPS[o].written, OPS[o].printed, float(s)) for i, p, o, s in zip(row, pos, op, score)]
+            rows = []
+            for i, p, o, s in zip(row, pos, op, score):
+                form = _form(texts[i], int(p), table.ops[o]) if o >= table.known else (None, None)
+                if form:
+                    rows.append((int(i), "misread", int(p), table.ops[o].written, table.ops[o].printed, float(s), *form))
             for i, t in enumerate(texts):
                 if any(m in t for m in MARKS) and (found := _joins(t)):
                     for p, s in zip(found, editor.join_scores(t, found)):
                         left = _LEFT.search(t, max(0, p - 40), p)
                         right = _RIGHT.match(t, p + 1) or (_RIGHT.match(after[i]) if after[i] and not t[p + 1 :].strip() else None)
-                        rows.append((i, "soft" if t[p] in SOFT else "hard", p, left.group() if left else "", right.group(1) if right else "", float(s)))
+                        rows.append((i, "soft" if t[p] in SOFT else "hard", p, left.group() if left else "", right.group(1) if right else "", float(s), None, None))
             if rows:
                 c = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(c[0])), pa.array(c[1]), pa.array(c[2], pa.int64()), pa.array(c[3], pa.string()), pa.array(c[4], pa.string()), pa.array(c[5], pa.float64())], names=["k", "kind", "pos", "written", "printed", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(c[0])), pa.array(c[1]), pa.array(c[2], pa.int64()), pa.array(c[3], pa.string()), pa.array(c[4], pa.string()), pa.array(c[5], pa.float64()), pa.array(c[6], pa.string()), pa.array(c[7], pa.string())], names=["k", "kind", "pos", "written", "printed", "score", "was", "would"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.filter(F.length(text) > 0).select(*columns).mapInArrow(run, f"k {kind}, kind string, pos bigint, written string, printed string, score double").distinct().withColumnRenamed("k", key)
+    return df.filter(F.length(text) > 0).select(*columns).mapInArrow(run, f"k {kind}, kind string, pos bigint, written string, printed string, score double, was string, would string").distinct().withColumnRenamed("k", key)
 
 
 def divided(proposed: DataFrame, key: str, words: DataFrame) -> DataFrame:
@@ -456,8 +625,9 @@ def analysed(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEX
     """
     ensure_checkpoint_dir(spark)
     texts = _boxes(pages)
-    weights = fitted(texts, "text", train_texts)
-    proposed = proposals(texts, "box_key", "text", weights, "following").checkpoint()
+    table, forms = operations(texts, "text")
+    weights = fitted(texts, "text", train_texts, table)
+    proposed = confirmed(proposals(texts, "box_key", "text", weights, "following", table).checkpoint(), forms).checkpoint()
     joins = divided(proposed, "box_key", vocabulary(texts, "text"))
     mended = proposed.filter("kind = 'misread'").unionByName(proposed.filter("kind <> 'misread'").join(joins, ["box_key", "pos"], "left_semi").withColumn("kind", F.lit("split_word")).select(proposed.columns))
     lines = edge_lines(pages).checkpoint()

@@ -73,3 +73,33 @@ def test_paragraphs(spark):
     text = "\n".join(r.text for r in got if r.page_id == 2)
     assert "commission" in text and "- 2 -" not in text and "第一章" not in text
     assert scan.join_lines("一行\n两行\n\nab\ncd") == "一行两行\n\nab cd"
+
+
+def test_pairs_drawn_from_the_corpus(spark):
+    # no pair asked for is in the table; the last three texts only have a look-alike of another script
+    zh = ["河务部门保存了这份名册。", "县里的河务由专人管理。", "他们在河务会上报告。", "各地河务逐年增加。"]
+    la = ["the vessel carried heavy timber downstream", "another vessel waited near the harbour", "this village sold timber every spring", "the valley produced velvet and vinegar"]
+    texts = [f"{a} {b}" for a in zh for b in la] * 30
+    bad = [t.replace("河务", "河努") for t in texts[:4:4]] + [texts[4].replace("河务", "河努"), texts[8].replace("河务", "河努")]
+    bad += ["the uessel carried heavy", "another uillage waited", "the ualley produced", "the timmber harbour", "heavy vellvet and vinegar", "the villlage sold", "the vallley near", "the harrbour", "the vеssel", "the vеlvet", "the vinеgar"]
+    own = spark.createDataFrame([(i, t) for i, t in enumerate(texts + bad)], "k bigint, t string")
+    table, forms = scan.operations(own, "t")
+    new = set(table.ops[table.known :])
+    assert {scan.Op("努", "务"), scan.Op("u", "v"), scan.Op("ll", "l")} <= new
+    assert not any("е" in op.written for op in new)
+    editor = scan.Editor(scan.train(texts, table=table), table)
+    held = texts[:16]
+    assert len(editor.edits(held)[0]) == 0
+    for written, printed in (("uessel", "vessel"), ("河努", "河务"), ("vallley", "valley")):
+        damaged = [t.replace(printed, written) for t in held if printed in t]
+        row, pos, op, _ = editor.edits(damaged)
+        by = {}
+        for i, p, o in zip(row, pos, op):
+            by.setdefault(int(i), []).append((int(p), "misread", table.ops[o].written, table.ops[o].printed))
+        mended = [scan.mend(t, by.get(i, [])) for i, t in enumerate(damaged)]
+        assert np.mean([a == b for a, b in zip(mended, [t for t in held if printed in t])]) >= 0.5, written
+    # a usual word stays, whatever the editor says
+    row = [(1, "misread", 0, "u", "v", 1.0, "uessel", "vessel"), (2, "misread", 0, "v", "u", 1.0, "vessel", "uessel"), (3, "misread", 0, "1", "l", 1.0, None, None)]
+    asked = spark.createDataFrame(row, "k bigint, kind string, pos bigint, written string, printed string, score double, was string, would string")
+    assert {r.k for r in scan.confirmed(asked, forms).collect()} == {1, 3}
+    assert scan._form("在河努会上", 2, scan.Op("努", "务")) == tuple(str(scan._trigrams([t])[0]) for t in ("河努会", "河务会"))
