@@ -3,10 +3,11 @@
 A text is fed through a streaming parser (the standard library's HTML parser, with tokenisers for Markdown, wiki and LaTeX
 signs on the character data between the tags). Its events give, per line, the characters of text and of markup. The
 text-to-tag ratio of the lines is smoothed with a Gaussian, and a two-cluster threshold separates content regions from
-lines that are mostly markup; of those, lines without words are dropped. What stays is written in one plain notation:
+lines that are mostly markup; of those, only lines without words are dropped, as headings, cells and formulas are
+content too. What stays is written in one plain notation:
 ``# `` headings, ``- `` items, ``| a | b |`` rows, fenced code, ``$ $`` formulas.
 
-Signs of the printed text (comparisons, prices, paths, note marks, page numbers) are no events.
+Elements and commands of any name count by their syntax. Signs of the printed text (comparisons, prices, paths, note marks, page numbers) are no events.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ from pyspark.sql import functions as F
 
 from pagewright.llm.tables import map_arrow
 
-#: Element names (HTML and those of wikis) and LaTeX commands that count as markup without arguments.
+#: Element names (HTML and those of wikis) that count as tags whatever follows them, and LaTeX commands that
+#: count wherever they stand. Other names need the full syntax of a tag, other commands a place where no path can be.
 ELEMENTS = set(
     "a abbr address article aside b blockquote body br button caption center cite code col colgroup dd del details dfn div dl dt em figcaption figure font footer form h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label li link main map mark math meta nav nobr noscript object ol option p param picture pre q rp rt ruby s samp script section select small source span strike strong style sub summary sup svg table tbody td textarea tfoot th thead time title tr tt u ul var video wbr ref references nowiki gallery syntaxhighlight blink big".split()
 )
-COMMANDS = "alpha begin beta bf bibitem bigskip cdot cdots centering chapter cite citep citet cos delta ell emph end epsilon eqref eta footnote footnotesize frac ge geq gamma hline hspace href huge in include includegraphics infty input int it item label lambda large ldots le left leq lim ln log mathbb mathbf mathcal mathrm medskip mu nabla ne neq newline newpage noindent omega par paragraph partial phi pi prime prod psi qquad quad ref right rho rm sc section sigma sim sin small smallskip sqrt sub subsection subsubsection sum tan tau textbf textit textrm textsc textsf textsuperscript texttt theta times title tt underline url usepackage vspace xi zeta".split()
+COMMANDS = "alpha approx begin beta bf bibitem bigskip cdot cdots centering chapter cite citep citet cos delta ell emph end epsilon eqref equiv eta exists footnote footnotesize forall frac ge geq gamma hline hspace href huge in include includegraphics infty input int iota it item kappa label lambda large ldots le left leftarrow leftrightarrow leq lim ln log mathbb mathbf mathcal mathrm medskip mu nabla ne neq newline newpage noindent omega par paragraph partial phi pi prime prod psi qquad quad ref right rightarrow rho rm sc section sigma sim sin small smallskip sqrt sub subsection subsubsection sum tan tau textbf textit textrm textsc textsf textsuperscript texttt theta times title tt underline url usepackage vspace xi zeta".split()
 _CMD = "|".join(sorted(COMMANDS, key=len, reverse=True))
 _ARG = "textbf|textit|textsc|texttt|emph|section|subsection|subsubsection|chapter|paragraph|cite|citep|citet|footnote|caption|label|eqref|ref|begin|end|frac|sqrt|item|url|href"
 _NAMES = "|".join(sorted(ELEMENTS, key=len, reverse=True))
@@ -48,6 +50,8 @@ PATTERNS: list[tuple[str, str, regex.Pattern]] = [
         ("latex", "environment", r"\\(?:begin|end)\s*(?:\{[^{}\n]*\}?)?(?:\[[^\]\n]*\])?"),
         ("latex", "command", rf"~?\\(?:{_CMD})(?![A-Za-z])\*?(?:\[[^\]\n]*\])?"),
         ("latex", "command", r"~?\\[A-Za-z]{2,}\*?(?=\{)"),
+        # not inside a path, nor at the head of one
+        ("latex", "command", r"(?<![A-Za-z0-9._\-]{2}|[\\:/.])~?\\[A-Za-z]{2,}(?![A-Za-z0-9\\/.\-]*[\\/]|[A-Za-z0-9_\-]|\.[A-Za-z0-9])\*?"),
         ("latex", "command", rf"(?<![A-Za-z\\])(?:{_ARG})(?=\{{[^{{}}\n]+\}})"),
         ("latex", "break", r"\\\\(?=\s*$|\s*\[|\s+\S)|\s&\s(?=[^\n]*\\\\)"),
         ("wiki", "heading", r"^\s*={2,6}\s*[^=\n]+?\s*={2,6}\s*$|^\s*={2,6}\s+[^=\n]+$|^[^=\n]+\s={2,6}\s*$"),
@@ -80,7 +84,9 @@ PATTERNS: list[tuple[str, str, regex.Pattern]] = [
 _ENTITY = regex.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 _PAGE_LINE = regex.compile(r"^\s*[-–—*·]\s*[\divxlcIVXLC]{1,6}\s*[-–—*·]\s*$", regex.M)
 _STARS = regex.compile(r"^\s*\*(?:\s*\*)+\s*$", regex.M)
+#: The tags among what the parser calls so: names of the list with anything behind them, others with attributes that have values.
 _TAG = regex.compile(rf"</?(?:{_NAMES})(?=[\s/>])[^<>]*>|<!--.*?-->|<!DOCTYPE[^<>]*>", regex.I | regex.S)
+_OTHER = regex.compile(r"<[A-Za-z](?:[\w.-]*:)?(?:[\w-]|\.(?!\d))+(?:\s+[A-Za-z_][\w:.-]*\s*=\s*(?:\"[^\"<>]*\"|'[^'<>]*'|[^\s<>\"'=]+))*\s*/?>|</[A-Za-z](?:[\w.-]*:)?(?:[\w-]|\.(?!\d))+\s*>", regex.A)
 
 #: A cheap test, for the JVM: a text without any of these signs has no event.
 SIGNS = r"[<>`\\{}\[|$&#*_~=]|''|(?m)^\s*[-+]\s|-{3,}"
@@ -94,6 +100,38 @@ class Event:
     end: int
 
 
+class _Tags(HTMLParser):
+    """Spans of the tags, comments and declarations of a text."""
+
+    def __init__(self, text: str) -> None:
+        super().__init__(convert_charrefs=False)
+        self.text, self.spans = text, []
+        self.lines = [0] + [m.end() for m in regex.finditer("\n", text)]
+        self.feed(text)
+        self.close()
+
+    def take(self) -> None:
+        line, offset = self.getpos()
+        at = self.lines[line - 1] + offset
+        if m := _TAG.match(self.text, at) or _OTHER.match(self.text, at):
+            self.spans.append(m.span())
+
+    def handle_starttag(self, tag: str, attrs) -> None:
+        self.take()
+
+    def handle_endtag(self, tag: str) -> None:
+        self.take()
+
+    def handle_startendtag(self, tag: str, attrs) -> None:
+        self.take()
+
+    def handle_comment(self, data: str) -> None:
+        self.take()
+
+    def handle_decl(self, decl: str) -> None:
+        self.take()
+
+
 def events(text: str) -> Iterator[Event]:
     """Markup events of a text, from all kinds, in order of precedence rather than of place; they don't overlap."""
     used: list[tuple[int, int]] = [m.span() for m in _PRINTED.finditer(text)] if "\\" in text else []
@@ -103,10 +141,10 @@ def events(text: str) -> Iterator[Event]:
         return all(b <= x or a >= y for x, y in used)
 
     if "<" in text:
-        for m in _TAG.finditer(text):
-            if free(*m.span()):
-                used.append(m.span())
-                yield Event("html", "tag", *m.span())
+        for span in _Tags(text).spans:
+            if free(*span):
+                used.append(span)
+                yield Event("html", "tag", *span)
     if "&" in text:
         for m in _ENTITY.finditer(text):
             if html.unescape(m.group()) != m.group() and free(*m.span()):
@@ -148,7 +186,7 @@ class _Writer(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag not in ELEMENTS:
-            self.out.append(self.get_starttag_text() or "")
+            self.other()
         elif tag in ("script", "style"):
             self.skip += 1
         elif len(tag) == 2 and tag[0] == "h" and tag[1].isdigit():
@@ -179,7 +217,13 @@ class _Writer(HTMLParser):
         if tag in ("br", "hr"):
             self.handle_starttag(tag, attrs)
         elif tag not in ELEMENTS:
-            self.out.append(self.get_starttag_text() or "")
+            self.other()
+
+    def other(self) -> None:
+        """What is no tag by its syntax is printed text."""
+        raw = self.get_starttag_text() or ""
+        if not _OTHER.fullmatch(raw):
+            self.out.append(raw)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in ("script", "style"):

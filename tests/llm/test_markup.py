@@ -41,3 +41,21 @@ def test_frame(spark):
     df = spark.createDataFrame([(1, "<b>x</b>", "c"), (1, "<b>x</b>", "c"), (2, None, None), (3, "", ""), (4, "*" * 5000, ""), (5, "<" * 3000, "")], "box_key bigint, text string, clean string")
     assert [r.box_key for r in M.marked(df, "box_key", "text").collect()] == [1]
     assert M.marked(df.limit(0), "box_key", "text").count() == 0
+
+
+def test_elements_and_commands_of_any_name():
+    for text, kinds, clean in (
+        ("see <formula>x + y</formula> here", {"html"}, "see x + y here"),
+        ('a <tei:note place="foot">word</tei:note> b', {"html"}, "a word b"),
+        ("line <pb n='3'/> on", {"html"}, "line  on"),
+        (r"so x \approx y", {"latex"}, None),
+        (r"x\approx y", {"latex"}, None),
+        (r"a \rightarrow b, \forall c, \kappa", {"latex"}, None),
+        (r"a \varkappa b", {"latex"}, None),
+        (r"\kappa\approx 3", {"latex"}, None),
+    ):
+        assert {e.kind for e in M.markup(text)} == kinds, text
+        if clean is not None:
+            assert M.clean(text) == clean
+    for text in ("a < b and c > d", "<see page 3>", "<https://a.org/x>", "<name@a.org>", "x<y>z", r"data\files\new", r"the folder \share\plans\one.txt", r"D:\maps\old", r"\\host\share"):
+        assert M.markup(text) == [], text
