@@ -94,6 +94,17 @@ def envelope_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return written.select("doc_id", *[c.alias(n) for n, c in zip(("model", "content"), envelope.read(F.col("e")))])
 
 
+def envelope_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts of all documents, written to model envelopes and read out of their fenced content again."""
+    from pagewright.sinks import envelope
+
+    d = table(spark, sf, "documents").filter("text is not null").select("doc_id", F.col("text").alias("t"))
+    model, content = envelope.read(envelope.write("rules", F.to_json(F.struct("t"))))
+    # in steps, as each function names its text several times
+    read = d.select("doc_id", model.alias("model"), content.alias("content")).withColumn("content", X.unfence(F.col("content")))
+    return read.withColumn("o", X.json_object(F.col("content"))).select("doc_id", "model", F.from_json("o", "t string")["t"].alias("text"))
+
+
 def closed_tags(spark: SparkSession, sf: str) -> DataFrame:
     """Fragments with HTML, their open elements closed."""
     b = _blocks(spark, sf).filter(F.contains("text", F.lit("<")))
@@ -117,7 +128,7 @@ def page_fusion(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = (closed_tags, html_table_markdown, polygon_boxes, document_model_names, natural_page_order, json_extraction, envelope_roundtrip, text_fusion_positional, text_fusion_aligned, page_fusion)
+    own = (closed_tags, html_table_markdown, polygon_boxes, document_model_names, natural_page_order, json_extraction, envelope_roundtrip, envelope_documents, text_fusion_positional, text_fusion_aligned, page_fusion)
     return _BLOCK_QUERIES | {f.__name__: f for f in own}
 
 
@@ -160,6 +171,7 @@ select box_key, case when len(rs) < 1 then '' else ls[1] || '| ' || array_to_str
         "natural_page_order": "with p as (select distinct on (page_id) page_id, doc_key, filename, coalesce(try_cast(nullif(regexp_extract(filename, '^([0-9]+)\\.', 1), '') as int), 0) stem from ocr_pages) select page_id, stem, row_number() over (partition by doc_key order by stem, filename, page_id) place from p",
         "json_extraction": "select doc_id, doc_id id, cast(length(text) as bigint) n from documents where text is not null",
         "envelope_roundtrip": "select doc_id, case when doc_id % 10 = 0 then '' else 'rules' end model, case when doc_id % 10 = 0 then '' else '```json' || chr(10) || cast(to_json({'t': left(text, 20)}) as varchar) || chr(10) || '```' end as content from documents where text is not null",
+        "envelope_documents": "select doc_id, 'rules' model, text from documents where text is not null",
         "text_fusion_positional": _MAP + _B.replace("with pg", ", pg", 1) + f""",
 lt as (select b.box_key, any_value(b.text) as text, string_agg(mb.text, chr(10) order by mb.md_line_index, mb.map_id) l from b join mb on mb.doc_key = b.doc_key and mb.page = b.page and (mb.x0 + mb.x1) / 2 between b.x0 - 5 and b.x1 + 5 and (mb.y0 + mb.y1) / 2 between b.y0 - 5 and b.y1 + 5 group by b.box_key),
 ch as (select box_key, regexp_extract_all(text, '(?s).') o, regexp_extract_all(regexp_replace(l, '{blank}', '', 'g'), '(?s).') n from lt),

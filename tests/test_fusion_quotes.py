@@ -137,3 +137,15 @@ def test_closed_tags(spark):
     df = spark.createDataFrame([(c[0],) for c in cases], "t string")
     got = [tuple(r) for r in df.select(html.closed(F.col("t")).alias("c")).select("c.*").collect()]
     assert got == [(c[1], c[2]) for c in cases]
+
+
+def test_envelopes_of_whole_texts(spark, tmp_path):
+    from pagewright.plans import text_queries
+
+    texts = ["", "short", "第一行\n“引文”\r\n\t\"quoted\" \\ back", "```json\n{\"t\": 1}\n```", "} {", "a}\n```", "\u0001\u2028\x7f😀", "long “x”\n" * 20_000, None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.model, r.text) for r in text_queries.queries()["envelope_documents"](spark, str(tmp_path)).collect()}
+    assert got == {i: ("rules", t) for i, t in enumerate(texts) if t is not None}
+    broken = ["{broken", "", "[]", "{\"model\": \"m\"}", "{\"message\": {\"content\": \"c\"}}", None]
+    read = spark.createDataFrame([(b,) for b in broken], "e string").select(*envelope.read(F.col("e"))).collect()
+    assert [tuple(r) for r in read] == [("", ""), ("", ""), ("", ""), ("m", ""), ("", "c"), ("", "")]
