@@ -149,3 +149,14 @@ def test_envelopes_of_whole_texts(spark, tmp_path):
     broken = ["{broken", "", "[]", "{\"model\": \"m\"}", "{\"message\": {\"content\": \"c\"}}", None]
     read = spark.createDataFrame([(b,) for b in broken], "e string").select(*envelope.read(F.col("e"))).collect()
     assert [tuple(r) for r in read] == [("", ""), ("", ""), ("", ""), ("m", ""), ("", "c"), ("", "")]
+
+
+def test_reports_show_or_name_all_rows(spark):
+    r = spark.createDataFrame([(str(i), [(f"wrong{i};", "right")]) for i in range(7)], "id string, errors array<struct<content:string,rightSentences:string>>")
+    assert "4 more not shown" in report.check_html(r, limit=3) and "not shown" not in report.check_html(r, limit=7)
+    pages = list(report.check_pages(r, limit=3))
+    assert [p.count("<li>") for p in pages] == [3, 3, 1] and all(f"wrong{i};" in "".join(pages) for i in range(7))
+    pairs = spark.createDataFrame([(f"m{i}", ["a"], ["a"]) for i in range(5)], "model string, b array<string>, o array<string>")
+    assert "3 more not shown" in report.comparison_html(pairs, "model", "b", "o", limit=2)
+    assert sum(p.count("<td>m") for p in report.comparison_pages(pairs, "model", "b", "o", limit=2)) == 5
+    assert [p.count("<li>") for p in report.check_pages(r.limit(0))] == [0]
