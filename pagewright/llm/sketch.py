@@ -21,49 +21,60 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_POWERS = np.ones(1, np.uint64)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_TABLES: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        step = np.full(max(n, 2 * len(_POWERS)), _BASE, np.uint64)
+def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
+    known = _TABLES.get(int(base))
+    if known is None or len(known) < n:
+        step = np.full(max(n, 2 * len(known) if known is not None else 1024), base, np.uint64)
         step[0] = 1
-        _POWERS = np.cumprod(step, dtype=np.uint64)
-    return _POWERS[:n]
+        _TABLES[int(base)] = known = np.cumprod(step, dtype=np.uint64)
+    return known[:n]
 
 
-def prefix_hashes(codes: np.ndarray) -> np.ndarray:
-    """Hash of every prefix of one text: entry k - 1 is that of the first k characters."""
-    with np.errstate(over="ignore"):
-        return mix(np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * powers(len(codes)), dtype=np.uint64))
+class Spans:
+    """Hashes of any spans of a code point array, from one running sum: equal spans have equal hashes wherever they stand."""
 
+    def __init__(self, codes: np.ndarray) -> None:
+        with np.errstate(over="ignore"):
+            self.sums = np.zeros(len(codes) + 1, np.uint64)
+            np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * powers(len(codes)), dtype=np.uint64, out=self.sums[1:])
+        self.back = powers(len(codes) + 1, _INVERSE)
 
-def window_hashes(codes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k characters that end at each position; meaningless for the first k - 1 positions."""
-    c = codes.astype(np.uint64) + np.uint64(1)
-    out = np.zeros(len(c), np.uint64)
-    p = powers(k + 1)
-    with np.errstate(over="ignore"):
-        for j in range(k):
-            out[j:] += c[: len(c) - j] * p[j]
-    return mix(out + np.uint64(k))
+    def of(self, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
+        """Hashes of codes[start:end]; spans of another length or salt have another hash."""
+        with np.errstate(over="ignore"):
+            return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64) * _M1 + np.uint64(salt) * _M2)
 
 
-#: Bits of a bitmap: 2**24 (2 MB), whatever the number of hashes. Fuller bitmaps let more rows through to the exact join.
-BITS = 24
+#: Bits of a filter for each hash, and the most that a filter has (2**27 bits, 16 MB). Beyond about 8 million hashes a filter
+#: lets more rows through to the exact join, whose result is the same.
+PER_HASH, MOST_BITS = 16, 27
 
 
-def bitmap(hashes: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
-    """A bitmap of the column's low ``bits`` bits, folded on the executors; the driver gets at most 2**(bits - 6) words."""
-    low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
-    words = hashes.select(F.shiftright(low, 6).alias("w"), F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+def size_of(n: int) -> int:
+    """Bits (as a power of two) of a filter for n hashes."""
+    return min(MOST_BITS, max(16, (n * PER_HASH).bit_length()))
+
+
+def bitmap(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A filter of 2**bits bits with two bits for each hash, folded on the executors; the driver gets at most 2**(bits - 6) words."""
+    mask = F.lit((1 << bits) - 1)
+    low = F.explode(F.array(F.col(column).bitwiseAND(mask), F.shiftrightunsigned(F.col(column), 64 - bits)))
+    at = hashes.select(low.alias("p"))
+    words = at.select(F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
     out = np.zeros(1 << (bits - 6), np.int64)
     table = words.toArrow()
     out[table.column("w").to_numpy().astype(np.int64)] = table.column("b").to_numpy()
     return out.view(np.uint64)
 
 
-def hit(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    low = hashes & np.uint64(len(words) * 64 - 1)
-    return (words[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) != 0
+def hits(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Positions whose hash may be in the filter."""
+    one = lambda p: (words[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) != 0
+    bits = (len(words) * 64).bit_length() - 1
+    found = np.flatnonzero(one(hashes & np.uint64((1 << bits) - 1)))
+    return found[one(hashes[found] >> np.uint64(64 - bits))]

@@ -29,3 +29,32 @@ def test_empty_and_long(spark):
     assert T.truncated(df, "doc_id", "text").count() == 0
     long = spark.createDataFrame([(1, "字" * 300_000), (2, None)], "doc_id bigint, text string")
     assert [r.doc_id for r in T.truncated(long, "doc_id", "text").collect()] == [1]
+
+
+def test_copies_prefix_by_level(spark):
+    full = texts()
+    long = [(i, f"{t}Zuletzt wurde der Band nach Abs. {i} geprüft, wie es der Rat verlangt.") for i, t in enumerate(full)]
+    # cut inside a sentence, behind the point of an abbreviation, at a sentence's end, inside a closing list item
+    cut = {5000: long[0][1][:-20], 5001: long[1][1].partition("Abs.")[0] + "Abs.", 5003: full[9] + "\n1. Ein langer Titel des Ban"}
+    whole = {6000: full[2], 6001: full[3] + "\n1. Ein anderer Titel"}
+    more = [(7000, full[9] + "\n1. Ein langer Titel des Bandes"), (7001, full[3] + "\n1. Ein anderer Titel\n2. Noch einer")]
+    df = spark.createDataFrame([*long, *cut.items(), *whole.items(), *more], "doc_id bigint, text string")
+    got = {r.doc_id: r.evidence for r in T.truncated(df, "doc_id", "text").collect()}
+    assert {k: got.get(k) for k in cut} == dict.fromkeys(cut, "copy")
+    assert not (set(whole) | {k for k, _ in long} | {7000, 7001}) & set(got)
+    # without copies of the whole text, those of its last sentence decide
+    alone = spark.createDataFrame([(i, f"Text {i}. {SENT[3].format(i)}") for i in range(20)] + [(99, "Neuer Anfang. 据乡长回忆，全长约77公里的河道流")], "doc_id bigint, text string")
+    assert {r.doc_id: r.evidence for r in T.truncated(alone, "doc_id", "text").collect()} == {99: "sentence"}
+
+
+def test_spans_equal_wherever_they_stand():
+    import numpy as np
+
+    from pagewright.llm.sketch import Spans
+
+    codes = np.array([ord(c) for c in "abcXabcYabd"], np.uint32)
+    a, b = Spans(codes), Spans(codes[4:7])
+    at = np.array([0, 4, 8])
+    h = a.of(at, at + 3)
+    assert h[0] == h[1] == b.of(np.array([0]), np.array([3]))[0] and h[0] != h[2]
+    assert a.of(at[:1], at[:1] + 3, 1)[0] != h[0]
