@@ -2,9 +2,10 @@
 
 Every JSON record is reduced to its paths and their types, every file to a *fingerprint* (the sorted path-type pairs of its
 records). Fingerprints of a stream are versioned in order of writing; each version has explicit migration steps against
-the one before it (add, remove, rename, retype). Records are then routed through the chained steps of their file into the
-stream's one consistent layout: renames give the path its first name, missing paths default to null, and values are cast
-to the widest type the path ever had.
+the one before it (add, remove, rename, retype). Records are then routed through the chained rules of their file into one
+consistent table: rename rules give a field its first name, cast rules the widest type that it has anywhere, and default
+rules a value (null unless one is given) where a file or record lacks it. A name that comes back while its old field goes on
+under another is another field and gets a name of its own (``a#2``).
 
 Records that are not JSON objects are left out. Null has no type, so a path that is only ever null in a file exists there
 without a type and can't be retyped. An empty array counts as an array of unknown elements.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -21,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Marks of types that give no evidence by themselves.
 NULL, EMPTY = "null", "array<>"
@@ -211,54 +214,184 @@ def widest(a: str, b: str) -> str:
     return a if rank(a) >= rank(b) else b
 
 
+class Names:
+    """The canonical name of each path of a stream, carried from file to file."""
+
+    def __init__(self) -> None:
+        self.now: dict[str, str] = {}  # path -> canonical, of the fields that are there
+        self.last: dict[str, str] = {}  # canonical -> the name that it has or had last
+
+    def rename(self, old: str, new: str) -> None:
+        own = self.now.pop(old, old)
+        self.now[new], self.last[own] = own, new
+
+    def remove(self, path: str) -> None:
+        self.now.pop(path, None)
+
+    def of(self, path: str) -> str:
+        """The name of a path; one that comes back under its last name is the same field, if that isn't there by another name."""
+        if path not in self.now:
+            here = set(self.now.values())
+            back = [c for c, name in self.last.items() if name == path and c not in here]
+            own, n = back[0] if back else path, 2
+            while not back and own in self.last:
+                own, n = f"{path}#{n}", n + 1
+            self.now[path], self.last[own] = own, path
+        return self.now[path]
+
+
 def migrations(records: DataFrame, **columns: str) -> DataFrame:
-    """Per file the chained rename and cast rules: stream, file, version, rules (array of struct<path, canonical, type>).
+    """Per file the chained rename rules: stream, file, version, path, canonical, own (the type of the path in the file).
 
     The chain of a stream is folded over its fingerprints (one small row per file) in order of writing, row by row as they
-    stream by, so that a stream of any length needs the memory of one schema. The type of a canonical path is the widest
-    that it has in any file of the stream.
+    stream by, so that a stream of any length needs the memory of one schema.
     """
     prints = fingerprints(records, **columns)
     ordered = prints.repartition("stream").sortWithinPartitions("stream", "written", "file")
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stream, names, before, version = None, {}, None, 0
+        stream, names, before, version = None, Names(), None, 0
         for pdf in frames:
             rows = []
             for row in pdf.itertuples():
                 if before is None or row.stream != stream:
-                    stream, names, before, version = row.stream, {}, None, 0
+                    stream, names, before, version = row.stream, Names(), None, 0
                 now = {r["path"]: set(r["types"]) for r in row.paths}
                 if before is not None:
                     version += 1
-                    for kind, old, new in compare(before, now):
+                    steps = compare(before, now)
+                    for kind, old, new in steps:
                         if kind == "renamed":
-                            names[new] = names.pop(old, old)
-                rows += [(row.stream, row.file, version, p, names.setdefault(p, p), merge_types(t)) for p, t in sorted(now.items())]
+                            names.rename(old, new)
+                    # what stands for an object or array that others have is no field
+                    for path in set(before) - set(now):
+                        names.remove(path)
+                rows += [(row.stream, row.file, version, p, names.of(p), merge_types(t)) for p, t in sorted(now.items())]
                 before = now
             yield pd.DataFrame(rows, columns=["stream", "file", "version", "path", "canonical", "own"])
 
-    chained = ordered.mapInPandas(fold, "stream string, file string, version bigint, path string, canonical string, own string").persist()
+    return ordered.mapInPandas(fold, "stream string, file string, version bigint, path string, canonical string, own string")
 
-    @F.pandas_udf("string")
-    def widest_of(types: pd.Series) -> pd.Series:
-        return types.map(lambda ts: functools.reduce(widest, sorted(ts), ""))
 
-    kinds = chained.groupBy("stream", "canonical").agg(F.collect_set("own").alias("t")).select("stream", "canonical", widest_of("t").alias("type"))
-    rules = chained.join(kinds, ["stream", "canonical"]).groupBy("stream", "file", "version")
-    return rules.agg(F.array_sort(F.collect_list(F.struct("path", "canonical", "type"))).alias("rules"))
+def aliases(chained: DataFrame) -> dict[str, str]:
+    """First names that are later names of a field in other streams -> that field's name, for one table of all streams.
+
+    A name is only taken over if its streams are fewer than those that have the field, and no file has both. The driver gets
+    pairs of field names, whose number is that of the renames that ever occur, not of files or records.
+    """
+    pairs = chained.filter("path <> canonical and canonical not like '%#%'").select("canonical", "path").distinct()
+    streams = chained.groupBy("canonical").agg(F.count_distinct("stream").alias("n"))
+    own = chained.select("stream", "canonical").distinct()
+    a, b = own.withColumnRenamed("canonical", "a"), own.withColumnRenamed("canonical", "b")
+    asked = pairs.join(streams.withColumnsRenamed({"canonical": "path", "n": "n_path"}), "path").join(streams, "canonical").filter("n_path < n")
+    both = asked.join(a, F.col("canonical") == F.col("a")).join(b, ["stream"]).filter("b = path").select("canonical", "path").distinct()
+    rows = asked.join(both, ["canonical", "path"], "left_anti").groupBy("path").agg(F.max_by("canonical", F.struct("n", "canonical")).alias("to")).collect()
+    to = {r.path: r.to for r in rows}
+    # names that are taken over themselves are followed to the end
+    return {p: end for p in to if (end := _follow(p, to)) != p}
+
+
+def _follow(name: str, to: dict[str, str]) -> str:
+    seen = {name}
+    while name in to and to[name] not in seen:
+        name = to[name]
+        seen.add(name)
+    return name
+
 
+def _kind(own: str) -> T.DataType:
+    if own.startswith("array<"):
+        return T.ArrayType(_kind(own[6:-1]))
+    return {"integer": T.LongType(), "fraction": T.DoubleType(), "boolean": T.BooleanType()}.get(own, T.StringType())
 
-def consistent(records: DataFrame, stream: str = "stream_key", file: str = "file_name", written: str = "written_at", payload: str = "payload", line: str = "line_no") -> DataFrame:
-    """All valid records in the consistent layout of their stream, one row per leaf.
 
-    Columns: stream, file, version, line, path (canonical), ordinals (array<int>), value (JSON text of the cast leaf). A
-    record delivered twice counts once; paths that a file lacks are absent (null).
+def layout(types: dict[str, str]) -> tuple[T.StructType, dict[str, list[str]]]:
+    """(the table's nested schema, canonical path -> its steps) of canonical paths with their types.
+
+    A path that has a value in one file and fields below it in others keeps its value in a field ``_value``.
+    """
+    tree: dict = {}
+    steps: dict[str, list[str]] = {}
+    for path, own in sorted(types.items()):
+        below = any(p.startswith((f"{path}.", f"{path}[]")) for p in types)
+        if below and own in ("", EMPTY):
+            continue
+        path_ = f"{path}._value" if below or path.endswith("[]") else path
+        parts = [x for x in re.split(r"(\[\])?\.", path_) if x is not None and x != ""]
+        way = []
+        for x in parts:
+            if x == "[]":
+                way[-1] += "[]"
+            else:
+                way.append(x)
+        node = tree
+        for x in way[:-1]:
+            node = node.setdefault(x, {})
+            if not isinstance(node, dict):
+                break
+        if isinstance(node, dict) and not isinstance(node.get(way[-1]), dict):
+            node[way[-1]] = own
+            steps[path] = way
+
+    def struct(node: dict) -> T.StructType:
+        fields = []
+        for name, inner in node.items():
+            kind = struct(inner) if isinstance(inner, dict) else _kind(inner)
+            fields.append(T.StructField(name.removesuffix("[]"), T.ArrayType(kind) if name.endswith("[]") else kind))
+        return T.StructType(fields)
+
+    return struct(tree), steps
+
+
+def _put(record: dict, way: list[str], at: tuple[int, ...], value: object) -> None:
+    node, at = record, list(at)
+    for name in way[:-1]:
+        if name.endswith("[]"):
+            items, i = node.setdefault(name[:-2], []), at.pop(0) if at else 0
+            items.extend({} for _ in range(i + 1 - len(items)))
+            node = items[i]
+        else:
+            node = node.setdefault(name, {})
+    node[way[-1]] = value
+
+
+def consistent(records: DataFrame, stream: str = "stream_key", file: str = "file_name", written: str = "written_at", payload: str = "payload", line: str = "line_no", row: str | None = None, defaults: dict[str, object] | None = None) -> DataFrame:
+    """All valid records of all streams in one consistent table: stream, file, version, line, then a typed column for each
+    top-level field, with nested fields as structs and arrays of structs.
+
+    ``defaults`` gives values for canonical paths (outside arrays) that a record lacks or has as null; all others are null
+    there. A record delivered twice counts once; if ``row`` names a key of the rows, only keys are shuffled for that. Records
+    of an empty table give an empty table without fields. The schema and the renames reach the driver: as wide as the
+    distinct field names of the whole input, whatever the number of files.
     """
-    rules = migrations(records, stream=stream, file=file, written=written, payload=payload)
-    rows = records.select(F.col(stream).alias("stream"), F.col(file).alias("file"), F.col(line).cast("bigint").alias("line"), F.col(payload).alias("payload")).dropDuplicates(["stream", "file", "line", "payload"])
+    chained = migrations(records, stream=stream, file=file, written=written, payload=payload).persist()
+    to = aliases(chained)
+    renamed = F.coalesce(F.create_map(*[F.lit(x) for p in to.items() for x in p])[F.col("canonical")], F.col("canonical")) if to else F.col("canonical")
+    chained = chained.withColumn("canonical", renamed)
+    seen = chained.groupBy("canonical").agg(F.collect_set("own").alias("t")).collect()
+    types = {r.canonical: functools.reduce(widest, sorted(r.t), "") for r in seen}
+    schema, steps = layout(types)
+    default = {p: v for p, v in (defaults or {}).items() if p in steps and not any(x.endswith("[]") for x in steps[p])}
+    rules = chained.groupBy("stream", "file", "version").agg(F.collect_list(F.struct("path", "canonical")).alias("rules"))
+
+    # empty arrays of objects stay empty arrays
+    arrays: dict[str, list[str]] = {}
+    for way in steps.values():
+        for i, x in enumerate(way):
+            if x.endswith("[]"):
+                arrays[".".join(way[: i + 1])] = [*way[:i], x[:-2]]
+    columns = [F.col(stream).alias("stream"), F.col(file).alias("file"), F.col(line).cast("bigint").alias("line"), F.col(payload).alias("payload")]
+    same = ["stream", "file", "line", "h"]
+    if row is None:
+        rows = records.select(*columns).dropDuplicates(["stream", "file", "line", "payload"])
+    else:
+        light = records.select(*columns[:3], F.xxhash64(payload).alias("h"), F.col(row).alias("row"))
+        more = light.groupBy(*same).agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        null_safe = functools.reduce(lambda x, y: x & y, [light[c].eqNullSafe(more[c]) for c in same])
+        later = light.join(more, null_safe).filter("row <> first").select("row")
+        rows = records.select(*columns, F.col(row).alias("row")).join(later, "row", "left_anti").drop("row")
 
-    @F.pandas_udf("array<struct<path:string,ordinals:array<int>,value:string>>")
+    @F.pandas_udf("string")
     def route(payloads: pd.Series, rule: pd.Series) -> pd.Series:
         out = []
         for text, rs in zip(payloads, rule):
@@ -266,9 +399,34 @@ def consistent(records: DataFrame, stream: str = "stream_key", file: str = "file
             if record is None:
                 out.append(None)
                 continue
-            to = {r["path"]: (r["canonical"], r["type"]) for r in rs}
-            out.append([(to.get(p, (p, ""))[0], list(at), json.dumps(_cast(v, to.get(p, (p, ""))[1]), ensure_ascii=False)) for p, at, v in leaves(record) if v is not None])
+            names = {r["path"]: r["canonical"] for r in rs}
+            new: dict = {}
+            for p, at, v in leaves(record):
+                own = names.get(p, p)
+                if v is None:
+                    continue
+                if own in steps:
+                    _put(new, steps[own], at, _cast(v, types[own]))
+                elif v == [] and f"{own}[]" in arrays:
+                    _put(new, arrays[f"{own}[]"], at, [])
+            for p, v in default.items():
+                node = new
+                for x in steps[p][:-1]:
+                    node = node.setdefault(x, {})
+                if node.get(steps[p][-1]) is None:
+                    node[steps[p][-1]] = v
+            out.append(json.dumps(new, ensure_ascii=False))
         return pd.Series(out, dtype=object)
 
-    joined = rows.join(rules, ["stream", "file"])
-    return joined.select("stream", "file", "version", "line", F.explode(route("payload", "rules")).alias("x")).select("stream", "file", "version", "line", "x.*")
+    routed = rows.join(rules, ["stream", "file"]).select("stream", "file", "version", "line", route("payload", "rules").alias("r")).filter("r is not null")
+    return routed.select("stream", "file", "version", "line", F.from_json("r", schema).alias("r")).select("stream", "file", "version", "line", "r.*")
+
+
+def field_values(table: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The consistent table as one row per record and top-level field: keys, field, value (JSON text, null where it is missing)."""
+    keys = keys or ["stream", "file", "version", "line"]
+    fields = [c for c in table.columns if c not in keys]
+    if not fields:
+        return table.select(*keys, F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value")).limit(0)
+    text = lambda c: F.to_json(F.col(f"`{c}`")) if isinstance(table.schema[c].dataType, (T.StructType, T.ArrayType)) else F.col(f"`{c}`").cast("string")
+    return table.select(*keys, F.explode(F.array(*[F.struct(F.lit(c).alias("field"), text(c).alias("value")) for c in fields])).alias("x")).select(*keys, "x.*")

@@ -9,34 +9,65 @@ from pagewright.operators import drift, nested
 from pagewright.session import table
 
 PATHS = ["pages", "nodes_text_len", "boxs"]
+#: The parallel arrays of a chunk: groups (paragraphs), their nodes, the numbers of a node's box.
+CHUNK = nested.Aligned([*PATHS, "nodes_index", "image_dims"], ["groups", "nodes", "numbers"], ["group_no", "node_no", "number_no"])
 
 
-def _nodes(spark: SparkSession, sf: str) -> DataFrame:
-    return nested.flatten(table(spark, sf, "chunks"), ["chunk_id"], PATHS, 2, ["group_no", "node_no"])
+def _related(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return nested.related(table(spark, sf, "chunks"), ["chunk_id"], [CHUNK], "chunks")
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return nested.unequal_positions(_nodes(spark, sf), ["chunk_id", "group_no", "node_no"], PATHS)
+    flat = nested.flatten(table(spark, sf, "chunks"), ["chunk_id"], PATHS, 2, ["group_no", "node_no"])
+    return nested.unequal_positions(flat, ["chunk_id", "group_no", "node_no"], PATHS)
+
+
+def p5_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks: what they have outside arrays, and the lengths of their arrays."""
+    return _related(spark, sf)["chunks"].distinct()
+
+
+def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of a chunk with the lengths that each parallel array has for them (null: it has none)."""
+    return _related(spark, sf)["groups"].distinct()
 
 
 def p5_nodes(spark: SparkSession, sf: str) -> DataFrame:
-    """Nodes with their parents' keys; the coordinates of the box are in p5_boxes."""
-    flat = _nodes(spark, sf).filter(F.col("has_pages") | F.col("has_nodes_text_len") | F.col("has_boxs"))
-    return flat.select("chunk_id", "group_no", "node_no", F.col("pages").alias("page"), F.col("nodes_text_len").alias("text_len")).distinct()
+    """Nodes of a group with their page, length, index, size of page and length of box."""
+    return _related(spark, sf)["nodes"].distinct()
 
 
 def p5_boxes(spark: SparkSession, sf: str) -> DataFrame:
-    flat = nested.flatten(table(spark, sf, "chunks"), ["chunk_id"], ["boxs"], 2, ["group_no", "node_no"]).filter("has_boxs")
-    c = lambda i: F.get("boxs", F.lit(i))
-    return flat.select("chunk_id", "group_no", "node_no", c(0).alias("x0"), c(1).alias("y0"), c(2).alias("x1"), c(3).alias("y1")).distinct()
+    """Boxes of nodes with their numbers as columns, pivoted from the numbers' own table."""
+    n = _related(spark, sf)["numbers"].filter("boxs is not null")
+    at = lambda i: F.max(F.when(F.col("number_no") == i, F.col("boxs")))
+    return n.groupBy("chunk_id", "group_no", "node_no").agg(*[at(i).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))])
 
 
-def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
-    """Groups of a chunk with what each parallel array holds for them."""
-    flat = nested.flatten(table(spark, sf, "chunks"), ["chunk_id"], PATHS, 1, ["group_no"])
-    n = lambda p: F.coalesce(F.size(F.when(F.col(p).isNotNull(), F.col(p))), F.lit(0))
-    sized = flat.select("chunk_id", "group_no", *[F.when(F.col(p).isNull(), 0).otherwise(n(p)).cast("bigint").alias(a) for p, a in zip(PATHS, ("n_pages", "n_lens", "n_boxes"))])
-    return sized.distinct()
+def p5_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The texts of a chunk, a repeated field of plain values."""
+    return _related(spark, sf)["texts"].select("chunk_id", F.col("no_1").alias("text_no"), F.col("value").alias("text")).distinct()
+
+
+def _page_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    pages = table(spark, sf, "ocr_pages").select("page_id", "image_dims", "boxes", "metadata", "prompt_type")
+    return nested.related(pages, ["page_id"], [nested.Aligned(["boxes"], ["boxes"], ["box_no"])], "pages")
+
+
+def p5_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with their objects' fields as columns and the number of their boxes; a page delivered twice counts once."""
+    return _page_tables(spark, sf)["pages"].distinct()
+
+
+def p5_page_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Boxes of pages, an array of objects."""
+    t = _page_tables(spark, sf)["boxes"]
+    return t.select("page_id", "box_no", F.col("boxes_label").alias("label"), F.col("n_boxes_box").alias("n_numbers"), F.md5("boxes_text_content").alias("text_md5")).distinct()
+
+
+def p5_page_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """The numbers of the boxes of pages, an array below an array of objects."""
+    return _page_tables(spark, sf)["boxes.box"].distinct()
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,28 +76,74 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p7_consistent(spark: SparkSession, sf: str) -> DataFrame:
-    """All records in their stream's consistent layout, one row per leaf."""
-    return drift.consistent(table(spark, sf, "raw_page_records"))
+    """All records of all streams in one table."""
+    return drift.consistent(table(spark, sf, "raw_page_records"), row="raw_id")
 
 
-def queries() -> dict:
-    return {f.__name__: f for f in (p5_found, p5_nodes, p5_boxes, p5_groups, p7_found, p7_consistent)}
+def p7_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """The consistent table by record and field; a missing value is a row with null."""
+    return drift.field_values(p7_consistent(spark, sf))
 
 
-_POS = """
-with c as (select distinct chunk_id, pages, nodes_text_len, boxs from chunks),
-g as (select chunk_id, pages, nodes_text_len, boxs, unnest(range(greatest(coalesce(len(pages),0), coalesce(len(nodes_text_len),0), coalesce(len(boxs),0)))) as g from c),
-n as (select chunk_id, g, pages[g+1] p, nodes_text_len[g+1] l, boxs[g+1] b from g),
-u as (select chunk_id, g, p, l, b, unnest(range(greatest(coalesce(len(p),0), coalesce(len(l),0), coalesce(len(b),0)))) as n from n),
-v as (select chunk_id, cast(g as bigint) group_no, cast(n as bigint) node_no, p[n+1] page, l[n+1] text_len, b[n+1] box from u),
-w as (select *, page is not null hp, text_len is not null hl, coalesce(len(list_filter(box, lambda x: x is not null)),0) > 0 hb from v)
+def queries() -> dict:
+    own = (p5_found, p5_chunks, p5_groups, p5_nodes, p5_boxes, p5_texts, p5_pages, p5_page_boxes, p5_page_numbers, p7_found, p7_consistent, p7_fields)
+    return {f.__name__: f for f in own}
+
+
+_ARRAYS = ("pages", "nodes_text_len", "boxs", "nodes_index", "image_dims")
+_LONGEST = lambda prefix="": "greatest(" + ", ".join(f"coalesce(len({prefix}{a}), 0)" for a in _ARRAYS) + ")"
+_POS = f"""
+with c as (select distinct chunk_id, {', '.join(_ARRAYS)} from chunks),
+g as (select *, unnest(range({_LONGEST()})) as gi from c),
+n as (select chunk_id, cast(gi as bigint) group_no, {', '.join(f'{a}[gi + 1] {a}' for a in _ARRAYS)} from g),
+u as (select *, unnest(range({_LONGEST()})) as ni from n),
+v as (select chunk_id, group_no, cast(ni as bigint) node_no, {', '.join(f'{a}[ni + 1] {a}' for a in _ARRAYS)} from u),
+w as (select *, pages is not null hp, nodes_text_len is not null hl, coalesce(len(list_filter(boxs, lambda x: x is not null)), 0) > 0 hb from v)
 """
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "p5_found": _POS + "select distinct chunk_id, group_no, node_no from w where (hp or hl or hb) and not (hp and hl and hb)",
-        "p5_nodes": _POS + "select distinct chunk_id, group_no, node_no, page, text_len from w where hp or hl or hb",
-        "p5_boxes": _POS + "select distinct chunk_id, group_no, node_no, box[1] x0, box[2] y0, box[3] x1, box[4] y1 from w where hb",
-        "p5_groups": _POS + "select distinct chunk_id, cast(g as bigint) group_no, cast(coalesce(len(p),0) as bigint) n_pages, cast(coalesce(len(l),0) as bigint) n_lens, cast(coalesce(len(b),0) as bigint) n_boxes from n",
+        "p5_chunks": "select distinct chunk_id, doc_key, id, type, content, page, processed_at, cast(len(texts) as int) n_texts, cast(len(ref) as int) n_ref, " + ", ".join(f"cast(len({a}) as int) n_{a}" for a in _ARRAYS) + " from chunks",
+        "p5_groups": _POS + "select distinct chunk_id, group_no, " + ", ".join(f"cast(len({a}) as int) n_{a}" for a in _ARRAYS) + " from n",
+        "p5_nodes": _POS + "select distinct chunk_id, group_no, node_no, pages, nodes_text_len, nodes_index, image_dims.w image_dims_w, image_dims.h image_dims_h, cast(len(boxs) as int) n_boxs from v",
+        "p5_boxes": _POS + "select distinct chunk_id, group_no, node_no, boxs[1] x0, boxs[2] y0, boxs[3] x1, boxs[4] y1 from w where hb",
+        "p5_texts": "select distinct chunk_id, cast(unnest(range(len(texts))) as bigint) text_no, unnest(texts) as text from chunks where texts is not null",
+        "p5_pages": "select distinct page_id, image_dims.w image_dims_w, image_dims.h image_dims_h, cast(len(boxes) as int) n_boxes, metadata.mode metadata_mode, metadata.grounding metadata_grounding, metadata.has_boxes metadata_has_boxes, metadata.engine metadata_engine, prompt_type from ocr_pages",
+        "p5_page_boxes": "with e as (select page_id, unnest(range(len(boxes))) i, unnest(boxes) b from ocr_pages) select distinct page_id, cast(i as bigint) box_no, b.label as label, cast(len(b.box) as int) n_numbers, md5(b.text_content) text_md5 from e",
+        "p5_page_numbers": "with e as (select page_id, unnest(range(len(boxes))) i, unnest(boxes) b from ocr_pages) select distinct page_id, cast(i as bigint) no_1, cast(unnest(range(len(b.box))) as bigint) no_2, unnest(b.box) as value from e",
+        "p7_found": _P7,
     }
+
+
+#: Paths of every record from the parsed tree; types by structure, a file's path from all its records; then each file against
+#: the one written before it. Gone and new paths of one parent are paired by order of name, first those of equal type.
+_P7 = """
+with r as (select distinct stream_key s, file_name f, written_at w, payload p from raw_page_records where json_valid(payload) and json_type(payload) = 'OBJECT'),
+e as (select s, f, min(w) over (partition by s, f) w, t.fullkey k, t.type y, t.value v from r, json_tree(r.p) t),
+l as (select s, f, w, regexp_replace(replace(regexp_replace(k, '^\\$\\.?', ''), '"', ''), '\\[[0-9]+\\]', '[]', 'g') p, y, v from e where not ends_with(k, ']') and k <> '$' and y <> 'OBJECT'),
+m as (select s, f, w, p, case when y = 'ARRAY' then cast(json_structure(v) as varchar) else y end t from l where not (y = 'ARRAY' and len(list_filter(json_extract(v, '$[*]'), lambda x: json_type(x) = 'OBJECT')) > 0)),
+q as (select distinct s, f, w, p, regexp_replace(regexp_replace(regexp_replace(t, 'UBIGINT|HUGEINT|BIGINT', 'integer', 'g'), 'DOUBLE', 'fraction', 'g'), '"', '', 'g') t from m),
+a as (select s, f, min(w) w, p, list_filter(list(t), lambda x: x not in ('NULL', '[NULL]')) ts, bool_or(t = '[NULL]') emp from q group by s, f, p),
+b as (select s, f, w, p, emp and len(ts) = 0 only_empty, array_to_string(list_sort(list_filter(ts, lambda x: not contains(ts, replace(x, 'integer', 'fraction')) or not contains(x, 'integer'))), '|') t from a),
+o as (select s, f, dense_rank() over (partition by s order by w, f) n from (select distinct s, f, w from a)),
+c as (select b.*, o.n from b join o using (s, f)),
+x as (select c.*, exists (select 1 from c d where d.s = c.s and d.n in (c.n, c.n - 1) and (starts_with(d.p, c.p || '.') or starts_with(d.p, c.p || '['))) stem_back, exists (select 1 from c d where d.s = c.s and d.n in (c.n, c.n + 1) and (starts_with(d.p, c.p || '.') or starts_with(d.p, c.p || '['))) stem_on, regexp_replace(c.p, '\\.?[^.]*$', '') parent from c),
+nw as (select * from x where n > 1 and not (t = '' and stem_back)),
+od as (select * from x where not (t = '' and stem_on)),
+gone as (select od.s, od.n + 1 n, od.p, od.t, od.parent from od where exists (select 1 from o where o.s = od.s and o.n = od.n + 1) and not exists (select 1 from nw where nw.s = od.s and nw.n = od.n + 1 and nw.p = od.p)),
+come as (select nw.* from nw where not exists (select 1 from od where od.s = nw.s and od.n = nw.n - 1 and od.p = nw.p)),
+g1 as (select *, row_number() over (partition by s, n, parent, t order by p) k from gone where t <> ''),
+c1 as (select *, row_number() over (partition by s, n, parent, t order by p) k from come where t <> ''),
+r1 as (select g1.s, g1.n, g1.p old_path, c1.p new_path from g1 join c1 using (s, n, parent, t, k)),
+g2 as (select *, row_number() over (partition by s, n, parent order by p) k from gone where (s, n, p) not in (select (s, n, old_path) from r1)),
+c2 as (select *, row_number() over (partition by s, n, parent order by p) k from come where (s, n, p) not in (select (s, n, new_path) from r1)),
+r2 as (select g2.s, g2.n, g2.p old_path, c2.p new_path from g2 join c2 using (s, n, parent, k)),
+ch as (
+  select s, n, 'renamed' change_kind, old_path, new_path from r1 union all select s, n, 'renamed', old_path, new_path from r2
+  union all select s, n, 'removed', p, '' from g2 where (s, n, p) not in (select (s, n, old_path) from r2)
+  union all select s, n, 'added', '', p from c2 where (s, n, p) not in (select (s, n, new_path) from r2)
+  union all select nw.s, nw.n, 'retyped', nw.p, nw.p from nw join od on od.s = nw.s and od.n = nw.n - 1 and od.p = nw.p where nw.t <> od.t and nw.t <> '' and od.t <> '')
+select distinct o.f file_name, change_kind, old_path, new_path from ch join o using (s, n)
+"""
