@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagewright.session import keep
+
 #: Marks of types that give no evidence by themselves.
 NULL, EMPTY = "null", "array<>"
 
@@ -364,7 +366,7 @@ def consistent(records: DataFrame, stream: str = "stream_key", file: str = "file
     of an empty table give an empty table without fields. The schema and the renames reach the driver: as wide as the
     distinct field names of the whole input, whatever the number of files.
     """
-    chained = migrations(records, stream=stream, file=file, written=written, payload=payload).persist()
+    chained = keep(migrations(records, stream=stream, file=file, written=written, payload=payload))
     to = aliases(chained)
     renamed = F.coalesce(F.create_map(*[F.lit(x) for p in to.items() for x in p])[F.col("canonical")], F.col("canonical")) if to else F.col("canonical")
     chained = chained.withColumn("canonical", renamed)

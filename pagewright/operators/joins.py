@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
 from pagewright.functions import text as X
+from pagewright.operators.deliveries import latest
 
 #: Pixels a point at the zoom at which pages are rastered.
 ZOOM = 2.0
@@ -18,7 +19,7 @@ ZOOM = 2.0
 
 def mapping_blocks(rows: DataFrame, zoom: float = ZOOM) -> DataFrame:
     """Text-layer blocks in pixels; rows without a box are left out, rows delivered twice count once."""
-    once = rows.dropDuplicates(["map_id"]).filter(F.size("bbox") == 4)
+    once = latest(rows, "map_id", "mapped_at").filter(F.size("bbox") == 4)
     c = [(G.coordinate(F.col("bbox"), i) * zoom).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))]
     return once.select("map_id", "doc_key", "page", "md_line_index", *c, "text")
 
@@ -41,7 +42,7 @@ def match_boxes(nodes: DataFrame, boxes: DataFrame) -> DataFrame:
 
 def refill(chunks: DataFrame, layer: DataFrame, grid: int = 1024) -> DataFrame:
     """Text of each chunk group from the layer: chunk_id, group_no, n_blocks, text, by node, then top, then left."""
-    c = chunks.dropDuplicates(["chunk_id"])
+    c = latest(chunks, "chunk_id", "processed_at")
     g = c.select("chunk_id", "doc_key", "pages", "image_dims", F.posexplode("boxs").alias("group_no", "gb"))
     n = g.select("chunk_id", "doc_key", "group_no", F.get("pages", "group_no").alias("pp"), F.get("image_dims", "group_no").alias("dd"), F.posexplode("gb").alias("node_no", "b"))
     at = lambda i: F.get("b", F.lit(i))

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
 from pagewright.functions import text as X
+from pagewright.operators.deliveries import latest
 
 TEXT_LABELS = ("text", "sub_title", "title")
 
 
 def blocks(pages: DataFrame) -> DataFrame:
-    """One row per box of the pages that have boxes; a page delivered twice counts once."""
-    once = pages.dropDuplicates(["page_id"])
+    """One row per box of the pages that have boxes; of a page delivered again the latest delivery counts."""
+    once = latest(pages, "page_id", "ingested_at")
     rows = once.select("page_id", "doc_key", "page", F.col("image_dims.w").alias("w"), F.col("image_dims.h").alias("h"), F.posexplode("boxes").alias("box_no", "b"))
     c = [G.coordinate(F.col("b.box"), i).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))]
     return rows.select("page_id", "doc_key", "page", "box_no", (F.col("page_id") * 100 + F.col("box_no")).alias("box_key"), "w", "h", F.coalesce("b.label", F.lit("")).alias("label"), *c, F.coalesce("b.text_content", F.lit("")).alias("text"))
@@ -132,7 +133,7 @@ def boxed_merge(pages: DataFrame) -> DataFrame:
     The condition looks at the box and text merged so far, so each page is folded in order inside its own row. A title
     (by label or by form) ends the paragraph before it; the text takes breaks behind the page numbers of contents lines.
     """
-    once = pages.dropDuplicates(["page_id"]).filter("boxes is not null")
+    once = latest(pages, "page_id", "ingested_at").filter("boxes is not null")
     w, h = F.coalesce("image_dims.w", F.lit(1024)), F.coalesce("image_dims.h", F.lit(1024))
     node = F.transform(
         "boxes",

@@ -32,16 +32,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The shared folder named by spark.checkpoint.dir. Where that is unset, a local session gets a folder of its own, and on a
+    cluster, whose executors couldn't read one, it is an error."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="pagewright-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_KEPT: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persists a small table that a query reads several times, until ``release``."""
+    _KEPT.append(df.persist())
+    return df
+
+
+def release() -> None:
+    """Frees the tables that earlier queries kept; a result of theirs that is still read works them out again."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
+
+
 _SHIPPED: set[str] = set()
 
 
