@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from pagewright.llm import lookalike, markup, mixing, packing, scan, sentences, splitting, tokens, truncation
 from pagewright.llm.tables import boxes, table
+from pagewright.operators.deliveries import latest
+from pagewright.session import keep
 
 
-def _texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Box and chunk texts with their keys."""
-    box = boxes(table(spark, sf, "ocr_pages"), "doc_key").select("doc_key", F.lit("text_content").alias("field_name"), F.col("box_key").alias("key"), "text")
-    chunk = table(spark, sf, "chunks").select("doc_key", F.lit("content").alias("field_name"), F.col("chunk_id").alias("key"), F.col("content").alias("text"))
+def _texts(spark: SparkSession, sf: str, once: bool = False) -> DataFrame:
+    """Box and chunk texts with their keys; ``once``: of pages and chunks delivered again the latest."""
+    pages, chunks = table(spark, sf, "ocr_pages"), table(spark, sf, "chunks")
+    if once:
+        pages, chunks = latest(pages, "page_id", "ingested_at"), latest(chunks, "chunk_id", "processed_at")
+    box = boxes(pages, "doc_key").select("doc_key", F.lit("text_content").alias("field_name"), F.col("box_key").alias("key"), "text")
+    chunk = chunks.select("doc_key", F.lit("content").alias("field_name"), F.col("chunk_id").alias("key"), F.col("content").alias("text"))
     return box.unionByName(chunk)
 
 
@@ -23,12 +28,19 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_canonical(spark: SparkSession, sf: str) -> DataFrame:
-    """Every text of boxes and chunks in its one form."""
-    texts = _texts(spark, sf)
+    """Every text of boxes and chunks in its one form, one row per key."""
+    texts = _texts(spark, sf, once=True)
     model = lookalike.Model(lookalike.letter_pairs(texts, "text"))
     return lookalike.canonical_form(texts, ["field_name", "key"], "text", model)
 
 
+def p1_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text of at least 30 characters with its class of same-looking texts of its book and its number of links."""
+    texts = _texts(spark, sf)
+    model = lookalike.Model(lookalike.letter_pairs(texts, "text"))
+    return lookalike.classes(texts, ["doc_key", "field_name"], "key", "text", 30, model)[1]
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.oversized(table(spark, sf, "chunks"), "chunk_id", "content")
 
@@ -83,7 +95,7 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 def _mix(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     # sizes are used for the amounts and for the mix: encoded once
-    sized = tokens.sizes(table(spark, sf, "documents"), "doc_id", "text", "source").persist()
+    sized = keep(tokens.sizes(table(spark, sf, "documents"), "doc_id", "text", "source"))
     return mixing.mix(spark, sized, table(spark, sf, "mix_targets"))
 
 
@@ -111,7 +123,7 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p4_found, p4_clean, p6_found, p6_paragraphs, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_rates, p1_found, p1_canonical, p2_found, p2_pieces, p3_found, p3_sentences)}
+    return {f.__name__: f for f in (p4_found, p4_clean, p6_found, p6_paragraphs, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_rates, p1_found, p1_members, p1_canonical, p2_found, p2_pieces, p3_found, p3_sentences)}
 
 
 def oracle_sql() -> dict[str, str]:

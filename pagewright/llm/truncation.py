@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from pagewright.llm.sketch import Spans, bitmap, hits, size_of
 from pagewright.llm.tables import code_points, map_arrow
+from pagewright.session import keep
 
 #: Lengths of the contexts (last characters).
 CONTEXTS = (12, 8, 5, 3)
@@ -273,11 +274,11 @@ def truncated(df: DataFrame, key: str, text: str) -> DataFrame:
     ignored. The filters of the hashes asked for are sized by their number, at most 16 MB each; what passes them is joined
     exactly by 64-bit hash.
     """
-    found = asked(df, key, text).persist()
+    found = keep(asked(df, key, text))
     wanted = found.select("k", F.explode("spans").alias("s")).select("k", "s.*")
     n = {r.level: r.n for r in wanted.groupBy(F.least("level", F.lit(3)).alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()}
     filters = [bitmap(wanted.filter(F.least("level", F.lit(3)) == level), "h", size_of(n.get(level, 0))) for level in range(4)]
-    counts = _follows(df, text, filters).groupBy("level", "h").agg(*[F.sum(c).alias(c) for c in ("ends", "goes_on", "mid")]).persist()
+    counts = keep(_follows(df, text, filters).groupBy("level", "h").agg(*[F.sum(c).alias(c) for c in ("ends", "goes_on", "mid")]))
     all_ = counts.filter("level = -1").first()
     base = all_.ends / max(1, all_.ends + all_.goes_on) if all_ else 0.0
     answers = wanted.join(counts, ["level", "h"])

@@ -70,3 +70,27 @@ def test_canonical_form_keeps_rows(spark):
     df = spark.createDataFrame([(1, "ａ"), (2, None), (2, None), (3, "")], "k int, text string")
     got = sorted((r.k, r.canonical) for r in L.canonical_form(df, ["k"], "text", model()).collect() if r.canonical is not None)
     assert got == [(1, "a"), (3, "")]
+
+
+def test_han_and_kana_of_one_shape():
+    pairs = {(ord(a), ord(b)): 20 for w in ("人口", "努力", "カード", "ヘリ", "山へ", "へ行", "工人", "エア", "アジ") for a, b in zip(w, w[1:])}
+    m = L.Model(pairs)
+    for a, b in (("努力する", "努カする"), ("カード番号", "力ード番号"), ("人口の数", "人ロの数"), ("山へ行く", "山ヘ行く"), ("エア機材", "工ア機材"), ("ABCꓐ", "ABCB"), ("Ꭺ", "A")):
+        assert L.canonical(a, m) == L.canonical(b, m), (a, b)
+    assert L.canonical("努カする", m) == "努力する" and L.canonical("山ヘ行く", m) == "山へ行く" and L.canonical("力ード", m) == "カード"
+    assert L.canonical("努力", m) != L.canonical("努刀", m)
+
+
+def test_members_of_a_hot_class_are_linear(spark):
+    texts = [SAME[i % 2] for i in range(20_000)] + [OTHER[0]]
+    df = spark.createDataFrame([("d", i, t) for i, t in enumerate(texts)] + [("d", 0, SAME[0]), (None, 30_000, SAME[0])], "doc_key string, k bigint, text string")
+    own, members = L.classes(df, ["doc_key"], "k", "text", 30, model())
+    assert {(r.doc_key, r.n_keys, r.n_texts, r.first_key) for r in own.collect()} == {("d", 20_000, 2, 0), ("d", 1, 1, 20_000), (None, 1, 1, 30_000)}
+    assert {(r.n_links, r.n) for r in members.groupBy("n_links").count().withColumnRenamed("count", "n").collect()} == {(10_000, 20_000), (0, 2)}
+
+
+def test_blocks_give_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK", 7)
+    df = spark.createDataFrame([("d", i, SAME[i % 3]) for i in range(60)], "doc_key string, k bigint, text string")
+    got = [(r.key_a, r.key_b) for r in L.same_looking(df, ["doc_key"], "k", "text", 30, model()).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 3 != b % 3}
