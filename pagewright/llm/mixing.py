@@ -1,9 +1,11 @@
 """Mixing sources to target shares by Pfair scheduling.
 
-The mix is a sequence of slots of one block each. Block j of a source of weight w is released at slot floor(j / w) and due
-by slot ceil((j + 1) / w); earliest deadline first among the released blocks then interleaves the sources so that each is
-always within one block of its share. The schedule depends on the weights alone, so it is computed once for a bounded
-number of slots; documents find their block from running token sums.
+The mix is a sequence of slots of one block of tokens each. Block j of a source of weight w is released at slot floor(j / w)
+and due by slot ceil((j + 1) / w); earliest deadline first among the released blocks then interleaves the sources so that
+each is always within one block of its share. Weights are whole numbers with a sum of P, so the schedule repeats after P
+slots: one period is computed, and block j of a source with p of the P slots comes at slot P * (j div p) + place(j mod p). The
+block has a fixed size and the sequence any length. Documents find their block from running token sums; a document that is
+larger than a block runs over the next blocks of its source.
 
 A source is repeated as whole passes over its documents, each in another order, at most max_repeats times.
 """
@@ -18,21 +20,36 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Slots of a schedule at most, tokens of a block at least, documents of a bucket of the running sums on average.
-SLOTS, BLOCK, BUCKET = 65_536, 1024, 8192
+#: Tokens of a block, documents of a bucket of the running sums on average, sources at most.
+BLOCK, BUCKET, SOURCES = 4096, 8192, 10_000
+#: Slots of a period at most. Shares of up to six decimals are exact; finer ones are taken to this precision.
+PERIOD = 1 << 20
+
+
+def weights(shares: list[float]) -> list[int]:
+    """Whole numbers in proportion to the shares (at least 1 for a positive one) with a sum of at most ``PERIOD`` (and one for each source)."""
+    exact = [Fraction(repr(round(float(w), 9))) for w in shares]
+    lowest = math.lcm(*[f.denominator for f in exact]) if exact else 1
+    whole = [int(f * lowest) for f in exact]
+    common = math.gcd(*whole) or 1
+    whole = [n // common for n in whole]
+    if sum(whole) <= PERIOD:
+        return whole
+    parts = [f * PERIOD / sum(exact) for f in exact]
+    out = [max(1, math.floor(p)) if p else 0 for p in parts]
+    # largest remainders take what is left
+    for i in sorted(range(len(out)), key=lambda i: (math.floor(parts[i]) - parts[i], i))[: max(0, PERIOD - sum(out))]:
+        out[i] += 1
+    return out
 
 
-def schedule(amounts: list[int], block: int) -> list[tuple[int, int]]:
-    """(source, block of that source) per slot for sources that contribute ``amounts`` tokens in blocks."""
-    n = [math.ceil(a / block) for a in amounts]
+def schedule(n: list[int]) -> list[tuple[int, int]]:
+    """(source, block of that source) per slot of one period, in which source s has n[s] blocks."""
     total = sum(n)
     waiting: list[tuple[int, int, int]] = []  # release, source, block
     ready: list[tuple[int, int, int]] = []  # deadline, source, block
-
-    def window(source: int, j: int) -> tuple[int, int]:
-        w = Fraction(n[source], total)
-        return math.floor(j / w), math.ceil((j + 1) / w)
-
+    release = lambda s, j: j * total // n[s]
+    due = lambda s, j: -(-(j + 1) * total // n[s])
     for s, k in enumerate(n):
         if k:
             heapq.heappush(waiting, (0, s, 0))
@@ -40,14 +57,11 @@ def schedule(amounts: list[int], block: int) -> list[tuple[int, int]]:
     for slot in range(total):
         while waiting and waiting[0][0] <= slot:
             _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(s, j)[1], s, j))
-        if not ready:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(s, j)[1], s, j))
+            heapq.heappush(ready, (due(s, j), s, j))
         _, s, j = heapq.heappop(ready)
         out.append((s, j))
         if j + 1 < n[s]:
-            heapq.heappush(waiting, (window(s, j + 1)[0], s, j + 1))
+            heapq.heappush(waiting, (release(s, j + 1), s, j + 1))
     return out
 
 
@@ -77,21 +91,25 @@ def mix(spark: SparkSession, sizes: DataFrame, targets: DataFrame, key: str = "d
     Targets of one source given twice are added up; sources without a target are left out of the mix. A source's last
     document is taken if the most of it fits the source's amount.
     """
-    per = sizes.groupBy(source).agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("n"), F.max("n_tokens").alias("most"))
+    per = sizes.groupBy(source).agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("n"))
     # one row for each source that is named in the targets
     named = targets.groupBy("source").agg(F.sum("target_share").alias("w"), F.max("max_repeats").alias("r"))
-    rows = named.join(per.withColumnRenamed(source, "source"), "source", "left").orderBy("source").collect()
+    rows = named.join(per.withColumnRenamed(source, "source"), "source", "left").orderBy("source").limit(SOURCES + 1).collect()
+    if len(rows) > SOURCES:
+        raise ValueError(f"targets name more than {SOURCES} sources")
     give = amounts({r["source"]: r["t"] for r in rows if r["t"]}, [(r["source"], r["w"], r["r"]) for r in rows], total)
     have = {r["source"]: (r["t"], r["n"]) for r in rows if r["t"]}
-    # no document is larger than a block, so that documents, which stay whole, keep the bound of one block
-    block = max(BLOCK, math.ceil(sum(give.values()) / SLOTS), *(r["most"] for r in rows if r["source"] in give))
     names = sorted(give)
-    plan = pd.DataFrame([(i, s, j) for i, (s, j) in enumerate(schedule([give[s] for s in names], block))], columns=["slot", "s", "j"])
+    short = total is not None and any(give[r["source"]] < round(total * r["w"] / sum(x["w"] for x in rows if x["source"] in give)) for r in rows if r["source"] in give)
+    share = {r["source"]: r["w"] for r in rows}
+    own = weights([give[s] if short else share[s] for s in names])
+    period = sum(own)
+    plan = [(slot, s, j) for slot, (s, j) in enumerate(schedule(own))]
+    slots = spark.createDataFrame(pd.DataFrame(plan, columns=["at", "s", "r"]), "at bigint, s int, r bigint") if plan else spark.createDataFrame([], "at bigint, s int, r bigint")
     settings = spark.createDataFrame(
-        [(s, i, int(give[s]), int(have[s][0]), math.ceil(give[s] / have[s][0]), max(1, have[s][1] // BUCKET)) for i, s in enumerate(names)],
-        "source string, s int, give bigint, size bigint, passes int, buckets int",
+        [(s, i, own[i], int(give[s]), int(have[s][0]), math.ceil(give[s] / have[s][0]), max(1, have[s][1] // BUCKET)) for i, s in enumerate(names)],
+        "source string, s int, p bigint, give bigint, size bigint, passes int, buckets int",
     )
-    slots = spark.createDataFrame(plan, "slot bigint, s int, j bigint") if len(plan) else spark.createDataFrame([], "slot bigint, s int, j bigint")
 
     docs = sizes.select(F.col(key).alias("k"), F.col(source).alias("source"), "n_tokens").join(F.broadcast(settings), "source")
     # passes over a source in another order each; buckets of hashes keep a large source from being one ordered group
@@ -103,12 +121,15 @@ def mix(spark: SparkSession, sizes: DataFrame, targets: DataFrame, key: str = "d
     within = Window.partitionBy("s", "repeat_no", "b").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, -1)
     placed = copies.withColumn("inner", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(offsets, ["s", "repeat_no", "b"])
     placed = placed.withColumn("start", F.col("repeat_no") * F.col("size") + F.col("offset") + F.col("inner"))
-    taken = placed.filter(F.col("start") + F.col("n_tokens") / 2 <= F.col("give")).withColumn("j", F.floor(F.col("start") / block))
-    mixed = taken.join(slots, ["s", "j"]).select("slot", (F.col("start") - F.col("j") * block).alias("place"), "source", F.col("k").alias(key), F.col("repeat_no").cast("bigint").alias("repeat_no"), "n_tokens")
+    taken = placed.filter(F.col("start") + F.col("n_tokens") / 2 <= F.col("give")).withColumn("j", F.floor(F.col("start") / BLOCK))
+    # at most PERIOD rows, whatever the data
+    found = taken.withColumn("r", F.col("j") % F.col("p")).join(F.broadcast(slots), ["s", "r"])
+    slot = F.expr("j div p") * period + F.col("at")
+    mixed = found.select(slot.alias("slot"), (F.col("start") - F.col("j") * BLOCK).alias("place"), "source", F.col("k").alias(key), F.col("repeat_no").cast("bigint").alias("repeat_no"), "n_tokens")
 
     used = mixed.groupBy("source").agg(F.sum("n_tokens").alias("used_tokens"), (F.max("repeat_no") + 1).alias("repeats"))
-    all_used = used.agg(F.sum("used_tokens").alias("whole"))
     every = per.select(F.col(source).alias("source"), F.col("t").alias("available_tokens"))
     joined = every.join(named, every["source"].eqNullSafe(named["source"]), "full").select(F.coalesce(every["source"], named["source"]).alias("source"), F.coalesce("w", F.lit(0.0)).alias("target_share"), F.col("r").alias("max_repeats"), F.coalesce("available_tokens", F.lit(0)).alias("available_tokens"))
-    shares = joined.join(used, "source", "left").join(F.broadcast(all_used))
+    # one row for each source
+    shares = joined.join(used, "source", "left").withColumn("whole", F.sum("used_tokens").over(Window.partitionBy(F.lit(1))))
     return mixed, shares.select("source", "target_share", "max_repeats", "available_tokens", F.coalesce("used_tokens", F.lit(0)).alias("used_tokens"), F.coalesce(F.col("used_tokens") / F.col("whole"), F.lit(0.0)).alias("actual_share"), F.coalesce("repeats", F.lit(0)).alias("repeats"))

@@ -1,3 +1,4 @@
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -5,10 +6,9 @@ from pagewright.llm import mixing
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(0, 4000), min_size=1, max_size=8))
-def test_lag_is_less_than_a_block(amounts):
-    order = mixing.schedule(amounts, 100)
-    n = [-(-a // 100) for a in amounts]
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=8))
+def test_lag_is_less_than_a_block(n):
+    order = mixing.schedule(n)
     assert sorted(order) == [(s, j) for s, k in enumerate(n) for j in range(k)]
     done = [0] * len(n)
     for slot, (s, _) in enumerate(order, 1):
@@ -16,6 +16,40 @@ def test_lag_is_less_than_a_block(amounts):
         assert all(abs(done[i] - slot * n[i] / sum(n)) < 1 for i in range(len(n)))
 
 
+def test_lag_over_a_million_blocks():
+    shares = [0.301, 0.123456, 0.075544, 0.2, 0.29, 0.01]
+    own = mixing.weights(shares)
+    period, place = sum(own), [[] for _ in own]
+    assert period <= mixing.PERIOD and np.allclose(np.array(own) / period, shares)
+    for slot, (s, _) in enumerate(mixing.schedule(own)):
+        place[s].append(slot)
+    at = np.arange(1_000_000)
+    for s, w in enumerate(own):
+        j = np.arange(w * 1_000_000 // period + w)
+        slots = j // w * period + np.array(place[s])[j % w]
+        done = np.searchsorted(slots, at, side="right")
+        assert np.abs(done - (at + 1) * w / period).max() < 1
+
+
+def test_weights():
+    assert mixing.weights([0.5, 0.3, 0.2]) == [5, 3, 2] and mixing.weights([]) == [] and mixing.weights([0.1 + 0.2, 0.7]) == [3, 7]
+    fine = mixing.weights([1 / 3, 2 / 3 - 1e-9, 1e-9])
+    assert min(fine) == 1 and sum(fine) <= mixing.PERIOD + 3 and abs(fine[0] / sum(fine) - 1 / 3) < 1e-5
+
+
+def test_documents_larger_than_a_block_run_over_the_next(spark):
+    rows = [(i, "a" if i % 2 else "b", 10 * mixing.BLOCK if i < 4 else 300) for i in range(400)]
+    sizes = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint")
+    mixed, _ = mixing.mix(spark, sizes, spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], TARGETS))
+    out = mixed.orderBy("slot", "place").collect()
+    assert len(out) == 400
+    done, worst = {"a": 0, "b": 0}, 0
+    for r in out:
+        done[r.source] += r.n_tokens
+        worst = max(worst, abs(done["a"] - done["b"]))
+    assert worst <= 11 * mixing.BLOCK
+
+
 TARGETS = "source string, target_share double, max_repeats int"
 
 
