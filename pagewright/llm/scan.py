@@ -4,8 +4,9 @@ An averaged perceptron edits character by character: keep, replace (delete and i
 by one and of one by two) and join two lines at a mark. What it may replace is a table of known confusions and all pairs
 that the corpus itself shows (``operations``). It is trained on text of the corpus itself that is damaged by these pairs; each
 decision scores hashed patterns of the neighbouring characters. Vocabulary counts over all texts
-then tell divided words from compounds broken at their own hyphen. Head lines and page numbers ("furniture") are found
-from the place of a line on its page and its repetition over the pages of a book.
+and the perceptron's score then tell divided words from compounds broken at their own hyphen, within a box, from box to box and
+from page to page. Head lines and page numbers ("furniture") are found from the place of a line on its page (the coordinates of
+its box) and its repetition over the pages of a book.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagewright.llm.tables import map_arrow
+from pagewright.operators.deliveries import latest
 from pagewright.session import ensure_checkpoint_dir
 
 #: What OCR writes for what is printed, as pairs "written printed".
@@ -477,17 +479,19 @@ def vocabulary(df: DataFrame, text: str) -> DataFrame:
     return map_arrow(df.filter(F.col(text).rlike(r"[A-Za-zÀ-ɏ]{2}")).select(text), run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-_LEFT, _RIGHT = regex.compile(r"\p{L}+$"), regex.compile(r"[ \t]*\n?[ \t]*(\p{L}+)")
+_LEFT, _RIGHT = regex.compile(r"(?r)\p{L}+"), regex.compile(r"[ \t]*\n?[ \t]*(\p{L}+)")
 
 
 def proposals(df: DataFrame, key: str, text: str, weights: np.ndarray, following: str | None = None, table: Operations = TABLE) -> DataFrame:
-    """What the editor proposes: key, kind ('misread', 'soft', 'hard'), pos, written, printed, score.
+    """What the editor proposes: key, kind ('misread', 'soft', 'hard', 'open soft', 'open hard'), pos, written, printed, score.
 
     was and would are the forms before and after an operation that isn't in the table, for ``confirmed``.
     'soft' and 'hard' are joins at a mark that can't or can be part of a word; written and printed are then the parts of
-    the word. ``following`` is the text that comes after (the next box), for marks at the end.
+    the word. ``following`` is the text that comes after (the next box), for marks at the end; they are 'open' if no word
+    follows there.
     """
-    columns = [F.col(key).alias("k"), F.col(text).alias("t"), (F.left(F.col(following), F.lit(40)) if following else F.lit(None).cast("string")).alias("f")]
+    # of what follows, the word that it begins with
+    columns = [F.col(key).alias("k"), F.col(text).alias("t"), (F.regexp_extract(F.col(following), r"^(\s*\p{L}+)", 1) if following else F.lit(None).cast("string")).alias("f")]
     shared = df.sparkSession.sparkContext.broadcast(weights)  # 4 MB, whatever the data
 
     def run(batches):
@@ -504,9 +508,10 @@ def proposals(df: DataFrame, key: str, text: str, weights: np.ndarray, following
             for i, t in enumerate(texts):
                 if any(m in t for m in MARKS) and (found := _joins(t)):
                     for p, s in zip(found, editor.join_scores(t, found)):
-                        left = _LEFT.search(t, max(0, p - 40), p)
-                        right = _RIGHT.match(t, p + 1) or (_RIGHT.match(after[i]) if after[i] and not t[p + 1 :].strip() else None)
-                        rows.append((i, "soft" if t[p] in SOFT else "hard", p, left.group() if left else "", right.group(1) if right else "", float(s), None, None))
+                        left, at_end = _LEFT.match(t, 0, p), not t[p + 1 :].strip()
+                        right = _RIGHT.match(t, p + 1) or (_RIGHT.match(after[i]) if after[i] and at_end else None)
+                        kind = "soft" if t[p] in SOFT else "hard"
+                        rows.append((i, kind if right or not at_end else f"open {kind}", p, left.group() if left else "", right.group(1) if right else "", float(s), None, None))
             if rows:
                 c = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(c[0])), pa.array(c[1]), pa.array(c[2], pa.int64()), pa.array(c[3], pa.string()), pa.array(c[4], pa.string()), pa.array(c[5], pa.float64()), pa.array(c[6], pa.string()), pa.array(c[7], pa.string())], names=["k", "kind", "pos", "written", "printed", "score", "was", "would"])
@@ -523,10 +528,17 @@ def divided(proposed: DataFrame, key: str, words: DataFrame) -> DataFrame:
     keyed = hard.select(key, "pos", "r", "score", F.explode(F.array(*[F.struct(F.lit(name).alias("what"), form.alias("word")) for name, form in asked.items()])).alias("x")).select(key, "pos", "r", "score", "x.*")
     found = keyed.join(words, "word", "left").groupBy(key, "pos", "r", "score")
     counted = found.agg(*[F.coalesce(F.max(F.when(F.col("what") == name, F.col("n"))), F.lit(0)).alias(f"n_{name}") for name in asked])
-    whole = F.col("n_joined") > F.col("n_compound")
-    # a second part that is a word by itself makes a compound, unless the parts are known as one word
-    is_split = F.when(whole, True).when(F.col("n_compound") > 0, False).when(F.col("r") == "", F.col("n_l") < 2).when(F.col("n_r") >= 2, False).otherwise((F.col("score") > 0) | (F.col("n_l") < 2))
-    return soft.unionByName(counted.filter(is_split).select(key, "pos")).distinct()
+    # the perceptron's score and what the vocabulary says for one word: the word as a whole against the compound, a second part
+    # that is no word by itself, a first part that is none
+    log = lambda x, y: F.log((F.col(x) + 0.5) / (F.col(y) + 0.5))
+    known = (F.col("n_joined") + F.col("n_compound")) > 0
+    alone = F.when(F.col("r") == "", F.when(F.col("n_l") < 2, 20.0).otherwise(-20.0)).when(F.col("n_r") >= 2, -PART).when(F.col("n_l") < 2, PART).otherwise(0.0)
+    total = F.col("score") + F.when(known, WHOLE * log("n_joined", "n_compound")).otherwise(alone)
+    return soft.unionByName(counted.filter(total > 0).select(key, "pos")).distinct()
+
+
+#: Weight of the vocabulary beside the perceptron's score (which lies within about 5): of whole words, of a word's parts.
+WHOLE, PART = 20.0, 20.0
 
 
 # furniture
@@ -552,39 +564,54 @@ def _value(number: Column) -> Column:
     return F.when(number.rlike("^[0-9]+$"), number.cast("int")).when(form, roman)
 
 
-def edge_lines(pages: DataFrame, reach: int = 3) -> DataFrame:
-    """First and last lines of the boxes near the top and bottom of each page, with their place and what they may be."""
-    boxes = pages.select("page_id", "doc_key", "page", F.size("boxes").alias("n"), F.posexplode("boxes").alias("box_no", "b")).filter((F.col("box_no") < reach) | (F.col("box_no") >= F.col("n") - reach))
+#: The part of a page's height, from above and from below, in which head lines and page numbers stand.
+EDGE = 1 / 3
+
+
+def edge_lines(pages: DataFrame) -> DataFrame:
+    """First and last lines of the boxes near the top and bottom of each page, with their place and what they may be.
+
+    The place is that of the box's coordinates in the page's height; where either is missing, the order of the boxes.
+    """
+    # the first box that ends a sentence: nothing below it is a head line
+    ended = lambda b: F.right(F.rtrim(b["text_content"]), F.lit(2)).rlike(r"[。！？!?.।…][”’」』）)»\"]?$")
+    body = F.array_min(F.transform("boxes", lambda b, i: F.when(F.coalesce(ended(b), F.lit(False)), F.coalesce(F.get(b["box"], F.lit(1)), i))))
+    height = F.col("image_dims.h") if "image_dims" in pages.columns else F.lit(None).cast("int")
+    boxes = pages.select("page_id", "doc_key", "page", height.alias("h"), F.size("boxes").alias("n"), body.alias("body"), F.posexplode("boxes").alias("box_no", "b"))
+    at = lambda i, order: F.coalesce(F.when(F.col("h") > 0, F.get("b.box", F.lit(i)) / F.col("h")), order / F.col("n"))
+    boxes = boxes.withColumn("y", F.coalesce(F.get("b.box", F.lit(1)), F.col("box_no")))
+    placed = boxes.withColumns({"above": F.col("y") <= F.coalesce("body", F.col("y")), "top": at(1, F.col("box_no")) <= EDGE, "bottom": at(3, F.col("box_no") + 1) >= 1 - EDGE}).filter("top or bottom")
     lines = F.split(F.col("b.text_content"), "\n")
-    # lines are told apart from running text by length; those in between are never furniture
-    both = boxes.select("page_id", "doc_key", "page", "n", "box_no", F.col("b.label").alias("label"), F.explode(F.array(F.struct(F.lit(True).alias("first"), F.element_at(lines, 1).alias("raw")), F.struct(F.lit(False).alias("first"), F.element_at(lines, -1).alias("raw")))).alias("x"))
+    both = placed.select("page_id", "doc_key", "page", "n", "above", "top", "bottom", "box_no", F.col("b.label").alias("label"), F.explode(F.array(F.struct(F.lit(True).alias("first"), F.element_at(lines, 1).alias("raw")), F.struct(F.lit(False).alias("first"), F.element_at(lines, -1).alias("raw")))).alias("x"))
     digits = F.translate(F.col("x.raw"), "０１２３４５６７８９　／－．", "0123456789 /-.")
     line = F.trim(digits)
-    out = both.select("page_id", "doc_key", "page", "n", "box_no", "label", "x.first", line.alias("line")).filter(F.length("line").between(1, 60))
+    out = both.select("page_id", "doc_key", "page", "n", "above", "top", "bottom", "box_no", "label", "x.first", line.alias("line")).filter("line <> ''")
     bare = F.regexp_extract("line", _BARE, 1)
     lead_n, lead_t = F.regexp_extract("line", _LEAD, 1), F.regexp_extract("line", _LEAD, 2)
     tail_t, tail_n = F.regexp_extract("line", _TAIL, 1), F.regexp_extract("line", _TAIL, 2)
     number = F.when(bare != "", bare).when(lead_n != "", lead_n).when(tail_n != "", tail_n)
     head = F.when(bare != "", F.lit(None)).when(lead_n != "", lead_t).when(tail_n != "", tail_t).otherwise(F.col("line"))
     key = F.lower(F.regexp_replace(head, r"[\s​-‏⁠﻿]", ""))
-    out = out.withColumns({"box_key": F.col("page_id") * 100 + F.col("box_no"), "bare": bare != "", "value": _value(number), "roman": number.rlike("^[ivxlcIVXLC]+$"), "head": F.when((F.length(key) >= 2) & head.rlike(r"^[\p{L}\p{N}（(《“「『]") & ~head.rlike(_SENTENCE_END), key), "form": F.when(bare != "", F.regexp_replace("line", _NUMBER, "N")).otherwise(F.when(lead_n != "", F.lit("N head")).when(tail_n != "", F.lit("head N")))})
-    return out.filter("value is not null or head is not null")
+    form = F.when(bare != "", F.regexp_replace("line", _NUMBER, "N")).when(lead_n != "", F.lit("N head")).when(tail_n != "", F.lit("head N"))
+    may_head = F.col("first") & F.col("top") & F.col("above") & (F.length(key) >= 2) & head.rlike(r"^[\p{L}\p{N}（(《“「『]") & ~head.rlike(_SENTENCE_END)
+    out = out.withColumns({"box_key": F.col("page_id") * 100 + F.col("box_no"), "bare": bare != "", "value": _value(number), "roman": number.rlike("^[ivxlcIVXLC]+$"), "head": F.when(may_head, key), "form": form})
+    return out.filter("value is not null or head is not null").drop("line")
 
 
 def page_numbers(lines: DataFrame) -> DataFrame:
-    """Boxes with the printed number of their page.
+    """Boxes with the printed number of their page: box_key, first (whether it is in the first line, else in the last).
 
     The number must be at an edge of the page and run with the pages of its book (one offset for arabic, one for roman
     numbers); forms that a book uses once are no page numbers.
     """
-    at_edge = ((F.col("box_no") <= 1) & F.col("first")) | ((F.col("n") - F.col("box_no") <= 2) & ~F.col("first")) | (F.col("bare") & ((F.col("box_no") <= 1) | (F.col("n") - F.col("box_no") <= 2)))
-    own = lines.filter(F.col("value").isNotNull() & at_edge).select("box_key", "doc_key", "page", "roman", "form", "bare", (F.col("value") - F.col("page")).alias("off")).distinct()
+    at_edge = (F.col("top") & F.col("first")) | (F.col("bottom") & ~F.col("first")) | F.col("bare")
+    own = lines.filter(F.col("value").isNotNull() & at_edge).select("box_key", "first", "doc_key", "page", "roman", "form", "bare", (F.col("value") - F.col("page")).alias("off")).distinct()
     counts = own.groupBy("doc_key", "roman", "off").agg(F.countDistinct("page").alias("c"))
     best = counts.groupBy("doc_key", "roman").agg(F.max_by("off", F.struct("c", (F.col("off") == 0).cast("int"), -F.abs("off"))).alias("best"), F.max("c").alias("best_n"))
     right = own.join(best, ["doc_key", "roman"]).filter((F.col("off") == F.when(F.col("best_n") >= 3, F.col("best")).otherwise(0)))
     forms = right.groupBy("doc_key", "form").agg(F.countDistinct("page").alias("f"))
     books = right.groupBy("doc_key").agg(F.countDistinct("page").alias("p"))
-    return right.join(forms, ["doc_key", "form"]).join(books, "doc_key").filter("f >= 2 or p <= 3").select("box_key").distinct()
+    return right.join(forms, ["doc_key", "form"]).join(books, "doc_key").filter("f >= 2 or p <= 3").select("box_key", "first").distinct()
 
 
 def running_heads(lines: DataFrame) -> DataFrame:
@@ -593,7 +620,7 @@ def running_heads(lines: DataFrame) -> DataFrame:
     The heading that opens a chapter (the last occurrence of its line on the first page that has it, labelled or numbered
     as a heading) is none. Lines with a misread character are matched to a repeated line of the book by one of their halves.
     """
-    top = lines.filter(F.col("head").isNotNull() & F.col("first") & (F.col("box_no") <= 2) & (F.length("head") <= 50)).select("box_key", "page_id", "doc_key", "page", "box_no", "label", "head").distinct()
+    top = lines.filter("head is not null").select("box_key", "page_id", "doc_key", "page", "box_no", "label", "head").distinct()
     title = F.col("label").isin("title", "sub_title")
     per = top.groupBy("doc_key", "head").agg(F.countDistinct("page").alias("pages"), F.min("page").alias("first_page"), F.max((F.col("label") == "header").cast("int")).alias("headers"), F.max(title.cast("int")).alias("titles"))
     repeated = per.filter("pages >= 3 or (pages = 2 and (headers = 1 or titles = 1))")
@@ -601,13 +628,14 @@ def running_heads(lines: DataFrame) -> DataFrame:
     known = top.join(repeated, ["doc_key", "head"]).withColumn("last_box", F.max("box_no").over(last))
     opens = (F.col("page") == F.col("first_page")) & (F.col("box_no") == F.col("last_box")) & (F.coalesce(F.col("label") != "header", F.lit(True))) & (title | F.col("head").rlike(_CHAPTER))
     exact = known.filter(~F.coalesce(opens, F.lit(False))).select("box_key")
-    labelled = top.filter("label = 'header' and box_no <= 1").select("box_key")
     # a misread character leaves one half of the line as it is
     half = F.ceil(F.length("head") / 2).cast("int")
     halves = lambda df: df.withColumn("h", F.explode(F.array(F.concat(F.lit("l"), F.left("head", half)), F.concat(F.lit("r"), F.expr("substring(head, cast(ceil(length(head) / 2) as int) + 1)")))))
     rest = halves(top.join(repeated, ["doc_key", "head"], "left_anti").filter(F.length("head") >= 5)).withColumnRenamed("head", "other")
     near = rest.join(halves(repeated.select("doc_key", "head")), ["doc_key", "h"]).filter((F.length("head") == F.length("other")) & (F.levenshtein("head", "other") <= F.when(F.length("head") >= 8, 2).otherwise(1)))
-    fuzzy = near.filter(~title & (F.col("box_no") <= 1)).select("box_key")
+    fuzzy = near.filter(~F.coalesce(title, F.lit(False))).select("box_key")
+    # a head that stands on one page only, as in a chapter of two pages, is told by its place together with its label
+    labelled = top.filter("label = 'header'").select("box_key")
     return exact.unionByName(labelled).unionByName(fuzzy).distinct()
 
 
@@ -617,8 +645,28 @@ def _boxes(pages: DataFrame) -> DataFrame:
     return exploded.select((F.col("page_id") * 100 + F.col("box_no")).alias("box_key"), "page_id", "box_no", F.col("b.text_content").alias("text"), F.get("all", F.col("box_no") + 1)["text_content"].alias("following"))
 
 
+def _starts(pages: DataFrame, heads: DataFrame) -> DataFrame:
+    """The word that each page's running text begins with: doc_key, page, start."""
+    rows = pages.select("page_id", "doc_key", "page", F.posexplode("boxes").alias("box_no", "b")).filter(F.coalesce(~F.col("b.label").isin(*ASIDE), F.lit(True)))
+    word = lambda pattern: F.regexp_extract("b.text_content", pattern, 1)
+    light = rows.select("doc_key", "page", "box_no", (F.col("page_id") * 100 + F.col("box_no")).alias("box_key"), word(r"^\s*(\p{L}+)").alias("first"), word(r"^[^\n]*\n\s*(\p{L}+)").alias("second")).filter("first <> '' or second <> ''")
+    own = light.join(heads.withColumn("head", F.lit(True)), "box_key", "left").withColumn("start", F.when(F.col("head"), F.col("second")).otherwise(F.col("first")))
+    return own.filter("start <> ''").groupBy("doc_key", "page").agg(F.min_by("start", F.struct("box_no", "start")).alias("start"))
+
+
+#: Labels of boxes that stand beside the running text.
+ASIDE = ("image", "table", "footnote", "page_number", "header", "footer")
+
+
+def _continued(opened: DataFrame, pages: DataFrame, heads: DataFrame) -> DataFrame:
+    """Marks at the end of a page's text with the word that the next page begins with."""
+    place = pages.select("page_id", "doc_key", (F.col("page") + 1).alias("page")).distinct()
+    at = opened.withColumn("page_id", F.expr("box_key div 100")).join(place, "page_id", "left").join(_starts(pages, heads), ["doc_key", "page"], "left")
+    return at.withColumns({"kind": F.regexp_replace("kind", "open ", ""), "printed": F.coalesce("start", F.lit(""))}).select(opened.columns).distinct()
+
+
 def analysed(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEXTS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(edits, heads, numbers): what to mend in each box, and the boxes with head lines and page numbers.
+    """(edits, heads, numbers): what to mend in each box, the boxes with head lines (box_key) and page numbers (box_key, first).
 
     edits: box_key, kind, pos, written, printed. Lines near the edges, proposals and the results are small beside the texts;
     each is checkpointed, so that every further plan is short and nothing is worked out twice.
@@ -627,18 +675,21 @@ def analysed(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEX
     texts = _boxes(pages)
     table, forms = operations(texts, "text")
     weights = fitted(texts, "text", train_texts, table)
-    proposed = confirmed(proposals(texts, "box_key", "text", weights, "following", table).checkpoint(), forms).checkpoint()
+    lines = edge_lines(pages).checkpoint()
+    heads, numbers = running_heads(lines).checkpoint(), page_numbers(lines).checkpoint()
+    raw = confirmed(proposals(texts, "box_key", "text", weights, "following", table).checkpoint(), forms)
+    opened = raw.filter("kind like 'open%'")
+    proposed = raw.filter("kind not like 'open%'").unionByName(_continued(opened, pages, heads)).checkpoint()
     joins = divided(proposed, "box_key", vocabulary(texts, "text"))
     mended = proposed.filter("kind = 'misread'").unionByName(proposed.filter("kind <> 'misread'").join(joins, ["box_key", "pos"], "left_semi").withColumn("kind", F.lit("split_word")).select(proposed.columns))
-    lines = edge_lines(pages).checkpoint()
-    return mended.select("box_key", "kind", "pos", "written", "printed").checkpoint(), running_heads(lines).checkpoint(), page_numbers(lines).checkpoint()
+    return mended.select("box_key", "kind", "pos", "written", "printed").checkpoint(), heads, numbers
 
 
 def defects(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEXTS) -> DataFrame:
     """One row per box and defect: box_key, defect. Boxes without text have none; a page delivered twice counts once."""
     edits, heads, numbers = analysed(pages, spark, train_texts)
     found = edits.select("box_key", F.col("kind").alias("defect"))
-    return found.unionByName(heads.withColumn("defect", F.lit("running_head"))).unionByName(numbers.withColumn("defect", F.lit("page_number"))).distinct()
+    return found.unionByName(heads.withColumn("defect", F.lit("running_head"))).unionByName(numbers.select("box_key").withColumn("defect", F.lit("page_number"))).distinct()
 
 
 _ENDS = regex.compile(r"[。！？!?.।…：:][”’」』）)»\"]*$")
@@ -658,52 +709,136 @@ def join_lines(text: str) -> str:
     return "\n\n".join(out)
 
 
-def mend(text: str, edits: list[tuple[int, str, str, str]]) -> str:
-    """The text after edits (position, kind, written, printed), joins included."""
-    for pos, kind, written, printed in sorted(edits, reverse=True):
+_LEAD_OF, _TAIL_OF = regex.compile(r"\s*[0-9０-９]{1,5}(?:[\s　]{2,}|[\s　]*[·|—–][\s　]*)(?=\S)"), regex.compile(r"(?:[\s　]{2,}|[\s　]*[·|—–][\s　]*)[0-9０-９]{1,5}\s*$")
+
+
+def furniture(text: str, head: bool, first_number: bool, last_number: bool) -> list[tuple[int, int]]:
+    """Spans (start, end) of the text's head line and page numbers, and nothing else.
+
+    A line that is nothing else goes with its break; of a line with a number beside other text only the number and what parts
+    it from the text go, or only the head where the number isn't that of the page.
+    """
+    out = []
+    breaks = [m.start() for m in regex.finditer("\n", text)]
+    lines = list(zip([0] + [b + 1 for b in breaks], breaks + [len(text)]))
+    for i, number in ((0, first_number), (len(lines) - 1, last_number)):
+        is_head = head and i == 0
+        if not number and not is_head:
+            continue
+        a, b = lines[i]
+        line = text[a:b]
+        lead, tail = _LEAD_OF.match(line), _TAIL_OF.search(line)
+        if number and not is_head and (lead or tail):
+            out.append((a, a + lead.end()) if lead else (a + tail.start(), b))
+        elif is_head and not number and (lead or tail):
+            out.append((a + lead.end(), b) if lead else (a, a + tail.start()))
+        else:
+            out.append((a, b + 1) if b < len(text) else (max(0, a - 1), b))
+    return out
+
+
+def mend(text: str, edits: list[tuple[int, str, str, str]], removed: list[tuple[int, int]] | None = None) -> tuple[str, bool]:
+    """(the text after edits (position, kind, written, printed) and without the removed spans, whether its last word goes on)."""
+    goes_on = False
+    removed = removed or []
+    steps = [(a, b, "") for a, b in removed]
+    for pos, kind, written, printed in edits:
+        if any(a <= pos < b for a, b in removed):
+            continue
         if kind == "misread":
-            text = text[:pos] + printed + text[pos + len(written) :]
+            steps.append((pos, pos + len(written), printed))
         else:
-            text = text[:pos] + regex.sub(r"^[ \t]*\n?[ \t]*", "", text[pos + 1 :])
-    return text
+            rest = regex.compile(r"[ \t]*\n?[ \t]*").match(text, pos + 1)
+            steps.append((pos, rest.end(), ""))
+            goes_on |= not text[rest.end() :].strip()
+    for a, b, to in sorted(set(steps), reverse=True):
+        text = text[:a] + to + text[b:]
+    return text, goes_on
+
+
+def _page_parts(boxes: list[dict], marks: dict[int, dict]) -> list[tuple[str, bool, bool, bool]]:
+    """Paragraphs of a page: (text, whether it belongs to the running text, whether it goes on, whether within a word)."""
+    out: list[tuple[str, bool, bool, bool]] = []
+    for i, b in enumerate(boxes):
+        own = marks.get(i, {})
+        t = b["text_content"] or ""
+        spans = furniture(t, own.get("head", False), own.get("first", False), own.get("last", False))
+        t, glued = mend(t, own.get("edits", ()), spans)
+        body = b["label"] not in ASIDE
+        for part in join_lines(t).split("\n\n"):
+            if not part:
+                continue
+            before = next((k for k in range(len(out) - 1, -1, -1) if out[k][1]), None) if body else None
+            if before is not None and out[before][2]:
+                text, _, _, word = out[before]
+                out[before] = (text + _glue(text, word) + part, True, False, False)
+            else:
+                out.append((part, body, False, False))
+                before = len(out) - 1
+            if body:
+                text = out[before][0]
+                out[before] = (text, True, not _ENDS.search(text) and len(text) > 40, False)
+        if body and glued and (k := next((k for k in range(len(out) - 1, -1, -1) if out[k][1]), None)) is not None:
+            out[k] = (out[k][0], True, True, True)
+    return out
+
+
+def _glue(text: str, within_word: bool) -> str:
+    return "" if within_word or _CJK_END.search(text) else " "
 
 
 def paragraphs(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEXTS) -> DataFrame:
-    """Continuous paragraphs per page: page_id, paragraph_no, text.
+    """Continuous paragraphs: page_id (of the page on which it begins), paragraph_no, text.
 
-    Misread characters are replaced, divided words joined, furniture lines left out, lines joined; a box that doesn't end
-    a sentence goes on in the next. Pages without text give no row; a page delivered twice counts once.
+    Misread characters are replaced and divided words joined, over boxes and pages too; head lines and page numbers are left
+    out, of a line with other text nothing but them; lines are joined; a box of running text that doesn't end a sentence goes
+    on in the next one, also on the next page of the book. Pages without text give no row; of a page delivered again the
+    latest delivery counts. Pages move once, to their marks; of the paragraphs only those that go over a page move again.
     """
     edits, heads, numbers = analysed(pages, spark, train_texts)
-    texts = _boxes(pages.dropDuplicates(["page_id"])).filter(F.length("text") > 0).select("box_key", "page_id", "box_no", "text")
-    # one table of all changes, so that texts are joined once
+    # one row of marks for each page, so that texts are moved once
     marks = edits.groupBy("box_key").agg(F.collect_set(F.struct("pos", "kind", "written", "printed")).alias("edits"))
-    marks = marks.join(heads.withColumn("head", F.lit(True)), "box_key", "full").join(numbers.withColumn("number", F.lit(True)), "box_key", "full")
-    full = texts.join(marks, "box_key", "left")
-    by_page = full.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("box_no", "text", "edits", "head", "number"))).alias("boxes"))
+    placed = numbers.groupBy("box_key").agg(F.max("first").alias("first"), F.max(~F.col("first")).alias("last"))
+    marks = marks.join(heads.withColumn("head", F.lit(True)), "box_key", "full").join(placed, "box_key", "full")
+    by_page = marks.groupBy(F.expr("box_key div 100").alias("page_id")).agg(F.collect_list(F.struct((F.col("box_key") % 100).alias("box_no"), "edits", "head", "first", "last")).alias("marks"))
+    once = latest(pages, "page_id", "ingested_at").filter("boxes is not null").select("page_id", "doc_key", "page", F.transform("boxes", lambda b: F.struct(b["label"].alias("label"), b["text_content"].alias("text_content"))).alias("boxes"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         rows = []
-        for i, boxes in enumerate(batch.column(1).to_pylist()):
-            out: list[str] = []
-            for b in boxes:
-                t = mend(b["text"], [(e["pos"], e["kind"], e["written"], e["printed"]) for e in b["edits"] or []])
-                if b["head"]:
-                    t = t.partition("\n")[2]
-                elif b["number"]:
-                    ls = t.split("\n")
-                    t = "\n".join(ls[1:] if len(ls) > 1 and regex.fullmatch(r"\W*[\divxlcIVXLC]+\W*(?:/\s*\d+)?\W*", ls[0]) else ls[:-1])
-                for part in join_lines(t).split("\n\n"):
-                    if not part:
-                        continue
-                    if out and not _ENDS.search(out[-1]) and len(out[-1]) > 40:
-                        out[-1] += ("" if _CJK_END.search(out[-1]) else " ") + part
-                    else:
-                        out.append(part)
-            rows += [(i, no, p) for no, p in enumerate(out)]
+        for i, (boxes, found) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
+            own = {m["box_no"]: {"edits": [(e["pos"], e["kind"], e["written"], e["printed"]) for e in m["edits"] or []], "head": bool(m["head"]), "first": bool(m["first"]), "last": bool(m["last"])} for m in found or []}
+            parts = _page_parts(boxes, own)
+            body = [no for no, p in enumerate(parts) if p[1]]
+            rows += [(i, no, t, bool(body) and no == body[0], bool(body) and no == body[-1], goes_on, word, bool(_ENDS.search(t))) for no, (t, _, goes_on, word) in enumerate(parts)]
         if not rows:
             return None
         c = list(zip(*rows))
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(c[0])), pa.array(c[1], pa.int64()), pa.array(c[2], pa.string())], names=["page_id", "paragraph_no", "text"])
-
-    return map_arrow(by_page, run, "page_id bigint, paragraph_no bigint, text string")
+        at = pa.array(c[0])
+        return pa.RecordBatch.from_arrays([*[batch.column(k).take(at) for k in range(3)], pa.array(c[1], pa.int64()), pa.array(c[2], pa.string()), *[pa.array(x, pa.bool_()) for x in c[3:]]], names=["page_id", "doc_key", "page", "no", "text", "is_first", "is_last", "goes_on", "in_word", "ended"])
+
+    kinds = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in ("page_id", "doc_key", "page"))
+    parts = map_arrow(once.join(by_page, "page_id", "left"), run, f"{kinds}, no bigint, text string, is_first boolean, is_last boolean, goes_on boolean, in_word boolean, ended boolean").checkpoint()
+    return _over_pages(parts)
+
+
+def _over_pages(parts: DataFrame) -> DataFrame:
+    """page_id, paragraph_no, text of parts, those that go on over a page joined with the first of the next page."""
+    ends = parts.filter("is_last and (goes_on or is_first and not ended)").select("doc_key", (F.col("page") + 1).alias("page"), F.col("page_id").alias("before_id"), F.col("no").alias("before_no"), F.col("is_first").alias("before_single"), (~F.col("goes_on")).alias("short"))
+    joined = parts.filter("is_first").join(ends, ["doc_key", "page"]).select("doc_key", "page", "page_id", "no", "before_id", "before_no", "before_single", "short")
+    # a page that is one paragraph hands on the head of the page before it; only pages that are joined to another are ordered
+    order = Window.partitionBy("doc_key").orderBy("page", "page_id")
+    lag = lambda c: F.lag(c).over(order)
+    chained = F.col("before_single") & (lag("page_id") == F.col("before_id"))
+    head = F.when(~F.coalesce(chained, F.lit(False)), F.struct("before_id", "before_no", "short"))
+    # a short text that is its whole page goes on only if it is itself the rest of a paragraph
+    chains = joined.withColumn("head", F.last(head, True).over(order)).filter("not head.short").select("page_id", "no", F.col("head.before_id").alias("head_id"), F.col("head.before_no").alias("head_no"))
+    own = parts.select("page_id", "no", "page", "text", "in_word").join(chains, ["page_id", "no"], "left")
+    heads = chains.select(F.col("head_id").alias("page_id"), F.col("head_no").alias("no")).distinct().withColumn("is_head", F.lit(True))
+    marked = own.join(heads, ["page_id", "no"], "left")
+    alone = marked.filter("head_id is null and is_head is null").select("page_id", F.col("no").alias("paragraph_no"), "text")
+    moved = marked.filter("head_id is not null or is_head").select(F.coalesce("head_id", "page_id").alias("page_id"), F.coalesce("head_no", "no").alias("paragraph_no"), "page", "text", "in_word")
+    grouped = moved.groupBy("page_id", "paragraph_no").agg(F.array_sort(F.collect_list(F.struct("page", "text", "in_word"))).alias("x"))
+    cjk = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}，、；：。“”（）]$"
+    start = F.struct(F.lit("").alias("t"), F.lit(True).alias("w"))
+    fold = F.aggregate("x", start, lambda acc, p: F.struct(F.concat(acc["t"], F.when(acc["w"] | acc["t"].rlike(cjk), "").otherwise(" "), p["text"]).alias("t"), p["in_word"].alias("w")))
+    return alone.unionByName(grouped.select("page_id", "paragraph_no", fold["t"].alias("text")))

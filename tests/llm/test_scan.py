@@ -25,7 +25,7 @@ def test_editor_on_held_out_text():
     for i, p, o in zip(row, pos, op):
         by.setdefault(int(i), []).append((int(p), "misread", scan.OPS[o].written, scan.OPS[o].printed))
     for i, edits in by.items():
-        mended[i] = scan.mend(mended[i], edits)
+        mended[i] = scan.mend(mended[i], edits)[0]
     assert np.mean([a == b for a, b in zip(mended, held)]) >= 0.95
 
 
@@ -75,6 +75,45 @@ def test_paragraphs(spark):
     assert scan.join_lines("一行\n两行\n\nab\ncd") == "一行两行\n\nab cd"
 
 
+def test_only_furniture_is_taken_out():
+    cut = lambda t, *args: scan.mend(t, [], scan.furniture(t, *args))[0]
+    assert cut("2  The river and its banks", False, True, False) == "The river and its banks"
+    assert cut("12  Title\nbody one.\nlast body line", False, True, False) == "Title\nbody one.\nlast body line"
+    assert cut("12  Title\nbody one.\nlast body line", True, True, False) == "body one.\nlast body line"
+    assert cut("12  Title\nbody one.", True, False, False) == "12  \nbody one."
+    assert cut("Title · 7", False, False, True) == "Title" and cut("- 7 -", False, True, True) == ""
+    assert cut("body.\n- 7 -", False, False, True) == "body." and cut("Head\nbody", True, False, False) == "body"
+    assert scan.mend("ab 3 cd\nxx", [(0, "misread", "a", "o"), (8, "misread", "xx", "y")], [(0, 8)])[0] == "y"
+
+
+def test_words_divided_over_boxes_and_pages(spark):
+    body = corpus(12, seed=5)
+    box = lambda i, t, label="text": (label, [0, 100 * i, 10, 100 * i + 50], t)
+    one = [box(0, body[0]), box(1, "They spoke at length about the commis-"), box(2, "sion of the district and its items."), box(3, "In the end all of them compared the register and the govern-"), box(4, "3 Ein Name, 1920", "footnote"), box(5, "1")]
+    two = [box(0, "ment records, which were kept"), box(1, "2")]
+    three = [box(0, "with great care by the register."), box(1, body[3]), box(2, "3")]
+    pages = spark.createDataFrame([(1, "d", 1, one), (2, "d", 2, two), (3, "d", 3, three), (4, "e", 2, [box(0, "another book. Here.")])], "page_id bigint, doc_key string, page int, boxes array<struct<label:string,box:array<int>,text_content:string>>")
+    got = {(r.page_id, r.paragraph_no): r.text for r in scan.paragraphs(pages, spark, 200).collect()}
+    whole = " | ".join(got.values())
+    assert "about the commission of the district" in whole and "the government records, which were kept with great care by the register." in whole
+    assert not any(p == 2 for p, _ in got) and sum("another book" in t for t in got.values()) == 1
+    assert any("Ein Name" in t and "govern" not in t for t in got.values())
+
+
+def test_no_limit_on_the_place_of_furniture(spark):
+    rng = random.Random(2)
+    rows = []
+    for p in range(1, 7):
+        top = [("text", f"Spalte {c}") for c in rng.sample("abcdefgh", 4)] + [("text", "Die Geschichte der " + "langen " * 12 + "Zeile")]
+        rest = [("text", f"{rng.choice(WORDS)} {rng.choice(WORDS)} und Ende {p}.") for _ in range(14)] + [("text", f"Note {rng.random()}.") for _ in range(3)]
+        both = top + rest[:10] + [("text", f"— {p + 4} —")] + rest[10:]
+        rows.append((p, "d", p, [(lb, [0, 40 * i, 10, 40 * i + 30], t) for i, (lb, t) in enumerate(both)], (600, 40 * len(both))))
+    df = spark.createDataFrame(rows, "page_id bigint, doc_key string, page int, boxes array<struct<label:string,box:array<int>,text_content:string>>, image_dims struct<w:int,h:int>")
+    lines = scan.edge_lines(df)
+    assert {(r.box_key) for r in scan.running_heads(lines).collect()} >= {p * 100 + 4 for p in range(1, 7)}
+    assert {(r.box_key, r.first) for r in scan.page_numbers(lines).collect()} == {(p * 100 + 15, f) for p in range(1, 7) for f in (True, False)}
+
+
 def test_pairs_drawn_from_the_corpus(spark):
     # no pair asked for is in the table; the last three texts only have a look-alike of another script
     zh = ["河务部门保存了这份名册。", "县里的河务由专人管理。", "他们在河务会上报告。", "各地河务逐年增加。"]
@@ -96,7 +135,7 @@ def test_pairs_drawn_from_the_corpus(spark):
         by = {}
         for i, p, o in zip(row, pos, op):
             by.setdefault(int(i), []).append((int(p), "misread", table.ops[o].written, table.ops[o].printed))
-        mended = [scan.mend(t, by.get(i, [])) for i, t in enumerate(damaged)]
+        mended = [scan.mend(t, by.get(i, []))[0] for i, t in enumerate(damaged)]
         assert np.mean([a == b for a, b in zip(mended, [t for t in held if printed in t])]) >= 0.5, written
     # a usual word stays, whatever the editor says
     row = [(1, "misread", 0, "u", "v", 1.0, "uessel", "vessel"), (2, "misread", 0, "v", "u", 1.0, "vessel", "uessel"), (3, "misread", 0, "1", "l", 1.0, None, None)]
