@@ -1,20 +1,23 @@
 """Markup residue: clean text that keeps headings, lists, tables, code and formulas recognisable.
 
-A text is fed through a streaming parser (the standard library's HTML parser, with tokenisers for Markdown, wiki and LaTeX
-signs on the character data between the tags). Its events give, per line, the characters of text and of markup. The
-text-to-tag ratio of the lines is smoothed with a Gaussian, and a two-cluster threshold separates content regions from
-lines that are mostly markup; of those, only lines without words are dropped, as headings, cells and formulas are
-content too. What stays is written in one plain notation:
-``# `` headings, ``- `` items, ``| a | b |`` rows, fenced code, ``$ $`` formulas.
-
-Elements and commands of any name count by their syntax. Signs of the printed text (comparisons, prices, paths, note marks, page numbers) are no events.
+A text is fed through the standard library's HTML parser, whose events give the tags (what the parser takes for a tag counts
+by its name or by the full syntax of one), and through tokenisers for the Markdown, wiki and LaTeX signs in the data between
+them. The events give each line its text-to-tag ratio: the characters of text, but for those inside links, menus and forms,
+over the number of events. A text has markup if the ratio of any line counts an event. The ratios are smoothed with a Gaussian,
+and a two-cluster threshold separates the content regions; lines outside them go from the clean text if their ratio is zero,
+that is if they hold nothing but tags, links and menus. Headings, items, cells, code and formulas are content wherever they
+stand. What stays is written in one plain notation: ``# `` headings, ``- `` items, ``| a | b |`` rows, fenced code, ``$ $``
+formulas.
+
+Signs of the printed text (comparisons, prices, paths, note marks, page numbers) are no events. Time and memory are linear in
+the text, but for pathological runs of opening signs.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -23,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.tables import map_arrow
+from pagewright.llm.tables import map_arrow, once_by_hash
 
 #: Element names (HTML and those of wikis) that count as tags whatever follows them, and LaTeX commands that
 #: count wherever they stand. Other names need the full syntax of a tag, other commands a place where no path can be.
@@ -84,9 +87,12 @@ PATTERNS: list[tuple[str, str, regex.Pattern]] = [
 _ENTITY = regex.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 _PAGE_LINE = regex.compile(r"^\s*[-–—*·]\s*[\divxlcIVXLC]{1,6}\s*[-–—*·]\s*$", regex.M)
 _STARS = regex.compile(r"^\s*\*(?:\s*\*)+\s*$", regex.M)
-#: The tags among what the parser calls so: names of the list with anything behind them, others with attributes that have values.
-_TAG = regex.compile(rf"</?(?:{_NAMES})(?=[\s/>])[^<>]*>|<!--.*?-->|<!DOCTYPE[^<>]*>", regex.I | regex.S)
-_OTHER = regex.compile(r"<[A-Za-z](?:[\w.-]*:)?(?:[\w-]|\.(?!\d))+(?:\s+[A-Za-z_][\w:.-]*\s*=\s*(?:\"[^\"<>]*\"|'[^'<>]*'|[^\s<>\"'=]+))*\s*/?>|</[A-Za-z](?:[\w.-]*:)?(?:[\w-]|\.(?!\d))+\s*>", regex.A)
+#: Names of elements of no list: an optional prefix, at least two characters.
+_NAME = regex.compile(r"(?:[a-z][\w.-]*:)?[a-z](?:[\w-]|\.(?!\d))+", regex.A | regex.I)
+_BARE_END = regex.compile(r"</[A-Za-z][\w.:-]*\s*>", regex.A)
+#: Elements whose text leads elsewhere, and those that make a line content whatever its ratio.
+ASIDE = set("a nav menu button option select form aside script style".split())
+CONTENT = set("h1 h2 h3 h4 h5 h6 li dd dt td th tr caption pre code sub sup math".split())
 
 #: A cheap test, for the JVM: a text without any of these signs has no event.
 SIGNS = r"[<>`\\{}\[|$&#*_~=]|''|(?m)^\s*[-+]\s|-{3,}"
@@ -100,61 +106,104 @@ class Event:
     end: int
 
 
+def _is_tag(name: str, attrs: list[tuple[str, str | None]] | None) -> bool:
+    """Whether what the parser calls a tag is one: by a known name, or by its syntax (attributes have values)."""
+    return name in ELEMENTS or bool(_NAME.fullmatch(name)) and all(v is not None and regex.fullmatch(r"[\w:.-]+", k) for k, v in attrs or ())
+
+
 class _Tags(HTMLParser):
-    """Spans of the tags, comments and declarations of a text."""
+    """Spans of the tags, comments and declarations of a text, and of what stands inside elements that lead elsewhere."""
 
     def __init__(self, text: str) -> None:
         super().__init__(convert_charrefs=False)
-        self.text, self.spans = text, []
+        self.text, self.spans, self.aside, self.content, self.stack = text, [], [], [], []
         self.lines = [0] + [m.end() for m in regex.finditer("\n", text)]
         self.feed(text)
         self.close()
 
-    def take(self) -> None:
+    def at(self) -> int:
         line, offset = self.getpos()
-        at = self.lines[line - 1] + offset
-        if m := _TAG.match(self.text, at) or _OTHER.match(self.text, at):
-            self.spans.append(m.span())
+        return self.lines[line - 1] + offset
 
-    def handle_starttag(self, tag: str, attrs) -> None:
-        self.take()
+    def take(self, end: int, name: str = "") -> None:
+        at = self.at()
+        if end > at:
+            self.spans.append((at, end))
+            if name in CONTENT:
+                self.content.append(at)
 
-    def handle_endtag(self, tag: str) -> None:
-        self.take()
+    def handle_starttag(self, tag: str, attrs) -> None:
+        raw = self.get_starttag_text() or ""
+        if _is_tag(tag, attrs) and "<" not in raw[1:]:
+            self.take(self.at() + len(raw), tag)
+            if tag in ASIDE:
+                self.stack.append((tag, self.at() + len(raw)))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
-        self.take()
+        raw = self.get_starttag_text() or ""
+        if _is_tag(tag, attrs) and "<" not in raw[1:]:
+            self.take(self.at() + len(raw))
+
+    def handle_endtag(self, tag: str) -> None:
+        at = self.at()
+        end = self.text.find(">", at) + 1
+        if end and (tag in ELEMENTS or _BARE_END.fullmatch(self.text, at, end) and _is_tag(tag, None)):
+            self.take(end, tag)
+            for k in range(len(self.stack) - 1, -1, -1):
+                if self.stack[k][0] == tag:
+                    self.aside.append((self.stack[k][1], at))
+                    del self.stack[k:]
+                    break
 
     def handle_comment(self, data: str) -> None:
-        self.take()
+        at = self.at()
+        if self.text.startswith("<!--", at) and self.text.startswith("-->", at + 4 + len(data)):
+            self.take(at + 7 + len(data))
 
     def handle_decl(self, decl: str) -> None:
-        self.take()
+        at = self.at()
+        if decl.upper().startswith("DOCTYPE") and self.text.startswith(">", at + 2 + len(decl)):
+            self.take(at + 3 + len(decl))
+
+
+class _Free:
+    """Which places of a text no event has taken."""
+
+    def __init__(self, n: int) -> None:
+        self.mask = bytearray(n)
+
+    def take(self, a: int, b: int) -> bool:
+        """Takes the span if it is free."""
+        if self.mask.find(1, a, b) >= 0:
+            return False
+        self.mask[a:b] = b"\x01" * (b - a)
+        return True
 
 
-def events(text: str) -> Iterator[Event]:
-    """Markup events of a text, from all kinds, in order of precedence rather than of place; they don't overlap."""
-    used: list[tuple[int, int]] = [m.span() for m in _PRINTED.finditer(text)] if "\\" in text else []
-    used += [m.span() for m in _PAGE_LINE.finditer(text)] + ([m.span() for m in _STARS.finditer(text)] if "*" in text else [])
+@dataclass
+class Parsed:
+    """The events of a text, in order of place, the spans that lead elsewhere and the places of content elements."""
 
-    def free(a: int, b: int) -> bool:
-        return all(b <= x or a >= y for x, y in used)
+    events: list[Event]
+    aside: list[tuple[int, int]]
+    content: list[int]
 
-    if "<" in text:
-        for span in _Tags(text).spans:
-            if free(*span):
-                used.append(span)
-                yield Event("html", "tag", *span)
+
+def parse(text: str) -> Parsed:
+    free, found = _Free(len(text)), []
+    for pattern, sign in ((_PRINTED, "\\"), (_PAGE_LINE, ""), (_STARS, "*")):
+        if sign in text:
+            for m in pattern.finditer(text):
+                free.mask[m.start() : m.end()] = b"\x01" * (m.end() - m.start())
+    tags = _Tags(text) if "<" in text else None
+    if tags:
+        found += [Event("html", "tag", *span) for span in tags.spans if free.take(*span)]
     if "&" in text:
-        for m in _ENTITY.finditer(text):
-            if html.unescape(m.group()) != m.group() and free(*m.span()):
-                used.append(m.span())
-                yield Event("html", "entity", *m.span())
+        found += [Event("html", "entity", *m.span()) for m in _ENTITY.finditer(text) if html.unescape(m.group()) != m.group() and free.take(*m.span())]
     for kind, what, pattern in PATTERNS:
-        for m in pattern.finditer(text):
-            if m.end() > m.start() and free(*m.span()):
-                used.append(m.span())
-                yield Event(kind, what, *m.span())
+        found += [Event(kind, what, *m.span()) for m in pattern.finditer(text) if m.end() > m.start() and free.take(*m.span())]
+    found = sorted(_plausible(found, text), key=lambda e: e.start)
+    return Parsed(found, tags.aside if tags else [], tags.content if tags else [])
 
 
 def _plausible(found: list[Event], text: str) -> list[Event]:
@@ -170,7 +219,7 @@ def _plausible(found: list[Event], text: str) -> list[Event]:
 
 def markup(text: str) -> list[Event]:
     """The markup events of a text, none for printed signs."""
-    return _plausible(list(events(text)), text)
+    return parse(text).events
 
 
 class _Writer(HTMLParser):
@@ -186,7 +235,7 @@ class _Writer(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag not in ELEMENTS:
-            self.other()
+            self.other(tag, attrs)
         elif tag in ("script", "style"):
             self.skip += 1
         elif len(tag) == 2 and tag[0] == "h" and tag[1].isdigit():
@@ -217,12 +266,12 @@ class _Writer(HTMLParser):
         if tag in ("br", "hr"):
             self.handle_starttag(tag, attrs)
         elif tag not in ELEMENTS:
-            self.other()
+            self.other(tag, attrs)
 
-    def other(self) -> None:
+    def other(self, tag: str, attrs) -> None:
         """What is no tag by its syntax is printed text."""
         raw = self.get_starttag_text() or ""
-        if not _OTHER.fullmatch(raw):
+        if not _is_tag(tag, attrs):
             self.out.append(raw)
 
     def handle_endtag(self, tag: str) -> None:
@@ -286,16 +335,60 @@ _WORD = regex.compile(r"[\p{L}\p{N}]")
 _FENCED = regex.compile(r"(```.*?```|`[^`\n]+`|\$\$.*?\$\$|\$[^$\n]+\$)", regex.S)
 
 
-def ratios(text: str, found: list[Event]) -> list[float]:
-    """Text-to-tag ratio of each line: characters outside the events over the number of events (at least one)."""
-    out, a = [], 0
-    for line in text.split("\n"):
-        b = a + len(line)
-        inside = [e for e in found if e.start < b and e.end > a]
-        marked = sum(min(e.end, b) - max(e.start, a) for e in inside)
-        out.append((len(line.strip()) - marked if line.strip() else 0) / max(1, len(inside)))
-        a = b + 1
-    return [max(0.0, x) for x in out]
+@dataclass
+class Line:
+    """A line: its span, its events and characters of text, those of them inside elements that lead elsewhere."""
+
+    start: int
+    end: int
+    n_events: int = 0
+    n_text: int = 0
+    n_aside: int = 0
+    content: bool = False
+
+    @property
+    def ratio(self) -> float:
+        return max(0, self.n_text - self.n_aside) / max(1, self.n_events)
+
+
+#: Events that make a line content whatever its ratio.
+_KEPT = {("markdown", "fence"), ("markdown", "heading"), ("markdown", "list"), ("markdown", "table"), ("markdown", "code"), ("wiki", "heading"), ("wiki", "table"), ("latex", "formula"), ("latex", "environment"), ("latex", "delimiter"), ("latex", "command")}
+_PRINTS = regex.compile(r"\S")
+
+
+def measured(text: str, parsed: Parsed) -> list[Line]:
+    """The lines of a text with what their ratios are made of."""
+    lines, a = [], 0
+    for part in text.split("\n"):
+        lines.append(Line(a, a + len(part)))
+        a += len(part) + 1
+    starts = [x.start for x in lines]
+    prints = bytearray(len(text))
+    for m in _PRINTS.finditer(text):
+        prints[m.start()] = 1
+    for e in parsed.events:
+        prints[e.start : e.end] = bytes(e.end - e.start)
+        for k in range(bisect.bisect_right(starts, e.start) - 1, bisect.bisect_left(starts, e.end)):
+            lines[k].n_events += 1
+            lines[k].content |= (e.kind, e.what) in _KEPT
+    for at in parsed.content:
+        lines[bisect.bisect_right(starts, at) - 1].content = True
+    for x in lines:
+        x.n_text = prints.count(1, x.start, x.end)
+    for a, b in parsed.aside:
+        for k in range(bisect.bisect_right(starts, a) - 1, bisect.bisect_left(starts, b)):
+            lines[k].n_aside += prints.count(1, max(a, lines[k].start), min(b, lines[k].end))
+            prints[max(a, lines[k].start) : min(b, lines[k].end)] = bytes(max(0, min(b, lines[k].end) - max(a, lines[k].start)))
+    return lines
+
+
+def outside(lines: list[Line]) -> list[bool]:
+    """Which lines are outside the content regions: in the lower cluster of the smoothed ratios, with a ratio of zero by their
+    tags, links and menus, and no content by their kind. None where the ratios don't differ."""
+    own = [x.ratio for x in lines]
+    level = smooth(own)
+    border = threshold(level)
+    return [border > 0 and s <= border and x.ratio == 0 and x.n_events > 0 and not x.content for s, x in zip(level, lines)]
 
 
 def smooth(values: list[float], sigma: float = 1.0) -> list[float]:
@@ -322,36 +415,23 @@ def threshold(values: list[float]) -> float:
     return (lo + hi) / 2
 
 
-def clean(text: str, found: list[Event] | None = None) -> str:
+def clean(text: str, parsed: Parsed | None = None) -> str:
     """The text without markup. A text without events comes back as it is."""
-    found = markup(text) if found is None else found
+    parsed = parse(text) if parsed is None else parsed
+    found = parsed.events
     if not found:
         return text
-    lines = text.split("\n")
-    if len(lines) > 1:
-        level = smooth(ratios(text, found))
-        border = threshold(level)
-        own, a, keep = ratios(text, found), 0, []
-        for line, s, r in zip(lines, level, own):
-            b = a + len(line)
-            words = _WORD.search("".join(c for i, c in enumerate(line, a) if not any(e.start <= i < e.end for e in found if e.what in ("tag", "entity", "remnant")))) if s <= border and r < 1 else True
-            # a line outside the content regions goes only if nothing but markup is in it
-            if words or "fence" in {e.what for e in found if e.start < b and e.end > a}:
-                keep.append(line)
-            else:
-                keep.append(regex.sub(r"[^<>]+(?=<|$)", "", line) if "<" in line else "")
-            a = b + 1
-        text = "\n".join(keep)
+    lines = measured(text, parsed)
+    if any(out := outside(lines)):
+        # tags of the dropped lines stay, as elements may begin or end there
+        text = "\n".join("".join(t for e in found if e.what == "tag" and x.start <= e.start < x.end for t in (text[e.start : e.end],)) if drop else text[x.start : x.end] for x, drop in zip(lines, out))
     if any(e.kind == "html" for e in found):
         if any(e.what == "entity" for e in found) and regex.search(rf"&lt;/?(?:{_NAMES})\b", text):
             text = html.unescape(text)
         writer = _Writer()
         writer.feed(text)
-        rest = writer.rawdata
         writer.close()
         text = "".join(writer.out)
-        if rest and rest.startswith("<") and not text.endswith(rest):
-            pass
     parts = _FENCED.split(text)
     for i in range(0, len(parts), 2):
         for pattern, to in _REWRITE:
@@ -366,8 +446,9 @@ def may_have(text: str | Column) -> Column:
 
 
 def marked(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Texts with markup: key, kinds (sorted, joined by commas), clean. Null, empty and unmarked texts give no row.
+    """Texts with markup: key, kinds (sorted, joined by commas), n_events, n_lines, n_outside (lines outside the content regions).
 
+    A text is found if the text-to-tag ratio of one of its lines counts an event. Null, empty and unmarked texts give no row.
     Texts without any sign never leave the JVM. A row delivered twice counts once; other columns are ignored.
     """
     source = df.filter(F.col(text).isNotNull()).filter(may_have(text)).select(F.col(key).alias("k"), F.col(text).alias("t"))
@@ -376,12 +457,34 @@ def marked(df: DataFrame, key: str, text: str) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         rows = []
         for i, t in enumerate(batch.column(1).to_pylist()):
-            found = markup(t)
-            if found:
-                rows.append((i, ",".join(sorted({e.kind for e in found})), clean(t, found)))
+            parsed = parse(t)
+            lines = measured(t, parsed) if parsed.events else []
+            if any(x.n_events for x in lines):
+                rows.append((i, ",".join(sorted({e.kind for e in parsed.events})), len(parsed.events), len(lines), sum(outside(lines))))
         if not rows:
             return None
         c = list(zip(*rows))
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(c[0])), pa.array(c[1]), pa.array(c[2], pa.string())], names=["k", "kinds", "clean"])
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(c[0])), pa.array(c[1]), *[pa.array(x, pa.int64()) for x in c[2:]]], names=["k", "kinds", "n_events", "n_lines", "n_outside"])
+
+    return map_arrow(source, run, f"k {kind}, kinds string, n_events bigint, n_lines bigint, n_outside bigint").distinct().withColumnRenamed("k", key)
+
+
+def cleaned(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Every text: key, kinds ('' without markup), clean. Null texts stay null; unmarked texts stay as they are.
+
+    A key and text delivered twice give one row; texts of keys that occur once aren't moved.
+    """
+    once = once_by_hash(df.select(F.col(key).alias("k"), F.col(text).alias("t")), "k", "t")
+    kind = df.schema[key].dataType.simpleString()
+    signs = F.coalesce(may_have("t"), F.lit(False))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for t in batch.column(1).to_pylist():
+            parsed = parse(t)
+            rows.append((",".join(sorted({e.kind for e in parsed.events})), clean(t, parsed)))
+        c = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(c[0]), pa.array(c[1], pa.string())], names=["k", "kinds", "clean"])
 
-    return map_arrow(source, run, f"k {kind}, kinds string, clean string").dropDuplicates(["k", "kinds", "clean"]).withColumnRenamed("k", key)
+    plain = once.filter(~signs).select("k", F.lit("").alias("kinds"), F.col("t").alias("clean"))
+    return map_arrow(once.filter(signs), run, f"k {kind}, kinds string, clean string").unionByName(plain).withColumnRenamed("k", key)

@@ -68,8 +68,8 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_clean(spark: SparkSession, sf: str) -> DataFrame:
-    """Boxes with markup, their kinds and their clean text; all other boxes stay as they are."""
-    return markup.marked(boxes(table(spark, sf, "ocr_pages")), "box_key", "text")
+    """Every box with the kinds of its markup and its clean text."""
+    return markup.cleaned(boxes(table(spark, sf, "ocr_pages")), "box_key", "text")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,8 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.tables import map_arrow
-from pagewright.operators.deliveries import BROADCAST
+from pagewright.llm.tables import map_arrow, once_by_hash
 
 
 @dataclass(frozen=True)
@@ -308,9 +307,7 @@ def sentences(df: DataFrame, key: str, text: str, with_text: bool = True, langua
     source = df.filter(F.length(text) > 0).select(F.col(key).alias("k"), F.col(text).alias("t"), told.alias("l"))
     kind = df.schema[key].dataType.simpleString()
     if with_text:
-        # texts would be moved to compare them: only rows that occur once by key and hash go on, and one of the others
-        hashed = source.withColumn("h", F.xxhash64("t"))
-        source = _once(hashed)
+        source = once_by_hash(source, "k", "t")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         rows = []
@@ -327,16 +324,3 @@ def sentences(df: DataFrame, key: str, text: str, with_text: bool = True, langua
 
     out = map_arrow(source, run, f"k {kind}, sentence_no bigint, start_pos bigint, end_pos bigint, sentence string")
     return (out if with_text else out.dropDuplicates(["k", "sentence_no", "start_pos", "end_pos"])).withColumnRenamed("k", key)
-
-
-def _once(hashed: DataFrame) -> DataFrame:
-    """k, t, l of each (k, h) once; texts of keys that occur once aren't moved."""
-    more = hashed.groupBy("k", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k", "h")
-    n = more.limit(BROADCAST + 1).count()
-    if n == 0:
-        return hashed.select("k", "t", "l")
-    if n > BROADCAST:
-        return hashed.dropDuplicates(["k", "h"]).select("k", "t", "l")
-    twice = F.broadcast(more.select(F.col("k").alias("__k"), F.col("h").alias("__h"), F.lit(True).alias("twice")))
-    marked = hashed.join(twice, F.col("k").eqNullSafe(F.col("__k")) & (F.col("h") == F.col("__h")), "left")
-    return marked.filter("twice is null").select("k", "t", "l").unionByName(marked.filter("twice").dropDuplicates(["k", "h"]).select("k", "t", "l"))

@@ -41,6 +41,8 @@ def test_frame(spark):
     df = spark.createDataFrame([(1, "<b>x</b>", "c"), (1, "<b>x</b>", "c"), (2, None, None), (3, "", ""), (4, "*" * 5000, ""), (5, "<" * 3000, "")], "box_key bigint, text string, clean string")
     assert [r.box_key for r in M.marked(df, "box_key", "text").collect()] == [1]
     assert M.marked(df.limit(0), "box_key", "text").count() == 0
+    assert {(r.box_key, r.kinds, r.clean) for r in M.cleaned(df, "box_key", "text").collect()} == {(1, "html", "x"), (2, "", None), (3, "", ""), (4, "", "*" * 5000), (5, "", "<" * 3000)}
+    assert M.cleaned(df, "box_key", "text").count() == 5 and M.cleaned(df.limit(0), "box_key", "text").count() == 0
 
 
 def test_elements_and_commands_of_any_name():
@@ -59,3 +61,29 @@ def test_elements_and_commands_of_any_name():
             assert M.clean(text) == clean
     for text in ("a < b and c > d", "<see page 3>", "<https://a.org/x>", "<name@a.org>", "x<y>z", r"data\files\new", r"the folder \share\plans\one.txt", r"D:\maps\old", r"\\host\share"):
         assert M.markup(text) == [], text
+
+
+BODY = "The commission met in spring and agreed on the new survey of the district, which was printed later."
+
+
+def test_regions_are_chosen_by_parser_events_and_ratios():
+    page = f'<div>\n<nav><a href="/">Home</a> <a href="/about">About us</a></nav>\n<h2>Title</h2>\n<p>{BODY}</p>\n<p>{BODY} <a href="x">more</a></p>\n<ul>\n<li><a href="y">Item</a></li>\n</ul>\n<footer><a href="z">Contact</a></footer>\n</div>'
+    clean = M.clean(page)
+    assert "Home" not in clean and "About" not in clean and "Contact" not in clean
+    assert clean.count(BODY) == 2 and "## Title" in clean and "- Item" in clean and "more" in clean
+    lines = M.measured(page, M.parse(page))
+    assert [x.ratio for x in lines][1] == 0 and max(x.ratio for x in lines) > 20
+    # short text in plain tags is content, and a text of links only isn't emptied
+    assert "Note" in M.clean(f"<p>{BODY}</p>\n<b>Note</b>")
+    assert "Home" in M.clean('<a href="/">Home</a>')
+
+
+def test_long_marked_texts_take_linear_time():
+    import time
+
+    t0 = time.time()
+    M.clean("<p>word <b>bold</b> and *more* words</p>\n" * 5000)
+    small = time.time() - t0
+    t0 = time.time()
+    M.clean("<p>word <b>bold</b> and *more* words</p>\n" * 20000)
+    assert time.time() - t0 < 12 * small + 1
