@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 BLANK = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 TERMINAL = "。！？!?…:：；;"
 CLOSERS = "”’\"'》>】]"
-TITLE = r"^第[0-9一二三四五六七八九十百]+[章节篇]"
+TITLE = r"^第[\p{Nd}一二三四五六七八九十百]+[章节篇]"
 TITLE_FORMS = (
-    r"^第[一二三四五六七八九十百千万0-9]+[章节篇部分条款]",
+    r"^第[一二三四五六七八九十百千万\p{Nd}]+[章节篇部分条款]",
     r"^[一二三四五六七八九十]+[、，\.]",
     r"^\([一二三四五六七八九十]+\)",
     r"^（[一二三四五六七八九十]+）",
-    r"^[0-9]+\.",
-    r"^\([0-9]+\)",
-    r"^（[0-9]+）",
+    r"^\p{Nd}+\.",
+    r"^\(\p{Nd}+\)",
+    r"^（\p{Nd}+）",
 )
 CIRCLED = "".join(chr(c) for c in range(0x2460, 0x2474))
-#: Control characters and others that a broken text layer leaves; and the listed set that also deletes printed characters.
+#: Control characters that a broken text layer leaves.
 CONTROLS = "".join(chr(c) for c in (*range(1, 9), 11, *range(14, 32), 127))
+# Fixed value: the listed set, which also deletes printed characters.
 GARBLED = "\x03Җ&˅ᮠᦞҹAṸᇎ+᡻޼\x12\x11\x0f\x15\x13\x19\x17\x103\x1a\x1b\x18\x14ĉ'ѝᇦ(ᵜṨᆇ"
 
 
@@ -110,13 +111,23 @@ def clean_characters(text: Column, listed: bool = False) -> Column:
 def strip_references(text: Column) -> Column:
     """Without note marks and commas or colons at the end."""
     t = strip(F.regexp_replace(strip(text), r"[①-⑳]+$", ""))
-    t = strip(F.regexp_replace(t, r"(?:\[[0-9]+\]|（[0-9]+）|\([0-9]+\))+$", ""))
+    t = strip(F.regexp_replace(t, r"(?:\[\p{Nd}+\]|（\p{Nd}+）|\(\p{Nd}+\))+$", ""))
     return strip(F.regexp_replace(t, r"[，,;；:：]+$", ""))
 
 
-def contents_breaks(text: Column) -> Column:
-    """A line break behind the page number of each line of a table of contents, once."""
-    return F.replace(F.regexp_replace(text, r"([.。…]{2,}[\s\x{3000}]*[0-9]++)(?![\n\r])", "$1\n"), F.lit("\n\n"), F.lit("\n"))
+# What a chapter heading begins with behind the page number of a line of contents.
+CHAPTER = r"第[一二三四五六七八九十百千万]+[章节篇部分条款]"
+
+
+def contents_breaks(text: Column, glued: bool = False) -> Column:
+    """A line break behind the page number of each line of a table of contents, once.
+
+    ``glued`` also breaks between a number and a heading sign or chapter, parted by blanks or by nothing.
+    """
+    out = F.regexp_replace(text, r"([.。…]{2,}[\s\x{3000}]*\p{Nd}++)(?![\n\r])", "$1\n")
+    if glued:
+        out = F.regexp_replace(out, rf"(\p{{Nd}})(?:{BLANK}+(?=[第#])|(?={CHAPTER}|[第#]))", "$1\n")
+    return F.replace(out, F.lit("\n\n"), F.lit("\n"))
 
 
 def no_punctuation(text: Column, keep_blanks: bool = True) -> Column:
@@ -167,6 +178,10 @@ def sanitize_model(name: Column) -> Column:
     return F.translate(name, ".:-", "___")
 
 
+#: Seconds that a token is good for.
+TOKEN_LIFE = 3 * 24 * 3600
+
+
 def encrypt_token(text: Column, key: Column) -> Column:
     """AES-GCM as url-safe base64 (nonce, cipher, tag)."""
     return F.translate(F.base64(F.aes_encrypt(text, key, F.lit("GCM"))), "+/", "-_")
@@ -175,3 +190,15 @@ def encrypt_token(text: Column, key: Column) -> Column:
 def decrypt_token(token: Column, key: Column) -> Column:
     """The text of a token, null for foreign or broken ones."""
     return F.try_aes_decrypt(F.unbase64(F.translate(token, "-_", "+/")), key, F.lit("GCM")).cast("string")
+
+
+def expiring_token(text: Column, key: Column, now: Column | None = None, life: int = TOKEN_LIFE) -> Column:
+    """A token of the text and the second at which it expires."""
+    until = F.unix_timestamp(now if now is not None else F.current_timestamp()) + life
+    return encrypt_token(F.to_json(F.struct(text.alias("t"), until.alias("exp"))), key)
+
+
+def valid_token(token: Column, key: Column, now: Column | None = None) -> Column:
+    """The text of a token that hasn't expired, else null."""
+    held = F.from_json(decrypt_token(token, key), "t string, exp bigint")
+    return F.when(held["exp"] > F.unix_timestamp(now if now is not None else F.current_timestamp()), held["t"])

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.functions import geometry as G
 from pagewright.functions import text as X
 from pagewright.operators import joins as J
 
@@ -90,3 +91,39 @@ def fuse_pages(boxes: DataFrame, layer: DataFrame, fallback: DataFrame | None =
     own = F.coalesce(F.nullif("text", F.lit("")), "raw", F.lit(""))
     keep = F.contains("text", F.lit("<table>")) | (F.col("layer_text") == "")
     return found.select("box_key", "n_blocks", F.when(keep, own).otherwise(fused(own, F.col("layer_text"))).alias("text"))
+
+
+# Fixed value: how a grounded segment that is a table begins.
+TABLE_SEGMENT = "<table><tr><td>"
+
+
+def staged_text(label: Column, text: Column, raw: Column, fuse_texts: bool = True) -> Column:
+    """A box's text fused with its grounded segment ``raw``: the segment where the box has none; a heading sign by label; '' with
+    a break for images; special spaces as blanks; layout of the segment with the characters of the box; tables as the segment."""
+    own = F.coalesce(text, F.lit(""))
+    signed = F.when(own == "", raw).when(label == "title", F.concat(F.lit("\r\n#"), own)).when(label == "sub_title", F.concat(F.lit("\r\n##"), own)).when(label == "image", "\r\n").otherwise(own)
+    plain = X.special_spaces(signed)
+    merged = fused(raw, plain) if fuse_texts else plain
+    return F.when(F.contains(raw, F.lit(TABLE_SEGMENT)), raw).otherwise(merged)
+
+
+def stage_boxes(boxes: DataFrame, nodes: DataFrame, fuse_texts: bool = True) -> DataFrame:
+    """Boxes with the text of the box stage: page_id, box_no, label, text. The first box with the coordinates of a segment is
+    changed, by the last of several segments that have them; others keep their text."""
+    scaled = nodes.select("page_id", "node_index", F.col("text").alias("raw"), *[G.det_to_pixel(F.col(c), F.col(s)).alias(n) for c, s, n in (("d0", "w", "x0"), ("d1", "h", "y0"), ("d2", "w", "x1"), ("d3", "h", "y1"))])
+    at = ["page_id", "x0", "y0", "x1", "y1"]
+    first = boxes.groupBy(*at).agg(F.min("box_no").alias("box_no"))
+    last = scaled.groupBy(*at).agg(F.max_by("raw", "node_index").alias("raw"))
+    found = first.join(last, at).select("page_id", "box_no", "raw")
+    joined = boxes.join(found, ["page_id", "box_no"], "left")
+    return joined.select("page_id", "box_no", "label", F.when(F.col("raw").isNull(), F.col("text")).otherwise(staged_text(F.col("label"), F.col("text"), F.col("raw"), fuse_texts=fuse_texts)).alias("text"))
+
+
+def stage_nodes(boxes: DataFrame, nodes: DataFrame, fuse_texts: bool = True) -> DataFrame:
+    """Nodes of the node stage: page_id, node_index, ref, x0..y1, text_len, text. A segment takes the text of the last box with
+    its coordinates; one without such a box has the text ''."""
+    scaled = nodes.select("page_id", "node_index", "ref", F.col("text").alias("raw"), *[G.det_to_pixel(F.col(c), F.col(s)).alias(n) for c, s, n in (("d0", "w", "x0"), ("d1", "h", "y0"), ("d2", "w", "x1"), ("d3", "h", "y1"))])
+    at = ["page_id", "x0", "y0", "x1", "y1"]
+    last = boxes.groupBy(*at).agg(F.max_by(F.struct("label", "text"), "box_no").alias("b"))
+    text = F.when(F.col("b").isNull(), "").otherwise(staged_text(F.col("b.label"), F.col("b.text"), F.col("raw"), fuse_texts=fuse_texts))
+    return scaled.join(last, at, "left").withColumn("text", text).select("page_id", "node_index", "ref", "x0", "y0", "x1", "y1", F.length("text").alias("text_len"), "text")

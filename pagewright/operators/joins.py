@@ -34,10 +34,20 @@ def spatial_text(boxes: DataFrame, layer: DataFrame, margin: float = 5.0) -> Dat
     return boxes.select("box_key").join(named, "box_key", "left").select("box_key", F.coalesce("n_blocks", F.lit(0)).alias("n_blocks"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def match_boxes(nodes: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Boxes with the first grounded segment whose scaled coordinates equal theirs: page_id, box_no, node_index."""
+def match_boxes(nodes: DataFrame, boxes: DataFrame, last: bool = False) -> DataFrame:
+    """Boxes with the grounded segment whose scaled coordinates equal theirs, the first of several (or the last): page_id, box_no, node_index."""
     scaled = nodes.select("page_id", "node_index", *[G.det_to_pixel(F.col(c), F.col(s)).alias(n) for c, s, n in (("d0", "w", "x0"), ("d1", "h", "y0"), ("d2", "w", "x1"), ("d3", "h", "y1"))])
-    return boxes.join(scaled, ["page_id", "x0", "y0", "x1", "y1"]).groupBy("page_id", "box_no").agg(F.min("node_index").alias("node_index"))
+    return boxes.join(scaled, ["page_id", "x0", "y0", "x1", "y1"]).groupBy("page_id", "box_no").agg((F.max if last else F.min)("node_index").alias("node_index"))
+
+
+def match_tokens(nodes: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Boxes with the text of the first grounded segment that has the box's own numbers as its tokens: page_id, box_no, text.
+
+    Pixels are compared with the 0..999 grid, as the token itself would be searched, so that few boxes match.
+    """
+    raw = nodes.select("page_id", "node_index", "text", *[F.col(f"d{i}").alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])
+    found = boxes.select("page_id", "box_no", "x0", "y0", "x1", "y1").join(raw, ["page_id", "x0", "y0", "x1", "y1"])
+    return found.groupBy("page_id", "box_no").agg(F.min_by("text", "node_index").alias("text"))
 
 
 def refill(chunks: DataFrame, layer: DataFrame, grid: int = 1024) -> DataFrame:

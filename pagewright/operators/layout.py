@@ -7,9 +7,9 @@ third of all pages moves little; texts are gathered afterwards by island, which
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,19 +56,25 @@ def page_islands(b: DataFrame, plain: bool = False) -> DataFrame:
     return marked.select("page_id", "box_no", F.last("head", True).over(order).alias("head_no"))
 
 
-def document_islands(b: DataFrame, plain: bool = False) -> DataFrame:
-    """Text blocks with the head of their paragraph within the document: page_id, box_no, head_page_id, head_no."""
-    light = _kept(b).filter("is_text").select("doc_key", "page", "page_id", "box_no", "label", X.cut_off(F.col("text")).alias("cut"))
-    order = Window.partitionBy("doc_key").orderBy("page", "page_id", "box_no")
+def document_islands(b: DataFrame, plain: bool = False, others: bool = False) -> DataFrame:
+    """Text blocks with the head of their paragraph within the document: page_id, box_no, head_page_id, head_no.
+
+    With ``others``, blocks that are no text are rows too, each its own head.
+    """
+    light = (_kept(b) if others else _kept(b).filter("is_text")).select("doc_key", "page", "page_id", "box_no", "label", "is_text", X.cut_off(F.col("text")).alias("cut"))
+    order = Window.partitionBy("doc_key", "is_text").orderBy("page", "page_id", "box_no")
     same = F.lit(True) if plain else (F.col("label") == "text") & (F.lag("label").over(order) == "text")
-    joins = F.coalesce(same & F.lag("cut").over(order), F.lit(False))
+    joins = F.coalesce(F.col("is_text") & same & F.lag("cut").over(order), F.lit(False))
     marked = light.withColumn("head", F.when(~joins, F.struct("page_id", "box_no")))
     found = marked.withColumn("head", F.last("head", True).over(order))
     return found.select("page_id", "box_no", F.col("head.page_id").alias("head_page_id"), F.col("head.box_no").alias("head_no"))
 
 
 def paragraphs(b: DataFrame, islands: DataFrame) -> DataFrame:
-    """Paragraphs of document islands: doc_key, head_page, head_page_id, head_no, label, n_nodes, content and node arrays."""
+    """Paragraphs of document islands: doc_key, head_page, head_page_id, head_no, label, n_nodes, content and nodes.
+
+    nodes (array of structs) gathers page, box_no, text, box, size and label of each block in order.
+    """
     joined = b.join(islands, ["page_id", "box_no"])
     node = F.struct("page", "page_id", "box_no", X.label_prefix(F.col("label"), F.col("text")).alias("t"), F.array("x0", "y0", "x1", "y1").alias("box"), "w", "h", "label")
     grouped = joined.groupBy("doc_key", "head_page_id", "head_no").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
@@ -77,9 +83,10 @@ def paragraphs(b: DataFrame, islands: DataFrame) -> DataFrame:
 
 def items(b: DataFrame, plain: bool = False) -> DataFrame:
     """The document's output items in order: merged paragraphs, and blocks that are no text as they are."""
-    text = paragraphs(b, document_islands(b, plain)).select("doc_key", F.col("head_page").alias("page"), F.col("head_page_id").alias("page_id"), F.col("head_no").alias("box_no"), "n_nodes", "content")
-    other = _kept(b).filter("not is_text").select("doc_key", "page", "page_id", "box_no", F.lit(1).alias("n_nodes"), X.label_prefix(F.col("label"), F.col("text")).alias("content"))
-    return text.unionByName(other)
+    joined = b.join(document_islands(b, plain, others=True), ["page_id", "box_no"])
+    node = F.struct("page", "page_id", "box_no", X.label_prefix(F.col("label"), F.col("text")).alias("t"))
+    grouped = joined.groupBy("doc_key", "head_page_id", "head_no").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
+    return grouped.select("doc_key", F.get("nodes", F.lit(0))["page"].alias("page"), F.col("head_page_id").alias("page_id"), F.col("head_no").alias("box_no"), F.size("nodes").alias("n_nodes"), F.array_join(F.transform("nodes", lambda n: n["t"]), "\n").alias("content"))
 
 
 def pack_lengths(lengths: list[int], limit: int, glue: int) -> list[int]:
@@ -94,28 +101,41 @@ def pack_lengths(lengths: list[int], limit: int, glue: int) -> list[int]:
     return out
 
 
-def pack(rows: DataFrame, limit: int = 1024, glue: int = 1, cut: Callable[[Column], Column] | None = None) -> DataFrame:
+def pack(rows: DataFrame, limit: int = 1024, glue: int = 1) -> DataFrame:
     """Size-bounded chunks of a document's items: adds section, chunk_no (unique within the document's section).
 
-    Headings open a chunk and tables stand alone; both cut the document into sections that are packed independently, so a
-    section, not a document, is the sequential unit. Only lengths are packed; texts are gathered by chunk afterwards.
+    Headings open a chunk and tables stand alone; both cut the document into sections that are packed independently. Lengths
+    alone, about 40 bytes an item, are sorted by document and packed as they stream by, in the memory of one batch whatever the
+    length of a section or document; texts join their chunk afterwards.
     """
     is_table = F.col("content").contains("<table>")
     opens = is_table | F.col("content").startswith("#")
-    order = Window.partitionBy("doc_key").orderBy("page", "page_id", "box_no")
     light = rows.select("doc_key", "page", "page_id", "box_no", F.length("content").alias("n"), opens.alias("opens"), is_table.alias("alone"))
-    cut_here = F.col("opens") | F.coalesce(F.lag("alone").over(order), F.lit(False))
-    sections = light.withColumn("section", F.sum(cut_here.cast("int")).over(order))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["page", "page_id", "box_no"])
-        return pd.DataFrame({"page_id": pdf.page_id, "box_no": pdf.box_no, "section": pdf.section, "chunk_no": pack_lengths(pdf.n.tolist(), limit, glue)})
-
-    # sections of one item need no packing
-    sized = sections.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("doc_key", "section")))
-    single = sized.filter("k = 1").select("page_id", "box_no", "section", F.lit(0).cast("bigint").alias("chunk_no"))
-    many = sized.filter("k > 1").select("doc_key", "page", "page_id", "box_no", "section", "n").groupBy("doc_key", "section").applyInPandas(run, "page_id bigint, box_no int, section bigint, chunk_no bigint")
-    return rows.join(single.unionByName(many), ["page_id", "box_no"])
+    ordered = light.repartition("doc_key").sortWithinPartitions("doc_key", "page", "page_id", "box_no")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, section, chunk, used, closed = None, 0, -1, None, False
+        begun = False
+        for batch in batches:
+            sections, chunks_ = [], []
+            for d, n, o, alone in zip(*(batch.column(i).to_pylist() for i in (0, 4, 5, 6))):
+                if not begun or d != doc:
+                    begun, doc, section, used, closed = True, d, 0, None, False
+                if o or closed:
+                    section, used = section + 1, None
+                if used is None:
+                    chunk, used = 0, n
+                elif used + glue * (used > 0) + n <= limit:
+                    used += glue * (used > 0) + n
+                else:
+                    chunk, used = chunk + 1, n
+                closed = alone
+                sections.append(section)
+                chunks_.append(chunk)
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(sections, pa.int64()), pa.array(chunks_, pa.int64())], names=["page_id", "box_no", "section", "chunk_no"])
+
+    packed = ordered.mapInArrow(run, "page_id bigint, box_no int, section bigint, chunk_no bigint")
+    return rows.join(packed, ["page_id", "box_no"])
 
 
 def chunks(packed: DataFrame) -> DataFrame:
@@ -241,3 +261,36 @@ def page_numbers_from_breaks(paragraphs_: DataFrame, key: str, order: str, break
     return paragraphs_.withColumn("page_no", 1 + F.sum(F.col(breaks).cast("int")).over(w))
 
 
+
+
+def flattened_chunks(chunks_: DataFrame, grid: int = 1000) -> DataFrame:
+    """Chunks in the flat form: boxs on the ``grid`` of the first page's size (as large as the grid where it is unknown), the
+    other arrays by group, pages of a group as long as its lengths (its first page repeated where they differ), number as an
+    array. Groups that are null are empty; boxes without four numbers stay as they are."""
+    dims = F.get(F.get("image_dims", F.lit(0)), F.lit(0))
+    w, h = F.coalesce(F.nullif(dims["w"], F.lit(0)), F.lit(grid)), F.coalesce(F.nullif(dims["h"], F.lit(0)), F.lit(grid))
+    box = lambda b: F.when((F.size(b) == 4) & ~F.exists(b, lambda v: v.isNull()), G.box_to_grid(b, w, h, grid)).otherwise(b)
+    none = lambda g, kind: F.coalesce(g, F.expr(f"cast(array() as array<{kind}>)"))
+    size = lambda i: F.size(none(F.get("nodes_text_len", i), "int"))
+    pages = F.transform("pages", lambda g, i: F.when(F.size(none(g, "string")) == size(i), g).otherwise(F.array_repeat(F.coalesce(F.get(g, F.lit(0)), F.lit("1")), size(i))))
+    changed = {
+        "boxs": F.transform("boxs", lambda g: F.transform(none(g, "array<int>"), box)),
+        "nodes_text_len": F.transform("nodes_text_len", lambda g: none(g, "int")),
+        "nodes_index": F.transform("nodes_index", lambda g: none(g, "int")),
+        "pages": pages,
+    }
+    if "number" in chunks_.columns:
+        changed["number"] = F.when(F.col("number").isNull(), F.expr("cast(array() as array<int>)")).otherwise(F.array("number"))
+    return chunks_.withColumns(changed)
+
+
+def boundary_merged(b: DataFrame) -> DataFrame:
+    """Blocks with text after the boundary merge: doc_key, page, page_id, box_no, n_nodes, label, content. The last block of a
+    page and the first of the next are one where ``boundary_pairs`` joins them, by a line break."""
+    own = b.filter("text <> ''")
+    pairs = boundary_pairs(own)
+    second = own.join(pairs.select(F.col("next_page_id").alias("page_id"), F.col("next_no").alias("box_no"), F.col("page_id").alias("to_id"), F.col("box_no").alias("to_no")), ["page_id", "box_no"], "left")
+    at = second.select("doc_key", F.coalesce("to_id", "page_id").alias("head_id"), F.coalesce("to_no", "box_no").alias("head_no"), "page", "page_id", "box_no", "label", "text")
+    nodes = F.array_sort(F.collect_list(F.struct("page", "page_id", "box_no", "label", "text")))
+    grouped = at.groupBy("doc_key", "head_id", "head_no").agg(nodes.alias("n"))
+    return grouped.select("doc_key", F.get("n", F.lit(0))["page"].alias("page"), F.col("head_id").alias("page_id"), F.col("head_no").alias("box_no"), F.size("n").alias("n_nodes"), F.get("n", F.lit(0))["label"].alias("label"), F.array_join(F.transform("n", lambda x: x["text"]), "\n").alias("content"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import text as X
 
-# Verbs that introduce a quotation, and pairs of quotation marks.
+# Verbs that introduce a quotation, patterns that do, and pairs of quotation marks.
+CUE_PATTERNS = ("在.*?讲话", "在.*?强调")
 CUES = "指出 强调 明确 表示 提出 认为 说 称 谈到 写道 要求 号召 重申 阐明 部署 提出要求 作出指示 作出重要指示 作出重要论述 作出重要讲话 发表重要讲话".split()
 MARKS = (("“", "”"), ('"', '"'), ("「", "」"), ("『", "』"))
 CANDIDATE = "id string, text string, start bigint, `end` bigint, cue string, speaker string, context string, source string"
@@ -21,15 +23,16 @@ CANDIDATE = "id string, text string, start bigint, `end` bigint, cue string, spe
 
 @dataclass(frozen=True)
 class Rules:
-    """What makes a candidate: the speaker (a pattern), the cues (literal), context widths."""
+    """What makes a candidate: the speaker (a pattern), the cues (literal, then as patterns), context widths."""
 
     speaker: str
     cues: tuple[str, ...] = tuple(CUES)
+    patterns: tuple[str, ...] = CUE_PATTERNS
     left: int = 120
     around: int = 80
 
     def cue_pattern(self) -> str:
-        return "|".join(regex.escape(c) for c in sorted(self.cues, key=len, reverse=True))
+        return "|".join(sorted([*map(regex.escape, self.cues), *self.patterns], key=len, reverse=True))
 
 
 _NOTES = regex.compile(r"(?:[①-⑳]+)$")
@@ -107,20 +110,28 @@ def distinct_by(df: DataFrame, key: list[str], clean: Column, order: list[str])
 def without_contained(quotes: DataFrame, key: list[str], text: str, order: list[str]) -> DataFrame:
     """Quotations that no longer one of their document contains (punctuation aside); of equal ones the first stays.
 
-    A contained text shares its first characters with its container, so the anti-join is keyed by document and those
-    characters rather than by document alone.
+    A contained text shares its first characters with its container. Hashes of the first characters (6, or the 2 or 1 of
+    shorter texts) of the distinct texts are joined to those of all places of the others, by document; only the pairs that
+    share one fetch texts. A text without letters is contained in any other of its document.
     """
-    rows = quotes.withColumns({"__c": X.no_punctuation(F.col(text), keep_blanks=False), "__o": F.struct(*order)})
-    rows = rows.withColumn("__k", F.when(F.length("__c") >= 6, 6).otherwise(F.least(F.length("__c"), F.lit(2))))
-    small = rows.withColumn("__g", F.when(F.col("__k") > 0, F.left("__c", F.col("__k"))).otherwise(""))
-    grams = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.length("__c") - k + 1, F.lit(1))), lambda i: F.substr("__c", i, F.lit(k)))
-    large = rows.select(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(key)], F.col("__c").alias("__lc"), F.col("__o").alias("__lo"), F.explode(F.array_distinct(F.concat(grams(6), grams(2), grams(1), F.array(F.lit(""))))).alias("__lg"))
-    same = F.lit(True)
-    for i, k in enumerate(key):
-        same = same & F.col(k).eqNullSafe(F.col(f"__b{i}"))
-    longer = (F.length("__lc") > F.length("__c")) | ((F.col("__lc") == F.col("__c")) & (F.col("__lo") < F.col("__o")))
-    kept = small.join(large, same & (F.col("__g") == F.col("__lg")) & longer & F.contains("__lc", F.col("__c")), "left_anti")
-    return kept.select(*quotes.columns)
+    # documents as a struct, whose null fields are equal, so that joins are by name
+    rows = quotes.withColumns({"__d": F.struct(*key), "__c": X.no_punctuation(F.col(text), keep_blanks=False), "__o": F.struct(*order)})
+    # one row for each document and text: of equal ones the first
+    distinct = rows.groupBy("__d", "__c").agg(F.min("__o").alias("__o")).withColumns({"id": F.xxhash64("__c"), "n": F.length("__c")})
+    texts = distinct.select("__d", "id", "__c")
+    k = F.when(F.col("n") >= 6, 6).when(F.col("n") >= 2, 2).otherwise(1)
+    small = distinct.filter("n > 0").select("__d", F.col("id").alias("small_id"), F.col("n").alias("small_n"), k.alias("k"), F.xxhash64(F.left("__c", k)).alias("g"))
+    sized = distinct.join(small.select("__d", "k").distinct(), "__d").filter("n >= k")
+    at = F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("n") - F.col("k") + 1), lambda i: F.xxhash64(F.substr("__c", i, F.col("k")))))
+    large = sized.select("__d", "k", F.col("id").alias("large_id"), F.col("n").alias("large_n"), F.explode(at).alias("g"))
+    pairs = small.join(large, ["__d", "k", "g"]).filter("large_n > small_n").select("__d", "small_id", "large_id").distinct()
+    named = lambda name: texts.withColumnsRenamed({"id": f"{name}_id", "__c": f"{name}_c"})
+    held = pairs.join(named("small"), ["__d", "small_id"]).join(named("large"), ["__d", "large_id"]).filter(F.contains("large_c", F.col("small_c"))).select("__d", F.col("small_id").alias("id")).distinct()
+    # a text without letters goes where any other is
+    filled = distinct.filter("n > 0").select("__d").distinct()
+    gone = held.unionByName(distinct.filter("n = 0").join(filled, "__d", "left_semi").select("__d", "id"))
+    kept = distinct.join(gone, ["__d", "id"], "left_anti").select("__d", "__o")
+    return rows.join(kept, ["__d", "__o"], "left_semi").select(*quotes.columns)
 
 
 def adjudicated(candidates_: DataFrame, verdicts: DataFrame, key: list[str]) -> DataFrame:
@@ -162,22 +173,72 @@ def valid_corrections(answers: DataFrame, answer: str, source: str) -> DataFrame
     return answers.withColumn("valid", F.coalesce((F.size(items) > 0) & good, F.lit(False)))
 
 
-def ask(records: DataFrame, key: str, prompt: str, client: Callable[[str], str], attempts: int = 3) -> DataFrame:
-    """Answers of an injected client: key, answer, error, attempts. A failure is a row with its error, never an exception."""
+#: What a client is told after an answer that doesn't hold.
+REPAIR = "Your last answer was not valid. Answer with one strict JSON object only."
+
+
+def answer_of(prompt: str, client: Callable[..., str], valid: Callable[[str, str], bool] | None, attempts: int, repair: str | None) -> tuple[str | None, str | None, int, list[str]]:
+    """(answer, error, attempts, answers that didn't hold). A client that takes one is given the history for a repair."""
+    answer, error, bad, n = None, None, [], 0
+    for n in range(1, attempts + 1):
+        try:
+            answer = client(prompt) if not (bad and repair) else client(f"{prompt}\n\n{bad[-1]}\n\n{repair}")
+            error = None if valid is None or valid(answer, prompt) else "the answer doesn't hold"
+        except Exception as e:  # noqa: BLE001
+            answer, error = None, f"{type(e).__name__}: {e}"
+        if error is None:
+            break
+        if answer is not None:
+            bad.append(answer)
+    return answer, error, n, bad
+
+
+def ask(records: DataFrame, key: str, prompt: str, client: Callable[[str], str], attempts: int = 3, valid: Callable[[str, str], bool] | None = None, repair: str | None = None) -> DataFrame:
+    """Answers of an injected client: key, answer, error, attempts, rejected (earlier answers that didn't hold).
+
+    ``valid`` tells whether an answer holds for its prompt: an answer that doesn't is asked for again, with ``repair`` (if
+    given) and the bad answer behind the prompt, up to ``attempts`` times; the last one stays with an error. A failure is a row
+    with its error, never an exception.
+    """
     source = records.select(F.col(key).alias("k"), F.col(prompt).alias("p"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = []
-            for k, p in zip(pdf.k, pdf.p):
-                answer, error, n = None, None, 0
-                for n in range(1, attempts + 1):
-                    try:
-                        answer, error = client(p), None
-                        break
-                    except Exception as e:  # noqa: BLE001
-                        error = f"{type(e).__name__}: {e}"
-                rows.append((k, answer, error, n))
-            yield pd.DataFrame(rows, columns=["k", "answer", "error", "attempts"])
-
-    return source.mapInPandas(run, f"k {records.schema[key].dataType.simpleString()}, answer string, error string, attempts int").withColumnRenamed("k", key)
+            rows = [(k, *answer_of(p, client, valid, attempts, repair)) for k, p in zip(pdf.k, pdf.p)]
+            yield pd.DataFrame(rows, columns=["k", "answer", "error", "attempts", "rejected"])
+
+    return source.mapInPandas(run, f"k {records.schema[key].dataType.simpleString()}, answer string, error string, attempts int, rejected array<string>").withColumnRenamed("k", key)
+
+
+def is_json(answer: str, prompt: str) -> bool:
+    """Whether an answer holds a JSON object."""
+    a, b = answer.find("{"), answer.rfind("}")
+    try:
+        return 0 <= a < b and isinstance(json.loads(answer[a : b + 1]), dict)
+    except ValueError:
+        return False
+
+
+def names_occur(answer: str, source: str) -> bool:
+    """Whether an answer is JSON and each of its names and quotations that isn't empty occurs in the source."""
+    a, b = answer.find("{"), answer.rfind("}")
+    try:
+        people = json.loads(answer[a : b + 1])["data"]["people"]
+        said = [t or "" for p in people for t in (p.get("name"), *(q.get("text") for q in p.get("quotes") or []))]
+    except (ValueError, KeyError, TypeError, AttributeError):
+        return False
+    return all(t in source for t in said)
+
+
+def adjudicate(records: DataFrame, key: str, text: str, found: DataFrame, client: Callable[[str], str], instruction: str, attempts: int = 2) -> DataFrame:
+    """Verdicts of a client on the candidates of each record: key, id, keep, text, type, for ``adjudicated``.
+
+    The prompt holds the instruction, the record's text and its candidates as JSON; an answer that isn't a JSON object is
+    asked for once more with a request for repair.
+    """
+    listed = found.groupBy(key).agg(F.to_json(F.array_sort(F.collect_list(F.struct("start", "id", F.col("text").alias("quote_text"), "cue", "speaker", "context", "source")))).alias("__list"))
+    prompts = records.join(listed, key).select(key, F.concat_ws("\n\n", F.lit(instruction), F.col(text), F.col("__list")).alias("__prompt"))
+    answers = ask(prompts, key, "__prompt", client, attempts, is_json, REPAIR)
+    items = F.from_json(X.json_object(F.col("answer")), "items array<struct<id:string,keep:boolean,type:string,text:string>>")["items"]
+    return answers.filter("error is null").select(key, F.explode(items).alias("i")).select(key, "i.id", F.coalesce("i.keep", F.lit(False)).alias("keep"), X.strip_references(F.col("i.text")).alias("text"), F.coalesce("i.type", F.lit("direct")).alias("type"))
+

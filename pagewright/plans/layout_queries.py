@@ -9,6 +9,7 @@ from pagewright.functions import geometry as G
 from pagewright.functions import text as X
 from pagewright.operators import joins as J
 from pagewright.operators import layout as L
+from pagewright.operators.deliveries import latest
 from pagewright.sources import grounding
 from pagewright.session import table
 
@@ -98,7 +99,7 @@ def box_rescale_1024(spark: SparkSession, sf: str) -> DataFrame:
 
 def chunk_box_flatten_1000(spark: SparkSession, sf: str) -> DataFrame:
     """Boxes of a chunk's groups as one list on the 1000 grid of its first page."""
-    c = table(spark, sf, "chunks").dropDuplicates(["chunk_id"])
+    c = latest(table(spark, sf, "chunks"), "chunk_id", "processed_at")
     dims = F.get(F.get("image_dims", F.lit(0)), F.lit(0))
     rows = c.select("chunk_id", dims["w"].alias("w"), dims["h"].alias("h"), F.posexplode(F.flatten(F.filter("boxs", lambda g: g.isNotNull()))).alias("n", "b")).filter("w > 0 and h > 0 and b is not null")
     at = lambda i, s: G.grid(F.get("b", F.lit(i)), F.col(s), 1000)
@@ -106,16 +107,16 @@ def chunk_box_flatten_1000(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def grounding_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return grounding.parse(table(spark, sf, "ocr_pages").dropDuplicates(["page_id"])).select("page_id", F.col("node_index").cast("bigint").alias("node_index"), "ref", "d0", "d1", "d2", "d3", "text")
+    return grounding.parse(latest(table(spark, sf, "ocr_pages"), "page_id", "ingested_at")).select("page_id", F.col("node_index").cast("bigint").alias("node_index"), "ref", "d0", "d1", "d2", "d3", "text")
 
 
 def det_scale_999(spark: SparkSession, sf: str) -> DataFrame:
-    n = grounding.parse(table(spark, sf, "ocr_pages").dropDuplicates(["page_id"])).filter("w is not null and h is not null")
+    n = grounding.parse(latest(table(spark, sf, "ocr_pages"), "page_id", "ingested_at")).filter("w is not null and h is not null")
     return n.select("page_id", F.col("node_index").cast("bigint").alias("node_index"), *[G.det_to_pixel(F.col(c), F.col(s)).alias(f"p{i}") for i, (c, s) in enumerate((("d0", "w"), ("d1", "h"), ("d2", "w"), ("d3", "h")))])
 
 
 def grounding_box_match(spark: SparkSession, sf: str) -> DataFrame:
-    n = grounding.parse(table(spark, sf, "ocr_pages").dropDuplicates(["page_id"])).filter("w is not null and h is not null")
+    n = grounding.parse(latest(table(spark, sf, "ocr_pages"), "page_id", "ingested_at")).filter("w is not null and h is not null")
     return J.match_boxes(n, _blocks(spark, sf)).select("page_id", "box_no", F.col("node_index").cast("bigint").alias("node_index"))
 
 
@@ -142,14 +143,14 @@ def table_overlap_anti(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pending_work(spark: SparkSession, sf: str) -> DataFrame:
-    """Books without any chunk."""
-    done = table(spark, sf, "chunks").select(F.col("doc_key").alias("file_md5"))
-    return J.pending(table(spark, sf, "book_files").select("file_md5"), done, ["file_md5"]).distinct()
+    """Pages of scans for which the text layer has no rows yet."""
+    work = table(spark, sf, "ocr_pages").select("doc_key", "page").filter("doc_key is not null and page is not null").distinct()
+    return J.pending(work, table(spark, sf, "mapping_rows"), ["doc_key", "page"])
 
 
 def text_layer_pages(spark: SparkSession, sf: str) -> DataFrame:
     """OCR pages with their text-layer pages, where there is one (left) by book and page."""
-    pages = table(spark, sf, "ocr_pages").dropDuplicates(["page_id"]).select("page_id", "doc_key", "page")
+    pages = latest(table(spark, sf, "ocr_pages"), "page_id", "ingested_at").select("page_id", "doc_key", "page")
     return J.pages_with_text_layer(pages, J.mapping_blocks(table(spark, sf, "mapping_rows")))
 
 
@@ -158,17 +159,21 @@ def queries() -> dict:
     return {f.__name__: f for f in own}
 
 
-_BLANK = X.BLANK
+# Fixed values, as the SQL has them for itself: blanks, sentence marks, closing signs, titles.
+_BLANK = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_TERMINAL = "。！？!?…:：；;"
+_CLOSERS = "”’\"''》>】]"
+_TITLE = r"^第[\p{Nd}一二三四五六七八九十百]+[章节篇]"
 _B = f"""
 with pg as (select distinct on (page_id) page_id, doc_key, page, image_dims.w w, image_dims.h h, boxes, raw_text from ocr_pages),
 bx as (select page_id, doc_key, page, w, h, unnest(boxes) b, generate_subscripts(boxes, 1) - 1 box_no from pg),
 b as (select page_id, doc_key, page, cast(box_no as int) box_no, page_id * 100 + box_no box_key, w, h, coalesce(b.label, '') label,
   b.box[1] x0, b.box[2] y0, b.box[3] x1, b.box[4] y1, coalesce(b.text_content, '') as text from bx),
 s as (select *, regexp_replace(text, '^{_BLANK}+|{_BLANK}+$', '', 'g') st, label in ('text', 'sub_title', 'title') is_text from b),
-k as (select *, case when length(st) > 1 and contains('{X.CLOSERS.replace("'", "''")}', right(st, 1)) then substr(st, length(st) - 1, 1) else right(st, 1) end lc,
+k as (select *, case when length(st) > 1 and contains('{_CLOSERS}', right(st, 1)) then substr(st, length(st) - 1, 1) else right(st, 1) end lc,
   case when st = '' then '' when label = 'title' then '# ' || text when label = 'sub_title' then '## ' || text else text end pt
   from s where not is_text or st <> ''),
-c as (select *, lc <> '' and not contains('{X.TERMINAL}', lc) cut from k)
+c as (select *, lc <> '' and not contains('{_TERMINAL}', lc) cut from k)
 """
 _INPAGE = _B + """,
 o as (select *, sum(case when is_text then 0 else 1 end) over (partition by page_id order by box_no) others from c),
@@ -188,10 +193,10 @@ para as (select doc_key, g, min(struct_pack(page := page, page_id := page_id, bo
 """
 
 
-def _pack(glue: int) -> str:
+def pack_sql(before: str, glue: int) -> str:
+    """Greedy packing of the items that ``before`` ends with, as ``it``."""
     used = f"p.used + (case when p.used > 0 then {glue} else 0 end)"
-    return _cross(False).replace("with pg", "with recursive pg") + f""",
-it as (select doc_key, hd.page page, hd.page_id page_id, hd.box_no box_no, content from para union all select doc_key, page, page_id, box_no, pt from c where not is_text),
+    return before + f""",
 f as (select *, contains(content, '<table>') alone, length(content) n, row_number() over (partition by doc_key order by page, page_id, box_no) rn from it),
 g as (select *, alone or starts_with(content, '#') or coalesce(lag(alone) over (partition by doc_key order by rn), false) opens from f),
 x as (select *, sum(case when opens then 1 else 0 end) over (partition by doc_key order by rn) section from g),
@@ -203,6 +208,11 @@ z as (select y.*, p.chunk_no from y join p on p.doc_key is not distinct from y.d
 """
 
 
+def _pack(glue: int) -> str:
+    items = ", it as (select doc_key, hd.page page, hd.page_id page_id, hd.box_no box_no, content from para union all select doc_key, page, page_id, box_no, pt from c where not is_text)"
+    return pack_sql(_cross(False).replace("with pg", "with recursive pg") + items, glue)
+
+
 _NODES = f"""
 with pg as (select distinct on (page_id) page_id, image_dims.w w, image_dims.h h, raw_text from ocr_pages where raw_text is not null),
 sg as (select page_id, w, h, unnest(string_split(raw_text, '<|ref|>')[2:]) s, generate_subscripts(string_split(raw_text, '<|ref|>')[2:], 1) sn from pg),
@@ -232,12 +242,12 @@ ln as (select *, list_filter(list_transform(string_split(tx, chr(10)), lambda x:
 r as (select doc_key, k, page_id, page, tx, len(ls) nl, ls[-1] cur, page_id head, page hp from ln where k = 1
   union all select ln.doc_key, ln.k, ln.page_id, ln.page, ln.tx, len(ln.ls), case when j.j and len(ln.ls) = 1 then r.cur || ln.ls[1] else ln.ls[-1] end, case when j.j then r.head else ln.page_id end, case when j.j then r.hp else ln.page end
   from r join ln on ln.doc_key is not distinct from r.doc_key and ln.k = r.k + 1,
-  lateral (select coalesce(len(ln.ls) > 0 and r.nl > 0 and not starts_with(ln.ls[1], '#') and not regexp_matches(ln.ls[1], '{X.TITLE}') and not regexp_matches(r.cur, '[。！？!?]$') and length(r.cur) > 6, false) j) j)
+  lateral (select coalesce(len(ln.ls) > 0 and r.nl > 0 and not starts_with(ln.ls[1], '#') and not regexp_matches(ln.ls[1], '{_TITLE}') and not regexp_matches(r.cur, '[。！？!?]$') and length(r.cur) > 6, false) j) j)
 select doc_key, head head_page_id, hp first_page, count(*) n_pages, cast(sum(length(tx)) as bigint) text_len from r group by doc_key, head, hp""",
         "boundary_pair_merge": _B.replace("with pg", "with recursive pg") + f""",
 ln as (select doc_key, page_id, box_no, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^{_BLANK}+|{_BLANK}+$', '', 'g')), lambda x: x <> '') ls, row_number() over (partition by doc_key order by page, page_id, box_no) k from b where text <> ''),
 e as (select ln.*, lead(page_id) over w np, lead(box_no) over w nn, lead(ls) over w nl from ln window w as (partition by doc_key order by k)),
-f as (select *, coalesce(np <> page_id and len(ls) > 0 and len(nl) > 0 and not starts_with(nl[1], '#') and not regexp_matches(nl[1], '{X.TITLE}') and not regexp_matches(ls[-1], '[。！？!?]$') and length(ls[-1]) > 6, false) edge from e),
+f as (select *, coalesce(np <> page_id and len(ls) > 0 and len(nl) > 0 and not starts_with(nl[1], '#') and not regexp_matches(nl[1], '{_TITLE}') and not regexp_matches(ls[-1], '[。！？!?]$') and length(ls[-1]) > 6, false) edge from e),
 r as (select doc_key, k, page_id, box_no, np, nn, edge taken from f where k = 1
   union all select f.doc_key, f.k, f.page_id, f.box_no, f.np, f.nn, f.edge and not r.taken from r join f on f.doc_key is not distinct from r.doc_key and f.k = r.k + 1)
 select doc_key, page_id, box_no, np next_page_id, nn next_no from r where taken""",
@@ -280,6 +290,6 @@ select map_id, page, x0, y0, x1, y1, coalesce(nullif(replace(regexp_replace(bt,
         "table_overlap_anti": _B + """select box_key from b where label <> 'table' and x0 is not null and x1 is not null and not exists (select 1 from b t where t.page_id = b.page_id and t.label = 'table'
 and least(b.x1, t.x1) >= greatest(b.x0, t.x0) and least(b.y1, t.y1) >= greatest(b.y0, t.y0)
 and (least(b.x1, t.x1) - greatest(b.x0, t.x0)) * (least(b.y1, t.y1) - greatest(b.y0, t.y0)) > 0.5 * (b.x1 - b.x0) * (b.y1 - b.y0))""",
-        "pending_work": "select distinct file_md5 from book_files where not exists (select 1 from chunks where chunks.doc_key = book_files.file_md5)",
+        "pending_work": "select distinct doc_key, page from ocr_pages o where doc_key is not null and page is not null and not exists (select 1 from mapping_rows m where m.doc_key = o.doc_key and m.page = o.page)",
         "text_layer_pages": _MAP + ", pg as (select distinct on (page_id) page_id, doc_key, page from ocr_pages), lp as (select doc_key, page, count(*) n from mb group by doc_key, page) select pg.page_id, pg.doc_key, pg.page, coalesce(lp.n, 0) n_blocks from pg left join lp on lp.doc_key = pg.doc_key and lp.page = pg.page",
     }

@@ -33,25 +33,41 @@ def nodes_1024(b: DataFrame, islands: DataFrame) -> DataFrame:
     return p.select("doc_key", "head_page", "head_no", "content", F.transform("nodes", lambda n: F.length(n["t"])).alias("nodes_text_len"), F.transform("nodes", box).alias("boxs"), F.transform("nodes", lambda n: n["page"].cast("string")).alias("pages"), F.transform("nodes", lambda n: n["label"]).alias("ref"), F.transform("nodes", lambda n: F.struct(n["w"].alias("w"), n["h"].alias("h"))).alias("image_dims"))
 
 
-def staged(pages: DataFrame, state: DataFrame | None, stage: str, run: Callable[[DataFrame], DataFrame], state_path: str, out_path: str) -> DataFrame:
-    """One resumable stage: work that isn't marked is run, written and then marked; a failure leaves no mark."""
-    todo = pages if state is None else joins.pending(pages, sinks.stages_done(state, stage), ["doc_key"])
-    result = run(todo)
-    result.write.mode("append").parquet(out_path)
-    sinks.mark(todo.select("doc_key"), state_path, stage)
-    return todo
+def curpage_chunks(b: DataFrame, limit: int = 1024) -> DataFrame:
+    """The page-wise pipeline: blocks (merged within their page) to boundary merge over pages to packing, with ids."""
+    chunks = layout.chunks(layout.pack(layout.boundary_merged(b), limit))
+    return sinks.with_ids(chunks, ["doc_key"], ["section", "chunk_no"])
+
 
+def staged(pages: DataFrame, state: DataFrame | None, stage: str, run: Callable[[DataFrame], DataFrame], state_path: str, out_path: str, batch: str) -> DataFrame:
+    """One resumable stage: documents that aren't marked are run, written below ``out_path`` as ``batch`` and then marked.
 
-def word_items(spark: SparkSession, path: str) -> DataFrame:
+    The list of documents is written first, with the batch, and everything after it reads that list: documents that arrive in
+    between wait for the next batch. A batch that failed and runs again replaces itself, and marks are made of what was written.
+    Returns the pages of the batch.
+    """
+    keys = pages.select("doc_key").distinct()
+    todo = keys if state is None else joins.pending(keys, sinks.stages_done(state, stage), ["doc_key"])
+    listed = f"{out_path}/_todo/batch={batch}"
+    todo.write.mode("overwrite").parquet(listed)
+    spark = pages.sparkSession
+    chosen = spark.read.schema(todo.schema).parquet(listed)
+    own = pages.join(chosen, "doc_key", "left_semi")
+    run(own).write.mode("overwrite").parquet(f"{out_path}/data/batch={batch}")
+    sinks.mark(chosen, f"{state_path}/batch={stage}-{batch}", stage, mode="overwrite")
+    return own
+
+
+def word_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Paragraphs and images of Word documents with ids."""
     rows = docx.paragraphs(docx.read(spark, path))
     return rows.withColumn("id", F.row_number().over(layout.Window.partitionBy("path").orderBy("place")))
 
 
 def dispatch(spark: SparkSession, files: DataFrame, folder: str, extract: Callable[[str], dict]) -> DataFrame:
-    """Items of Word files by our reader, of PDF files by an injected service, an error row for any other kind."""
+    """Items of the listed files: Word files by our reader, PDF files by an injected service, an error row for any other kind."""
     suffix = F.lower(F.element_at(F.split("path", r"\."), -1))
-    word = word_items(spark, folder).select("path", "id", "type", "content", F.lit(None).cast("string").alias("error"))
+    word = word_items(spark, folder).join(files.select("path").distinct(), "path", "left_semi").select("path", "id", "type", "content", F.lit(None).cast("string").alias("error"))
     answers = clients.call(files.filter(suffix == "pdf"), "path", "path", extract)
     pdf = clients.extraction_parts(answers.filter("error is null"), "path")["pdfContent"].select("path", "id", F.lit("text").alias("type"), F.try_element_at("item", F.lit("content")).alias("content"), F.lit(None).cast("string").alias("error"))
     failed = answers.filter("error is not null").select("path", F.lit(None).cast("int").alias("id"), F.lit("error").alias("type"), F.lit(None).cast("string").alias("content"), "error")
@@ -61,47 +77,51 @@ def dispatch(spark: SparkSession, files: DataFrame, folder: str, extract: Callab
 
 def check(records: DataFrame, key: str, text: str, rules: quotes.Rules, client: Callable[[str], str] | None = None, attempts: int = 3) -> DataFrame:
     """Checks records: rules find candidates, a model (if there is one) answers for the records that have any, its answers
-    are validated against their text. Columns: key, answer (an envelope), valid, error."""
+    are validated against their text and asked for again while they don't hold. Columns: key, answer (an envelope), valid, error."""
     found = quotes.candidates(records, key, text, rules)
     if client is None:
         kept = quotes.distinct_by(found, [key], F.regexp_replace("text", r"[^\p{L}\p{N}_\s]", ""), ["start", "end"]).withColumn("type", F.lit("direct"))
         res = quotes.results(kept, [key], rules.speaker, ["start", "end"])
         return res.select(key, envelope.write("rules", F.to_json(F.struct("message", "status", "data"))).alias("answer"), F.lit(True).alias("valid"), F.lit(None).cast("string").alias("error"))
     asked = records.join(found.select(key).distinct(), key, "left_semi")
-    answers = quotes.ask(asked, key, text, client, attempts).join(asked.select(key, text), key)
+    answers = quotes.ask(asked, key, text, client, attempts, quotes.names_occur).join(asked.select(key, text), key)
     return quotes.valid_answers(answers, "answer", text).select(key, "answer", "valid", "error")
 
 
-def evaluate(texts: DataFrame, key: str, text: str, baseline: Callable[[DataFrame], DataFrame], models: dict[str, Callable[[str], str]]) -> DataFrame:
-    """Rows (key, model, base, other) to compare models' quotation lists with the rules'."""
+def evaluate(texts: DataFrame, key: str, text: str, baseline: Callable[[DataFrame], DataFrame], models: dict[str, Callable[[str], str]], done: DataFrame | None = None) -> DataFrame:
+    """Rows (key, model, base, other) to compare models' quotation lists with the rules'. Rows of ``done`` (the same columns, from
+    an earlier run) are taken over, and only the texts that a model hasn't answered yet are asked."""
     base = baseline(texts).select(key, F.col("quotes").alias("base"))
-    out = None
+    out = done
     for name, client in sorted(models.items()):
-        answers = quotes.ask(texts, key, text, client)
+        todo = texts if done is None else joins.pending(texts, done.filter(F.col("model") == name), [key])
+        answers = quotes.ask(todo, key, text, client)
         listed = F.from_json(F.regexp_extract("answer", r"(?s)(\[.*\])", 1), "array<string>")
         part = answers.select(key, F.lit(name).alias("model"), F.coalesce(listed, F.expr("cast(array() as array<string>)")).alias("other")).join(base, key, "left")
         part = part.select(key, "model", F.coalesce("base", F.expr("cast(array() as array<string>)")).alias("base"), "other")
-        out = part if out is None else out.unionByName(part)
+        out = part if out is None else out.select(part.columns).unionByName(part)
     return out
 
 
-def convert(spans_: DataFrame, tables: DataFrame, page_width: float = 595.0, page_height: float = 842.0) -> DataFrame:
-    """Span tables of one document's pages to Markdown lines: page, order_no, md_line_index, text, mapping text and box.
+def convert(spans_: DataFrame, tables: DataFrame | None = None, page_width: float = 595.0, page_height: float = 842.0) -> DataFrame:
+    """Span tables of any number of documents to Markdown lines: doc_key, page, order_no, md_line_index, text, mapping_text, box.
 
-    Blocks that tables cover are left out, tables (page, x0, y0, x1, y1, cells) come in as Markdown, headings by size,
-    blocks in column-aware reading order.
+    Blocks that tables cover are left out, tables (doc_key, page, x0, y0, x1, y1, cells; found by ``spans.find_tables`` if none
+    are given) come in as Markdown, headings by size, blocks in column-aware reading order.
     """
-    b = spans.block_texts(spans_, " ", page_height).withColumn("page_id", F.col("page").cast("bigint"))
-    grid = tables.select(F.col("page").cast("bigint").alias("page_id"), "x0", "y0", "x1", "y1", X.markdown_table(F.col("cells")).alias("text"), F.lit("table").alias("label"), F.lit(None).cast("double").alias("max_size"))
-    own = b.select("page_id", "x0", "y0", "x1", "y1", "text", F.lit("text").alias("label"), "max_size")
+    tables = spans.find_tables(spans_) if tables is None else tables
+    page_id = F.struct("doc_key", "page").alias("page_id")
+    b = spans.block_texts(spans_, " ", page_height).withColumn("page_id", page_id)
+    grid = tables.select(page_id, "doc_key", "page", "x0", "y0", "x1", "y1", X.markdown_table(F.col("cells")).alias("text"), F.lit("table").alias("label"), F.lit(None).cast("double").alias("max_size"))
+    own = b.select("page_id", "doc_key", "page", "x0", "y0", "x1", "y1", "text", F.lit("text").alias("label"), "max_size")
     order = layout.Window.partitionBy("page_id").orderBy("y0", "x0", "text")
-    all_ = own.unionByName(grid).withColumn("box_no", F.row_number().over(order)).withColumn("box_key", F.col("page_id") * 10_000 + F.col("box_no"))
+    all_ = own.unionByName(grid).withColumn("box_no", F.row_number().over(order))
     kept = joins.without_tables(all_).unionByName(all_.filter("label = 'table'"))
-    # one row of sizes: that of the document
-    sizes = stats.font_sizes(spans_.withColumn("one", F.lit(1)), "one", "size", "page").withColumnRenamed("max_size", "most")
+    # one row of sizes for each document
+    sizes = stats.font_sizes(spans_, "doc_key", "size", "page").withColumnRenamed("max_size", "most")
     sign = stats.heading_sign(F.col("max_size"), F.col("heading_size"), F.col("most"))
-    signed = kept.withColumn("one", F.lit(1)).join(F.broadcast(sizes), "one", "left").withColumn("text", F.when(F.col("label") == "table", F.col("text")).otherwise(F.concat(sign, F.col("text"))))
+    signed = kept.join(sizes, "doc_key", "left").withColumn("text", F.when(F.col("label") == "table", F.col("text")).otherwise(F.concat(sign, F.col("text"))))
     read = layout.reading_order(signed.withColumn("w", F.lit(page_width)))
-    placed = signed.join(read, ["page_id", "box_no"]).withColumns({"doc_key": F.lit("document"), "page": F.col("page_id"), "box": F.array("x0", "y0", "x1", "y1")})
+    placed = signed.join(read, ["page_id", "box_no"]).withColumn("box", F.array("x0", "y0", "x1", "y1"))
     lines = layout.line_index(placed.select("doc_key", "page", "page_id", F.col("order_no").alias("box_no"), "text"))
-    return placed.join(lines.withColumnRenamed("box_no", "order_no"), ["page_id", "order_no"]).select("page", "order_no", "md_line_index", "text", X.shorten(F.col("text")).alias("mapping_text"), "box")
+    return placed.join(lines.withColumnRenamed("box_no", "order_no"), ["page_id", "order_no"]).select("doc_key", "page", "order_no", "md_line_index", "text", X.shorten(F.col("text")).alias("mapping_text"), "box")

@@ -50,11 +50,15 @@ def quote_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def answer_validator(spark: SparkSession, sf: str) -> DataFrame:
-    """Which answers hold against their source; those of every third document were altered."""
-    d = _documents(spark, sf).filter("length(text) > 20").select("doc_id", "text")
-    said = F.when(F.col("doc_id") % 3 == 0, F.concat(F.substring("text", 5, 8), F.lit("□"))).otherwise(F.substring("text", 5, 8))
-    answer = F.concat(F.lit("answer: "), F.to_json(F.struct(F.struct(F.array(F.struct(F.lit("").alias("name"), F.array(F.struct(said.alias("text"))).alias("quotes"))).alias("people")).alias("data"))), F.lit(" end"))
-    return Q.valid_answers(d.withColumn("answer", answer), "answer", "text").select("doc_id", "valid")
+    """Which answers hold against a text: the quotations of each document, as one answer, against its own text and against that
+    of the next document that has some."""
+    d = _documents(spark, sf)
+    per = Q.sentence_quotes(d, "doc_id", "text", ONE, VERBS).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("sentence_no", "quote_no", "quote"))).alias("x"))
+    people = F.array(F.struct(F.lit(ONE).alias("name"), F.transform("x", lambda q: F.struct(q["quote"].alias("text"))).alias("quotes")))
+    answers = per.select("doc_id", F.concat(F.lit("answer: "), F.to_json(F.struct(F.struct(people.alias("people")).alias("data"))), F.lit(" end")).alias("answer"))
+    own = answers.join(d.select("doc_id", "text"), "doc_id").withColumn("source", F.lit("own"))
+    other = answers.join(d.select((F.col("doc_id") - 1).alias("doc_id"), "text"), "doc_id").withColumn("source", F.lit("next"))
+    return Q.valid_answers(own.unionByName(other), "answer", "text").select("doc_id", "source", "valid")
 
 
 def speaker_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,14 +73,19 @@ def queries() -> dict:
     return {f.__name__: f for f in own}
 
 
-def oracle_sql() -> dict[str, str]:
-    verbs = " or ".join(f"contains(left(c, 50), '{v}')" for v in VERBS)
-    sq = f"""with d as (select doc_id, doc_key, regexp_extract_all(text, '([^。！？]*[。！？]|[^。！？]+$)') ss from documents where text is not null and contains(text, '{ONE}')),
-s as (select doc_id, doc_key, unnest(ss) s, generate_subscripts(ss, 1) - 1 sentence_no from d),
-c as (select *, substr(s, instr(s, '{ONE}')) c from s where contains(s, '{ONE}')),
-q as (select *, list_filter(regexp_extract_all(c, '["“]([^"”]+)["”]', 1), lambda q: length(q) > 2) qs from c where {verbs}),
-r as (select doc_id, doc_key, sentence_no, unnest(qs) quote, generate_subscripts(qs, 1) - 1 quote_no, case when length(s) > 50 then left(s, 50) || '...' else s end context from q)
+def quotes_sql(verbs: list[str], n: str = "") -> str:
+    """Quotations of ``ONE`` near one of the verbs, as r (tables with the suffix ``n``)."""
+    near = " or ".join(f"contains(left(c, 50), '{v}')" for v in verbs)
+    return f"""with d{n} as (select doc_id, doc_key, regexp_extract_all(text, '([^。！？]*[。！？]|[^。！？]+$)') ss from documents where text is not null and contains(text, '{ONE}')),
+s{n} as (select doc_id, doc_key, unnest(ss) s, generate_subscripts(ss, 1) - 1 sentence_no from d{n}),
+c{n} as (select *, substr(s, instr(s, '{ONE}')) c from s{n} where contains(s, '{ONE}')),
+q{n} as (select *, list_filter(regexp_extract_all(c, '["“]([^"”]+)["”]', 1), lambda q: length(q) > 2) qs from c{n} where {near}),
+r{n} as (select doc_id, doc_key, sentence_no, unnest(qs) quote, generate_subscripts(qs, 1) - 1 quote_no, case when length(s) > 50 then left(s, 50) || '...' else s end context from q{n})
 """
+
+
+def oracle_sql() -> dict[str, str]:
+    sq = quotes_sql(VERBS)
     return {
         "sentence_quotes": sq + "select doc_id, sentence_no, quote_no, quote, context from r",
         "quote_distinct": sq + ", n as (select *, row_number() over (partition by doc_key, regexp_replace(quote, '[^\\p{L}\\p{N}_\\s]', '', 'g') order by doc_id, sentence_no, quote_no) n from r) select doc_key, doc_id, sentence_no, quote_no, quote from n where n = 1",
@@ -84,6 +93,8 @@ r as (select doc_id, doc_key, sentence_no, unnest(qs) quote, generate_subscripts
 select doc_key, doc_id, sentence_no, quote_no, quote from k a where not exists (select 1 from k b where b.doc_key is not distinct from a.doc_key and contains(b.cl, a.cl)
 and (length(b.cl) > length(a.cl) or (b.cl = a.cl and (b.doc_id, b.sentence_no, b.quote_no) < (a.doc_id, a.sentence_no, a.quote_no))))""",
         "quote_summary": sq + "select doc_id, 'success' status, count(*) total_quotes, string_agg(quote, '|' order by sentence_no, quote_no) quotes from r group by doc_id",
-        "answer_validator": "select doc_id, contains(text, case when doc_id % 3 = 0 then substr(text, 5, 8) || '□' else substr(text, 5, 8) end) valid from documents where text is not null and length(text) > 20",
+        "answer_validator": sq + """, a as (select doc_id, list(quote) l from r group by doc_id),
+x as (select a.doc_id, 'own' source, l, t.text tx from a join documents t using (doc_id) union all select a.doc_id, 'next', l, t.text from a join documents t on t.doc_id = a.doc_id + 1 where t.text is not null)
+select doc_id, source, contains(tx, '书记员') and len(list_filter(l, lambda q: not contains(tx, q))) = 0 valid from x""",
         "speaker_lines": f"with l as (select doc_id, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) - 1 line_no from documents where text is not null) select doc_id, line_no, md5(line) line from l where contains(line, '{ONE}') and regexp_matches(line, '[\"”][^①-⑳]*[①-⑳]')",
     }

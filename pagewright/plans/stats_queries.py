@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pagewright.functions import text as X
 from pagewright.operators import joins as J
 from pagewright.operators import layout, stats
-from pagewright.plans.layout_queries import _B, _MAP
+from pagewright.operators.deliveries import latest
+from pagewright.plans import quote_queries as Q
+from pagewright.plans.layout_queries import _B, _BLANK, _MAP
 from pagewright.session import table
 
 
@@ -69,16 +71,22 @@ def heading_levels(spark: SparkSession, sf: str) -> DataFrame:
 
 def check_report(spark: SparkSession, sf: str) -> DataFrame:
     """Totals of check results; the foot notes of a page stand for its errors here."""
-    p = table(spark, sf, "ocr_pages").dropDuplicates(["page_id"]).filter("boxes is not null")
+    p = latest(table(spark, sf, "ocr_pages"), "page_id", "ingested_at").filter("boxes is not null")
     errors = F.transform(F.filter("boxes", lambda b: b["label"] == "footnote"), lambda b: F.struct(b["text_content"].alias("content"), F.lit("").alias("rightSentences")))
     return stats.check_report(p.select("page_id", errors.alias("errors")), "page_id", "errors")
 
 
 def model_match_rate(spark: SparkSession, sf: str) -> DataFrame:
-    """Agreement of a chunk's texts with the lines of its content, by type."""
-    c = table(spark, sf, "chunks").dropDuplicates(["chunk_id"])
-    rates = stats.match_rates(c.select("type", "texts", F.split("content", "\n").alias("lines")), "type", "texts", "lines")
-    return rates.select("type", "match", "mismatch", "total", F.round("rate", 6).alias("rate"))
+    """Agreement of two readers with the rules, document by document: one that knows one verb, one that knows another speaker's."""
+    d = Q._documents(spark, sf)
+    listed = lambda speaker, verbs: Q.Q.sentence_quotes(d, "doc_id", "text", speaker, verbs).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("sentence_no", "quote_no", "quote"))), lambda x: x["quote"]).alias("q"))
+    base = listed(Q.ONE, Q.VERBS).withColumnRenamed("q", "base")
+    pairs = None
+    for name, verbs in (("one verb", Q.VERBS[:1]), ("two verbs", Q.VERBS[:2])):
+        part = base.join(listed(Q.ONE, verbs), "doc_id", "left").select(F.lit(name).alias("model"), "base", F.coalesce("q", F.expr("cast(array() as array<string>)")).alias("other"))
+        pairs = part if pairs is None else pairs.unionByName(part)
+    rates = stats.match_rates(pairs, "model", "base", "other")
+    return rates.select("model", "match", "mismatch", "total", F.round("rate", 6).alias("rate"))
 
 
 def union_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,7 +100,7 @@ def union_items(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_round_robin(spark: SparkSession, sf: str) -> DataFrame:
     """Pages of work per endpoint, round robin by ordinal."""
-    p = table(spark, sf, "ocr_pages").dropDuplicates(["page_id"])
+    p = latest(table(spark, sf, "ocr_pages"), "page_id", "ingested_at")
     return p.groupBy(F.pmod("page_id", F.lit(4)).alias("endpoint")).agg(F.count(F.lit(1)).alias("pages"))
 
 
@@ -102,11 +110,11 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    blank = X.BLANK
+    blank = _BLANK
     files = "with f as (select distinct on (file_md5) * from book_files)"
     chars = "c as (select distinct on (chunk_id) * from chunks), t as (select doc_key, count(*) filter (where type = 'text') text_items, cast(coalesce(sum(length(content)) filter (where type is distinct from 'image'), 0) as bigint) total_chars, cast(coalesce(max(id) filter (where type = 'text'), 0) as bigint) max_id from c group by doc_key)"
     fonts = _MAP + ", z as (select map_id, doc_key, page, bbox[4] - bbox[2] size from mr where len(bbox) = 4), fs as (select doc_key, round(coalesce(avg(size) filter (where page <= 5) * 1.2, 12.0), 6) heading_size, coalesce(max(size) filter (where page <= 5), 12.0) max_size from z group by doc_key)"
-    ends = stats._ENDS.replace("'", "''")
+    ends = " 。，；：！？、,.;:!?\"''“”‘’「」『』"
     return {
         "char_stats": f"with {chars} select doc_key, text_items, total_chars, max_id from t",
         "char_stats_clean": "select source, cast(coalesce(sum(length(translate(text, '# ' || chr(10) || chr(13) || chr(9) || chr(12288), ''))), 0) as bigint) chars, count(*) docs from documents group by source",
@@ -119,10 +127,12 @@ def oracle_sql() -> dict[str, str]:
         "font_stats": fonts + " select doc_key, heading_size, max_size from fs",
         "heading_levels": fonts + " select map_id, case when size >= heading_size then case when size >= max_size * 0.9 then '# ' else '## ' end else '' end sign from z join fs on z.doc_key is not distinct from fs.doc_key",
         "check_report": _B + "select count(*) n_errors, cast(coalesce(sum(length(regexp_replace(text, '[^\\p{L}\\p{N}_\\s]', '', 'g'))), 0) as bigint) n_chars from b where label = 'footnote'",
-        "model_match_rate": f"""with c as (select distinct on (chunk_id) * from chunks),
-p as (select type, texts a, string_split(content, chr(10)) b from c),
-m as (select type, coalesce(len(a) = len(b) and len(list_filter(list_zip(a, b), lambda x: not (contains(trim(coalesce(x[1], ''), '{ends}'), trim(coalesce(x[2], ''), '{ends}')) or contains(trim(coalesce(x[2], ''), '{ends}'), trim(coalesce(x[1], ''), '{ends}'))))) = 0, false) ok from p)
-select type, count(*) filter (where ok) as "match", count(*) filter (where not ok) mismatch, count(*) total, round(count(*) filter (where ok) * 100.0 / count(*), 6) rate from m group by type""",
+        "model_match_rate": Q.quotes_sql(Q.VERBS, "") + Q.quotes_sql(Q.VERBS[:1], "1").replace("with d1", ", d1") + Q.quotes_sql(Q.VERBS[:2], "2").replace("with d2", ", d2") + f""",
+l0 as (select doc_id, list(quote order by sentence_no, quote_no) a from r group by doc_id),
+l1 as (select 'one verb' model, doc_id, list(quote order by sentence_no, quote_no) b from r1 group by doc_id union all select 'two verbs', doc_id, list(quote order by sentence_no, quote_no) from r2 group by doc_id),
+mm as (select m.model, l0.a, coalesce(l1.b, []) b from l0 cross join (select 'one verb' model union all select 'two verbs') m left join l1 on l1.model = m.model and l1.doc_id = l0.doc_id),
+p as (select model, a, b, coalesce(len(a) = len(b) and len(list_filter(list_zip(a, b), lambda x: not (contains(trim(coalesce(x[1], ''), '{ends}'), trim(coalesce(x[2], ''), '{ends}')) or contains(trim(coalesce(x[2], ''), '{ends}'), trim(coalesce(x[1], ''), '{ends}'))))) = 0, false) ok from mm)
+select model, count(*) filter (where ok) as "match", count(*) filter (where not ok) mismatch, count(*) total, round(count(*) filter (where ok) * 100.0 / count(*), 6) rate from p group by model""",
         "union_items": _B + "select label as type, count(*) as rows, cast(sum(case when label = 'text' then length(text) end) as bigint) chars, count(*) filter (where label = 'image') images from b where label in ('text', 'image') group by label",
         "page_round_robin": "select page_id % 4 endpoint, count(distinct page_id) pages from ocr_pages group by 1",
     }

@@ -12,7 +12,8 @@ from pagewright.functions import html
 from pagewright.functions import text as X
 from pagewright.operators import fusion, layout
 from pagewright.operators import joins as J
-from pagewright.plans.layout_queries import _B, _MAP
+from pagewright.operators.deliveries import latest
+from pagewright.plans.layout_queries import _B, _BLANK, _CLOSERS, _MAP, _TERMINAL, _TITLE
 from pagewright.session import table
 
 
@@ -33,7 +34,7 @@ _BLOCK_QUERIES = {
     "label_prefix": _of_blocks(lambda t: dict(out=X.label_prefix(F.col("label"), t), staged=X.staged_prefix(F.col("label"), t))),
     "clean_chars": _of_blocks(lambda t: dict(out=X.clean_characters(t), listed=X.clean_characters(t, listed=True))),
     "strip_refs": _of_blocks(lambda t: dict(out=X.strip_references(t))),
-    "toc_breaks": _of_blocks(lambda t: dict(n_lines=(F.size(F.split(X.contents_breaks(t), "\n"))).cast("bigint"))),
+    "toc_breaks": _of_blocks(lambda t: dict(out=X.contents_breaks(t))),
     "title_filter": _of_blocks(lambda t: dict(is_title=X.is_title(t), is_title_format=X.is_title_format(t))),
     "sentence_end": _of_blocks(lambda t: dict(ends=X.ends_sentence(t), last=X.last_char(t))),
     "cut_off_blocks": _of_blocks(lambda t: dict(cut=X.cut_off(t))),
@@ -64,34 +65,25 @@ def polygon_boxes(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_model_names(spark: SparkSession, sf: str) -> DataFrame:
     """Sanitised engine names and formatted times of pages."""
-    p = table(spark, sf, "ocr_pages").dropDuplicates(["page_id"])
+    p = latest(table(spark, sf, "ocr_pages"), "page_id", "ingested_at")
     name = F.concat_ws(":", "metadata.engine", F.lit("v1.2-b"))
     return p.select("page_id", X.sanitize_model(name).alias("model"), F.date_format("scanned_at", "yyyy-MM-dd HH:mm:ss").alias("scanned"), F.pmod(F.col("page_id"), F.lit(4)).alias("endpoint"))
 
 
 def natural_page_order(spark: SparkSession, sf: str) -> DataFrame:
     """Pages of a book in the order of the number in their file's name; other names count as 0."""
-    p = table(spark, sf, "ocr_pages").dropDuplicates(["page_id"])
+    p = latest(table(spark, sf, "ocr_pages"), "page_id", "ingested_at")
     stem = F.coalesce(F.regexp_extract("filename", r"^([0-9]+)\.", 1).try_cast("int"), F.lit(0))
     n = F.row_number().over(layout.Window.partitionBy("doc_key").orderBy(stem, "filename", "page_id"))
     return p.select("page_id", stem.alias("stem"), n.cast("bigint").alias("place"))
 
 
 def json_extraction(spark: SparkSession, sf: str) -> DataFrame:
-    """JSON objects out of fenced answers."""
-    d = table(spark, sf, "documents")
-    answer = F.concat(F.lit("```json\n{\"id\": "), F.col("doc_id").cast("string"), F.lit(", \"n\": "), F.length("text").cast("string"), F.lit("}\n```"))
-    obj = F.from_json(X.json_object(X.unfence(answer)), "id bigint, n bigint")
-    return d.filter("text is not null").select("doc_id", obj["id"].alias("id"), obj["n"].alias("n"))
-
-
-def envelope_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Model envelopes written and read again; broken ones read as empty strings."""
-    from pagewright.sinks import envelope
-
-    d = table(spark, sf, "documents").filter("text is not null").select("doc_id", F.left("text", F.lit(20)).alias("t"))
-    written = d.select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.lit("{broken")).otherwise(envelope.write("rules", F.to_json(F.struct("t")))).alias("e"))
-    return written.select("doc_id", *[c.alias(n) for n, c in zip(("model", "content"), envelope.read(F.col("e")))])
+    """Whole texts as JSON objects out of fenced answers with words around the object."""
+    d = table(spark, sf, "documents").filter("text is not null")
+    answer = F.concat(F.lit("```json\nHere it is: "), F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("t"))), F.lit("\n```"))
+    plain = d.select("doc_id", answer.alias("a")).withColumn("a", X.unfence(F.col("a")))
+    return plain.withColumn("o", F.from_json(X.json_object(F.col("a")), "id bigint, t string")).select("doc_id", F.col("o.id").alias("id"), F.md5("o.t").alias("text_md5"))
 
 
 def envelope_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,34 +120,32 @@ def page_fusion(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = (closed_tags, html_table_markdown, polygon_boxes, document_model_names, natural_page_order, json_extraction, envelope_roundtrip, envelope_documents, text_fusion_positional, text_fusion_aligned, page_fusion)
+    own = (closed_tags, html_table_markdown, polygon_boxes, document_model_names, natural_page_order, json_extraction, envelope_documents, text_fusion_positional, text_fusion_aligned, page_fusion)
     return _BLOCK_QUERIES | {f.__name__: f for f in own}
 
 
-def _q(text: str) -> str:
-    return text.replace("'", "''")
-
-
 def oracle_sql() -> dict[str, str]:
-    blank = X.BLANK
+    blank = _BLANK
     strip = lambda c: f"regexp_replace({c}, '^{blank}+|{blank}+$', '', 'g')"
     block = lambda cols: _B + f"select box_key, {cols} from s"
     low = "abcdefghijklmnopqrst"
-    forms = "|".join(X.TITLE_FORMS)
-    garbled = "".join(f"chr({ord(c)})||" for c in X.GARBLED).rstrip("|")
-    controls = "||".join(f"chr({ord(c)})" for c in X.CONTROLS)
-    refs = strip(f"regexp_replace({strip(f'''regexp_replace({strip('''regexp_replace(st, '[①-⑳]+$', '')''')}, '(\\[[0-9]+\\]|（[0-9]+）|\\([0-9]+\\))+$', '')''')}, '[，,;；:：]+$', '')")
-    last = f"case when length(st) > 1 and contains('{_q(X.CLOSERS)}', right(st, 1)) then substr(st, length(st) - 1, 1) else right(st, 1) end"
+    # fixed values, as the SQL has them for itself
+    forms = r"^第[一二三四五六七八九十百千万\p{Nd}]+[章节篇部分条款]|^[一二三四五六七八九十]+[、，\.]|^\([一二三四五六七八九十]+\)|^（[一二三四五六七八九十]+）|^\p{Nd}+\.|^\(\p{Nd}+\)|^（\p{Nd}+）"
+    letters = "Җ&˅ᮠᦞҹAṸᇎ+᡻޼3ĉ''ѝᇦ(ᵜṨᆇ"
+    garbled = f"'{letters}'||" + "||".join(f"chr({c})" for c in (3, 15, 16, 17, 18, 19, 20, 21, 23, 24, 25, 26, 27))
+    controls = "||".join(f"chr({c})" for c in (1, 2, 3, 4, 5, 6, 7, 8, 11, *range(14, 32), 127))
+    refs = strip(f"regexp_replace({strip(f'''regexp_replace({strip('''regexp_replace(st, '[①-⑳]+$', '')''')}, '(\\[\\p{Nd}+\\]|（\\p{Nd}+）|\\(\\p{Nd}+\\))+$', '')''')}, '[，,;；:：]+$', '')")
+    last = f"case when length(st) > 1 and contains('{_CLOSERS}', right(st, 1)) then substr(st, length(st) - 1, 1) else right(st, 1) end"
     return {
         "footnote_letters": block(f"translate(text, '{low + low.upper()}', '{X.CIRCLED * 2}') as out"),
         "special_spaces": block("translate(text, chr(8195) || chr(7) || chr(1), '   ') as out"),
         "label_prefix": block("case when st = '' then '' when label = 'title' then '# ' || text when label = 'sub_title' then '## ' || text else text end as out, case when text = '' then '' when label = 'title' then chr(13) || chr(10) || '#' || text when label = 'sub_title' then chr(13) || chr(10) || '##' || text when label = 'image' then chr(13) || chr(10) || text else text end staged"),
         "clean_chars": block(f"translate(text, {controls}, '') as out, replace(replace(translate(text, {garbled}, ''), '##', chr(10)), '#', chr(10)) listed"),
         "strip_refs": block(f"{refs} as out"),
-        "toc_breaks": _B + ", m as (select box_key, replace(regexp_replace(regexp_replace(text, '([.。…]{2,}[\\s\\x{3000}]*[0-9]+)', '\\1' || chr(1), 'g'), chr(1) || '([\\n\\r])', '\\1', 'g'), chr(1), chr(10)) r from s) select box_key, cast(len(string_split(replace(r, chr(10) || chr(10), chr(10)), chr(10))) as bigint) n_lines from m",
-        "title_filter": block(f"starts_with(st, '#') or regexp_matches(text, '{X.TITLE}') is_title, starts_with(st, '#') or regexp_matches(st, '{forms}') is_title_format"),
+        "toc_breaks": _B + ", m as (select box_key, replace(regexp_replace(regexp_replace(text, '([.。…]{2,}[\\s\\x{3000}]*\\p{Nd}+)', '\\1' || chr(1), 'g'), chr(1) || '([\\n\\r])', '\\1', 'g'), chr(1), chr(10)) r from s) select box_key, replace(r, chr(10) || chr(10), chr(10)) as out from m",
+        "title_filter": block(f"starts_with(st, '#') or regexp_matches(text, '{_TITLE}') is_title, starts_with(st, '#') or regexp_matches(st, '{forms}') is_title_format"),
         "sentence_end": block(f"regexp_matches(st, '[。！？!?]$') ends, {last} as last"),
-        "cut_off_blocks": block(f"({last}) <> '' and not contains('{X.TERMINAL}', {last}) cut"),
+        "cut_off_blocks": block(f"({last}) <> '' and not contains('{_TERMINAL}', {last}) cut"),
         "html_strip": block("regexp_replace(regexp_replace(text, '<[^>]*>', '', 'g'), '[ \\t\\n\\r\\f]+', ' ', 'g') as out"),
         "truncate_text": block("case when length(text) > 100 then left(text, 100) || '...' else text end short, case when length(text) > 50 then left(text, 50) || '...' else text end context"),
         "no_punctuation": block("regexp_replace(text, '[^\\p{L}\\p{N}_]', '', 'g') as out"),
@@ -169,8 +159,7 @@ select box_key, case when len(rs) < 1 then '' else ls[1] || '| ' || array_to_str
         "polygon_boxes": "select distinct on (map_id) map_id, least(bbox[1], bbox[3]) bx0, least(bbox[2], bbox[4]) by0, greatest(bbox[1], bbox[3]) bx1, greatest(bbox[2], bbox[4]) by1, greatest(cast(trunc(abs(bbox[4] - bbox[2])) as int), 10) font from mapping_rows where len(bbox) = 4",
         "document_model_names": "select distinct on (page_id) page_id, translate(concat_ws(':', metadata.engine, 'v1.2-b'), '.:-', '___') model, strftime(scanned_at, '%Y-%m-%d %H:%M:%S') scanned, page_id % 4 endpoint from ocr_pages",
         "natural_page_order": "with p as (select distinct on (page_id) page_id, doc_key, filename, coalesce(try_cast(nullif(regexp_extract(filename, '^([0-9]+)\\.', 1), '') as int), 0) stem from ocr_pages) select page_id, stem, row_number() over (partition by doc_key order by stem, filename, page_id) place from p",
-        "json_extraction": "select doc_id, doc_id id, cast(length(text) as bigint) n from documents where text is not null",
-        "envelope_roundtrip": "select doc_id, case when doc_id % 10 = 0 then '' else 'rules' end model, case when doc_id % 10 = 0 then '' else '```json' || chr(10) || cast(to_json({'t': left(text, 20)}) as varchar) || chr(10) || '```' end as content from documents where text is not null",
+        "json_extraction": "select doc_id, doc_id id, md5(text) text_md5 from documents where text is not null",
         "envelope_documents": "select doc_id, 'rules' model, text from documents where text is not null",
         "text_fusion_positional": _MAP + _B.replace("with pg", ", pg", 1) + f""",
 lt as (select b.box_key, any_value(b.text) as text, string_agg(mb.text, chr(10) order by mb.md_line_index, mb.map_id) l from b join mb on mb.doc_key = b.doc_key and mb.page = b.page and (mb.x0 + mb.x1) / 2 between b.x0 - 5 and b.x1 + 5 and (mb.y0 + mb.y1) / 2 between b.y0 - 5 and b.y1 + 5 group by b.box_key),

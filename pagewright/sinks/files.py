@@ -52,10 +52,10 @@ def dead_letters(answers: DataFrame, path: str, error: str = "error", valid: str
     return answers.filter(~bad)
 
 
-def mark(done: DataFrame, path: str, stage: str, key: str = "doc_key") -> None:
-    """Appends state rows (key, stage, count, time) of finished work; only work that succeeded is marked."""
+def mark(done: DataFrame, path: str, stage: str, key: str = "doc_key", mode: str = "append") -> None:
+    """Appends (or writes anew) state rows (key, stage, count, time) of finished work; only work that succeeded is marked."""
     rows = done.groupBy(key).agg(F.count(F.lit(1)).alias("finish_num")).select(key, F.lit(stage).alias("stage"), "finish_num", F.current_timestamp().alias("finish_time"))
-    rows.write.mode("append").parquet(path)
+    rows.write.mode(mode).parquet(path)
 
 
 def stages_done(state: DataFrame, stage: str, key: str = "doc_key") -> DataFrame:

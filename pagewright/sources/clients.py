@@ -16,22 +16,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def call(items: DataFrame, key: str, item: str, client: Callable[[Any], Any], in_flight: int = 8, attempts: int = 3, wait: float = 0.0) -> DataFrame:
-    """key, result (JSON text), error, attempts for every item; every attempt counts towards the bound."""
-    source = items.select(F.col(key).alias("k"), F.col(item).alias("x")).repartition(in_flight)
+def call(items: DataFrame, key: str, item: str, client: Callable[[Any], Any], in_flight: int = 8, attempts: int = 3, wait: float = 2.0, endpoints: list[str] | None = None, per_endpoint: int = 2) -> DataFrame:
+    """key, result (JSON text), error, attempts for every item; every attempt counts towards the bound.
+
+    ``wait`` seconds lie between the attempts for one item. With ``endpoints``, items are dealt to them by hash and ``client``
+    is called with (item, endpoint); a partition serves one endpoint, so that at most ``per_endpoint`` calls to each are in
+    flight. Each partition is one stream of calls.
+    """
+    source = items.select(F.col(key).alias("k"), F.col(item).alias("x"), F.lit(0).alias("at"))
+    if endpoints:
+        n = len(endpoints) * per_endpoint
+        source = source.withColumn("at", F.pmod(F.xxhash64("k"), F.lit(n)).cast("int")).repartitionById(n, F.col("at"))
+    else:
+        source = source.repartition(in_flight)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             rows = []
-            for k, x in zip(pdf.k, pdf.x):
+            for k, x, at in zip(pdf.k, pdf.x, pdf["at"]):
                 result, error, n = None, None, 0
                 for n in range(1, attempts + 1):
                     try:
-                        result, error = json.dumps(client(x), ensure_ascii=False), None
+                        result, error = json.dumps(client(x, endpoints[at % len(endpoints)]) if endpoints else client(x), ensure_ascii=False), None
                         break
                     except Exception as e:  # noqa: BLE001
                         error = f"{type(e).__name__}: {e}"
-                        time.sleep(wait)
+                        if n < attempts:
+                            time.sleep(wait)
                 rows.append((k, result, error, n))
             yield pd.DataFrame(rows, columns=["k", "result", "error", "attempts"])
 
@@ -58,15 +69,22 @@ def pages_of(files: DataFrame, render: Callable[[bytes], list[bytes]]) -> DataFr
     return files.select("path", "content").mapInPandas(run, "path string, page int, image binary, error string")
 
 
-#: The parts of the extraction service's answer.
-PARTS = "words array<map<string,string>>, lines array<map<string,string>>, sections array<map<string,string>>, pdfContent array<map<string,string>>, docInfo map<string,string>"
+# The parts of the extraction service's answer.
+PARTS = ("words", "lines", "sections", "pdfContent")
 
 
 def extraction_parts(answers: DataFrame, key: str, result: str = "result") -> dict[str, DataFrame]:
-    """The answer's lists as tables: key, id (1..n, null items keep their place), item; and the document's own fields."""
-    parsed = answers.select(key, F.from_json(result, PARTS).alias("r"))
-    out = {p: parsed.select(key, F.posexplode(f"r.{p}").alias("pos", "item")).select(key, F.when(F.col("item").isNotNull(), F.col("pos") + 1).alias("id"), "item") for p in ("words", "lines", "sections", "pdfContent")}
-    return out | {"docInfo": parsed.select(key, F.col("r.docInfo").alias("item"))}
+    """The answer's lists as tables: key, id (1..n, null items keep their place without an id), item; and docInfo: key, item.
+
+    An item is a map of its fields; a nested field is its JSON text, so that no part of an answer is lost.
+    """
+    out = {}
+    for p in PARTS:
+        listed = F.from_json(F.get_json_object(result, f"$.{p}"), "array<string>")
+        rows = answers.select(key, F.posexplode(listed).alias("pos", "t"))
+        item = F.from_json("t", "map<string,string>")
+        out[p] = rows.select(key, F.when(F.col("t").isNotNull(), F.col("pos") + 1).alias("id"), item.alias("item"))
+    return out | {"docInfo": answers.select(key, F.from_json(F.get_json_object(result, "$.docInfo"), "map<string,string>").alias("item"))}
 
 
 def draw(pages: DataFrame, boxes: DataFrame, key: list[str], paint: Callable[[bytes, list[tuple]], bytes]) -> DataFrame:
@@ -81,3 +99,19 @@ def draw(pages: DataFrame, boxes: DataFrame, key: list[str], paint: Callable[[by
 
     kinds = ", ".join(f"{k} {pages.schema[k].dataType.simpleString()}" for k in key)
     return joined.mapInPandas(run, f"{kinds}, image binary")
+
+
+def redraw(lines: DataFrame, scale: int = 1) -> DataFrame:
+    """What to paint of foreign text lines (poly, text) on a blank page ``scale`` times as large: points and place scaled, and
+    the font as high as the line in its own size, at least 10."""
+    at = lambda i: F.get("poly", F.lit(i))
+    xs, ys = [at(i) for i in (0, 2, 4, 6)], [at(i) for i in (1, 3, 5, 7)]
+    good = lines.filter(F.size("poly") == 8)
+    return good.withColumns({"points": F.transform("poly", lambda v: v * scale), "x": F.least(*xs) * scale, "y": F.least(*ys) * scale, "font": F.greatest((F.greatest(*ys) - F.least(*ys)).cast("int"), F.lit(10))})
+
+
+def by_base_name(left: DataFrame, right: DataFrame, name: str = "file_name") -> DataFrame:
+    """Rows of two tables of files whose names are equal but for the suffix; right columns that clash get ``right_`` before them."""
+    base = lambda df: F.regexp_replace(F.element_at(F.split(df[name], "/"), -1), r"\.[^.]*$", "")
+    other = right.withColumn("__base", base(right)).withColumnsRenamed({c: f"right_{c}" for c in right.columns if c in left.columns})
+    return left.withColumn("__base", base(left)).join(other, "__base").drop("__base")

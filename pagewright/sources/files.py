@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,20 @@ def first_number(name: Column) -> Column:
 
 
 def json_files(spark: SparkSession, path: str, schema: str, glob: str = "*.json", recursive: bool = True) -> DataFrame:
-    """Whole JSON files (an object or a list of objects each) with file_name and file_no; empty files are skipped."""
+    """Whole JSON files (an object or a list of objects each) with path, doc_key, file_name and file_no; empty files are skipped.
+
+    doc_key is the folder below ``path`` in which a file lies ('' for ``path`` itself), as a book has a folder of its own.
+    """
     reader = spark.read.schema(schema).option("multiLine", "true").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
-    return reader.json(path).withColumn("file_name", F.col("_metadata.file_name")).withColumn("file_no", file_number(F.col("file_name"))).filter(F.col("_metadata.file_size") > 0)
+    rows = reader.json(path).withColumn("file_name", F.col("_metadata.file_name")).withColumn("path", F.col("_metadata.file_path")).filter(F.col("_metadata.file_size") > 0)
+    return rows.withColumn("file_no", file_number(F.col("file_name"))).withColumn("doc_key", folder_key(F.col("path"), path))
+
+
+def folder_key(file_path: Column, root: str) -> Column:
+    """The folder of a file below ``root``, decoded, without its name."""
+    own = F.url_decode(F.replace(F.regexp_replace(file_path, r"^[a-zA-Z]+:/+", "/"), F.lit("+"), F.lit("%2B")))
+    base = "/" + re.sub(r"^[a-zA-Z]+:/+", "", root).strip("/")
+    return F.btrim(F.regexp_replace(F.when(F.startswith(own, F.lit(base)), F.substr(own, F.lit(len(base) + 1))).otherwise(own), r"[^/]*$", ""), F.lit("/"))
 
 
 def ocr_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -40,12 +53,12 @@ def text_layer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spans(spark: SparkSession, path: str) -> DataFrame:
-    """Span trees as a flat table of spans."""
-    t = json_files(spark, path, SPAN_TREE).select(F.col("file_no").alias("page"), F.posexplode("blocks").alias("block_no", "b"))
-    lines = t.select("page", "block_no", F.posexplode("b.lines").alias("line_no", "l"))
-    s = lines.select("page", "block_no", "line_no", F.posexplode("l.spans").alias("span_no", "s"))
+    """Span trees as a flat table of spans, by document (folder) and page (the number that a file's name is)."""
+    t = json_files(spark, path, SPAN_TREE).select("doc_key", F.col("file_no").alias("page"), F.posexplode("blocks").alias("block_no", "b"))
+    lines = t.select("doc_key", "page", "block_no", F.posexplode("b.lines").alias("line_no", "l"))
+    s = lines.select("doc_key", "page", "block_no", "line_no", F.posexplode("l.spans").alias("span_no", "s"))
     c = [F.get("s.bbox", F.lit(i)).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))]
-    return s.select("page", "block_no", "line_no", "span_no", "s.text", "s.size", "s.flags", "s.font", *c)
+    return s.select("doc_key", "page", "block_no", "line_no", "span_no", "s.text", "s.size", "s.flags", "s.font", *c)
 
 
 def chunk_items(spark: SparkSession, path: str) -> DataFrame:
@@ -74,6 +87,25 @@ def third_party(spark: SparkSession, path: str) -> DataFrame:
     return t.select("file_name", "page_no", "image", "line_no", "t.text", box.alias("box"), F.greatest((F.get(box, F.lit(3)) - F.get(box, F.lit(1))).cast("int"), F.lit(10)).alias("font"))
 
 
+def third_party_regions(spark: SparkSession, path: str) -> DataFrame:
+    """Regions of foreign layouts: file_name, page_no, layout_no, loc and, per part, sub_no, sub_loc, type (null without parts)."""
+    d = json_files(spark, path, THIRD_PARTY).select("file_name", F.posexplode_outer("data").alias("page_no", "d"))
+    regions = d.select("file_name", "page_no", F.posexplode_outer("d.layout").alias("layout_no", "l"))
+    return regions.select("file_name", "page_no", "layout_no", "l.loc", F.posexplode_outer("l.sub_layout").alias("sub_no", "s")).select("file_name", "page_no", "layout_no", "loc", "sub_no", F.col("s.loc").alias("sub_loc"), "s.type")
+
+
+def settings(spark: SparkSession, path: str, defaults: dict[str, str], glob: str = "*.json") -> DataFrame:
+    """Setting files as one row per document: doc_key and a string column per name of ``defaults``.
+
+    A file holds one object; files of one folder are taken together (of equal names the largest value); what none of them has,
+    and what a broken file should have had, takes its default.
+    """
+    files = spark.read.option("wholetext", "true").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path).withColumn("doc_key", folder_key(F.col("_metadata.file_path"), path))
+    held = F.from_json("value", "map<string,string>")
+    per = files.groupBy("doc_key").agg(*[F.max(held[n]).alias(n) for n in defaults])
+    return per.select("doc_key", *[F.coalesce(n, F.lit(v)).alias(n) for n, v in defaults.items()])
+
+
 def catalogue(spark: SparkSession, path: str, globs: tuple[str, ...] = ("*.pdf", "*.docx"), newest_first: bool = True) -> DataFrame:
     """Files below a folder: path, name, name_key, shown name, directory, size, time. Contents are never read."""
     from pagewright.functions import text as X

@@ -82,6 +82,54 @@ def test_ask_never_raises(spark):
     assert got == {"a": ("X", None, 1), "b": (None, "ValueError: no", 2)}
 
 
+def test_answers_that_dont_hold_are_asked_again(spark):
+    def client(p):
+        return "{}" if "strict JSON" in p else "no json"
+
+    df = spark.createDataFrame([("a", "x")], "k string, p string")
+    r = Q.ask(df, "k", "p", client, 3, Q.is_json, Q.REPAIR).first()
+    assert (r.answer, r.error, r.attempts, r.rejected) == ("{}", None, 2, ["no json"])
+    r = Q.ask(df, "k", "p", lambda p: "no json", 3, Q.is_json).first()
+    assert (r.error, r.attempts, len(r.rejected)) == ("the answer doesn't hold", 3, 3)
+    rec = spark.createDataFrame([(1, SAID)], "rec int, text string")
+    found = Q.candidates(rec, "rec", "text", Q.Rules("老馆长"))
+    ids = [r.id for r in found.collect()]
+
+    def judge(p):
+        return "{\"items\":[{\"id\":\"%s\",\"keep\":true,\"text\":\"原话①\"}]}" % ids[0] if "strict JSON" in p else "sorry"
+
+    v = Q.adjudicate(rec, "rec", "text", found, judge, "keep?").collect()
+    assert [(x.rec, x.id, x.keep, x.text, x.type) for x in v] == [(1, ids[0], True, "原话", "direct")]
+    assert [x.text for x in Q.adjudicated(found, spark.createDataFrame(v), ["rec"]).collect()] == ["原话"]
+
+
+def test_cue_patterns(spark):
+    said = "老馆长在会上讲话：“档案要保存下去，一页也不能少。”"
+    got = Q.candidates_of(said, Q.Rules("老馆长"))
+    assert any(c[7] == "quoted" and c[4] == "在会上讲话" for c in got)
+
+
+def test_contained_quotations_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(d, i, "".join(rng.choices("甲乙丙丁。", k=rng.choice([0, 1, 1, 2, 3, 6, 7, 12, 30])))) for d in ("a", "b", None) for i in range(60)]
+    rows += [("c", 1, "。"), ("c", 2, "，"), ("e", 1, "。"), ("e", 2, "甲乙丙")]
+    df = spark.createDataFrame(rows, "d string, i int, t string")
+    clean = lambda t: "".join(c for c in t if c.isalnum())
+    want = {(d, i) for d, i, t in rows if not any(e == d and clean(t) in clean(u) and (len(clean(u)) > len(clean(t)) or clean(u) == clean(t) and j < i) for e, j, u in rows)}
+    got = [(r.d, r.i) for r in Q.without_contained(df, ["d"], "t", ["i"]).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_tables_found_by_alignment(spark):
+    cols = "doc_key string, page int, block_no int, line_no int, span_no int, text string, size double, flags int, font string, x0 double, y0 double, x1 double, y1 double"
+    line = lambda p, y, cells: [("d", p, 0, int(y), i, t, 10.0, 0, "f", x, y, x + 8.0 * len(t), y + 10) for i, (x, t) in enumerate(cells)]
+    rows = line(1, 10.0, [(10.0, "plain text over"), (131.0, "the line")]) + line(1, 30.0, [(10.0, "a"), (100.0, "b"), (200.0, "c")]) + line(1, 45.0, [(10.0, "1"), (101.0, "2"), (200.0, "3")]) + line(1, 60.0, [(10.0, "end")]) + line(2, 30.0, [(10.0, "x"), (100.0, "y")])
+    found = spans.find_tables(spark.createDataFrame(rows, cols)).collect()
+    assert [(r.page, r.cells) for r in found] == [(1, [["a", "b", "c"], ["1", "2", "3"]])]
+
+
 def test_check_pipeline(spark):
     df = spark.createDataFrame([(1, SAID), (2, "没有")], "id int, text string")
     rules = Q.Rules("老馆长")
@@ -109,7 +157,7 @@ def test_span_rules(spark):
         (1, 0, 1, 0, "hello", 12.0, 0, "Song", 10.0, 720.0, 40.0, 732.0), (1, 0, 1, 1, "world", 12.0, 0, "Song", 48.0, 720.0, 80.0, 732.0),
         (1, 0, 2, 0, "hello world", 12.0, 0, "Song", 10.0, 721.0, 80.0, 732.0), (1, 0, 3, 0, "......12", 12.0, 0, "Song", 10.0, 740.0, 80.0, 752.0), (1, 0, 4, 0, "完", 12.0, 0, "Song", 10.0, 760.0, 80.0, 772.0),
     ]
-    df = spark.createDataFrame(rows, "page int, block_no int, line_no int, span_no int, text string, size double, flags int, font string, x0 double, y0 double, x1 double, y1 double")
+    df = spark.createDataFrame([("d", *r) for r in rows], "doc_key string, page int, block_no int, line_no int, span_no int, text string, size double, flags int, font string, x0 double, y0 double, x1 double, y1 double")
     out = spans.block_texts(df).collect()
     assert [r.text for r in out] == ["正文①\nhello world\n......12\r\n\n完"]
 
@@ -122,10 +170,13 @@ def test_totals(spark, n):
 
 
 def test_convert(spark):
-    cols = "page int, block_no int, line_no int, span_no int, text string, size double, flags int, font string, x0 double, y0 double, x1 double, y1 double"
+    cols = "doc_key string, page int, block_no int, line_no int, span_no int, text string, size double, flags int, font string, x0 double, y0 double, x1 double, y1 double"
     rows = [(1, 0, 0, 0, "Head", 24.0, 0, "f", 10.0, 10.0, 500.0, 34.0), (1, 1, 0, 0, "right column", 10.0, 0, "f", 320.0, 100.0, 500.0, 110.0), (1, 2, 0, 0, "left column", 10.0, 0, "f", 10.0, 120.0, 200.0, 130.0), (1, 3, 0, 0, "inside", 10.0, 0, "f", 20.0, 310.0, 60.0, 320.0), (2, 0, 0, 0, "next", 10.0, 0, "f", 10.0, 10.0, 500.0, 20.0)]
-    tables = spark.createDataFrame([(1, 10.0, 300.0, 500.0, 400.0, [["a"], ["b"]])], "page int, x0 double, y0 double, x1 double, y1 double, cells array<array<string>>")
-    out = pipelines.convert(spark.createDataFrame(rows, cols), tables).orderBy("page", "order_no").collect()
+    tables = spark.createDataFrame([(1, 10.0, 300.0, 500.0, 400.0, [["a"], ["b"]])], "page int, x0 double, y0 double, x1 double, y1 double, cells array<array<string>>").selectExpr("'d' doc_key", "*")
+    both = [(d, *r) for d in ("d", "e") for r in rows]
+    whole = pipelines.convert(spark.createDataFrame(both, cols), tables).orderBy("doc_key", "page", "order_no").collect()
+    out = [r for r in whole if r.doc_key == "d"]
+    assert [r.text for r in whole if r.doc_key == "e"] == ["# Head", "left column", "inside", "right column", "next"]
     assert [r.text for r in out] == ["# Head", "left column", "right column", "| a |\n| --- |\n| b |\n", "next"]
     assert [r.md_line_index for r in out] == [0, 2, 4, 6, 11]
 

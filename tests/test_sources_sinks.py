@@ -1,3 +1,4 @@
+import pytest
 import json
 import zipfile
 
@@ -94,7 +95,7 @@ def test_clients(spark):
             raise OSError("down")
         return {"words": [{"w": x}]}
 
-    out = clients.call(items, "k", "x", client, in_flight=2, attempts=2).persist()
+    out = clients.call(items, "k", "x", client, in_flight=2, attempts=2, wait=0.0).persist()
     assert {(r.k, r.error, r.attempts) for r in out.collect()} == {(1, None, 1), (2, "OSError: down", 2)}
     assert [r.k for r in clients.missing(items, out, "k").collect()] == [2]
     assert clients.extraction_parts(out, "k")["words"].first().id == 1
@@ -122,9 +123,53 @@ def test_sinks(spark, tmp_path):
     a = spark.createDataFrame([(1, None, True), (2, "e", True), (3, None, False)], "k int, error string, valid boolean")
     assert sinks.dead_letters(a, str(tmp_path / "dead")).count() == 1 and spark.read.parquet(str(tmp_path / "dead")).count() == 2
     state, out = str(tmp_path / "state"), str(tmp_path / "out")
-    pipelines.staged(df, None, "merge", lambda x: x, state, out)
-    again = pipelines.staged(df, spark.read.parquet(state), "merge", lambda x: x, state, out)
-    assert again.count() == 0 and spark.read.parquet(out).count() == 3
+    def fails(x):
+        raise RuntimeError("half way")
+
+    with pytest.raises(RuntimeError):
+        pipelines.staged(df, None, "merge", fails, state, out, "1")
+    pipelines.staged(df, None, "merge", lambda x: x, state, out, "1")
+    pipelines.staged(df, None, "merge", lambda x: x, state, out, "1")
+    assert spark.read.parquet(f"{out}/data").count() == 3
+    more = df.unionByName(df.limit(1).withColumn("doc_key", F.lit("f")))
+    again = pipelines.staged(more, spark.read.parquet(state), "merge", lambda x: x, state, out, "2")
+    assert again.count() == 1 and spark.read.parquet(f"{out}/data").count() == 4
+    assert {r.doc_key for r in sinks.stages_done(spark.read.parquet(state), "merge").collect()} == {"d", "e", "f"}
+
+
+def test_document_keys_settings_and_regions(spark, tmp_path):
+    for book in ("b 1", "b+2"):
+        (tmp_path / "in" / book).mkdir(parents=True)
+        span = {"blocks": [{"type": 0, "lines": [{"spans": [{"text": book, "size": 9.5, "flags": 0, "font": "f", "bbox": [0.5, 1.5, 2.5, 3.5]}]}]}]}
+        (tmp_path / "in" / book / "3.json").write_text(json.dumps(span))
+    got = sources.spans(spark, str(tmp_path / "in")).collect()
+    assert {(r.doc_key, r.page, r.text) for r in got} == {("b 1", 3, "b 1"), ("b+2", 3, "b+2")}
+    (tmp_path / "set" / "x").mkdir(parents=True)
+    (tmp_path / "set" / "x" / "p.json").write_text('{"prompt": "ask", "n": 3}')
+    (tmp_path / "set" / "y").mkdir()
+    (tmp_path / "set" / "y" / "p.json").write_text("{broken")
+    s = {r.doc_key: (r.prompt, r.mode) for r in sources.settings(spark, str(tmp_path / "set"), {"prompt": "default", "mode": "m"}).collect()}
+    assert s == {"x": ("ask", "m"), "y": ("default", "m")}
+    (tmp_path / "tp").mkdir()
+    (tmp_path / "tp" / "1.json").write_text(json.dumps({"image_info": [{"width": 9, "height": 9}], "data": [{"layout": [{"loc": [0, 0, 9, 9], "sub_layout": [{"loc": [1, 1, 2, 2], "type": "t"}, {"loc": [3, 3, 4, 4], "type": "u"}]}, {"loc": [5, 5, 6, 6]}], "text_lines": [{"poly": [0, 0, 20, 0, 20, 14, 0, 14], "text": "x"}]}]}))
+    regions = {(r.layout_no, r.sub_no, r.type) for r in sources.third_party_regions(spark, str(tmp_path / "tp")).collect()}
+    assert regions == {(0, 0, "t"), (0, 1, "u"), (1, None, None)}
+    lines = spark.createDataFrame([("x", [0, 1, 20, 1, 20, 15, 0, 15])], "text string, poly array<int>")
+    big = clients.redraw(lines, 2).first()
+    assert (big.points, big.x, big.y, big.font) == ([0, 2, 40, 2, 40, 30, 0, 30], 0, 2, 14)
+    a, b = spark.createDataFrame([("p/1.png", 1), ("2.png", 2)], "file_name string, n int"), spark.createDataFrame([("1.json", 7)], "file_name string, n int")
+    assert [(r.n, r.right_n) for r in clients.by_base_name(a, b).collect()] == [(1, 7)]
+
+
+def test_answers_keep_nested_parts_and_endpoints(spark):
+    answers = spark.createDataFrame([(1, '{"words": [{"t": "a", "box": {"x": 1}, "l": [1, 2]}, null], "docInfo": {"n": 3, "meta": {"a": "b"}}}')], "k int, result string")
+    parts = clients.extraction_parts(answers, "k")
+    rows = parts["words"].orderBy(F.col("id").isNull()).collect()
+    assert rows[0].item == {"t": "a", "box": '{"x":1}', "l": "[1,2]"} and rows[1].id is None
+    assert parts["docInfo"].first().item == {"n": "3", "meta": '{"a":"b"}'}
+    items = spark.range(40).selectExpr("id k", "cast(id as string) x")
+    out = clients.call(items, "k", "x", lambda x, at: at, endpoints=["u", "v"], per_endpoint=2, wait=0).collect()
+    assert len(out) == 40 and {json.loads(r.result) for r in out} == {"u", "v"}
 
 
 PAGES = "page_id bigint, doc_key string, page int, image_dims struct<w:int,h:int>, boxes array<struct<label:string,box:array<int>,text_content:string>>, ingested_at timestamp, text string"
