@@ -120,8 +120,8 @@ e as (select ln.*, lead(page_id) over w np, lead(ls) over w nl from ln window w
 ed as (select *, coalesce(np <> page_id and len(ls) > 0 and len(nl) > 0 and not starts_with(nl[1], '#') and not regexp_matches(nl[1], '^第[\\p{Nd}一二三四五六七八九十百]+[章节篇]') and not regexp_matches(ls[-1], '[。！？!?]$') and length(ls[-1]) > 6, false) edge from e),
 tk as (select doc_key, k, edge taken from ed where k = 1
   union all select ed.doc_key, ed.k, ed.edge and not tk.taken from tk join ed on ed.doc_key is not distinct from tk.doc_key and ed.k = tk.k + 1),
-mg as (select ed.*, tk.taken, coalesce(lag(tk.taken) over (partition by ed.doc_key order by ed.k), false) second from ed join tk on tk.doc_key is not distinct from ed.doc_key and tk.k = ed.k),
-bm as (select a.doc_key, a.page, a.page_id, a.box_no, a.label, a.text || case when a.taken then chr(10) || z.text else '' end content, case when a.taken then 2 else 1 end n_nodes from mg a left join mg z on a.taken and z.doc_key is not distinct from a.doc_key and z.k = a.k + 1 where not a.second)
+mg as (select ed.*, tk.taken, coalesce(lag(tk.taken) over (partition by ed.doc_key order by ed.k), false) is_second from ed join tk on tk.doc_key is not distinct from ed.doc_key and tk.k = ed.k),
+bm as (select a.doc_key, a.page, a.page_id, a.box_no, a.label, a.text || case when a.taken then chr(10) || z.text else '' end content, case when a.taken then 2 else 1 end n_nodes from mg a left join mg z on a.taken and z.doc_key is not distinct from a.doc_key and z.k = a.k + 1 where not a.is_second)
 """.replace("{blank}", r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 
 
@@ -154,7 +154,7 @@ n as (select *, unnest(range(len(boxs[gi + 1]))) ni, coalesce(len(nodes_text_len
 x as (select *, boxs[gi + 1][ni + 1] bb from n),
 y as (select *, len(bb) = 4 and len(list_filter(bb, lambda q: q is null)) = 0 ok from x)
 select chunk_id, cast(gi as bigint) group_no, cast(ni as bigint) node_no,
-  case when gi >= len(pages) then null when coalesce(len(pages[gi + 1]), 0) = k then pages[gi + 1][ni + 1] when ni < k then coalesce(pages[gi + 1][1], '1') end page, nodes_text_len[gi + 1][ni + 1] text_len,
+  case when pages is null or gi >= len(pages) then null when coalesce(len(pages[gi + 1]), 0) = k then pages[gi + 1][ni + 1] when ni < k then coalesce(pages[gi + 1][1], '1') end page, nodes_text_len[gi + 1][ni + 1] text_len,
   case when ok then cast(round_even(bb[1] * 1000.0 / w, 0) as int) else bb[1] end x0, case when ok then cast(round_even(bb[2] * 1000.0 / h, 0) as int) else bb[2] end y0,
   case when ok then cast(round_even(bb[3] * 1000.0 / w, 0) as int) else bb[3] end x1, case when ok then cast(round_even(bb[4] * 1000.0 / h, 0) as int) else bb[4] end y1 from y""",
         "tokens_in_time": "select distinct file_md5, file_md5 in_time, cast(null as varchar) late, cast(null as varchar) \"foreign\" from book_files",

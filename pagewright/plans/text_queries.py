@@ -134,7 +134,7 @@ def oracle_sql() -> dict[str, str]:
     letters = "Җ&˅ᮠᦞҹAṸᇎ+᡻޼3ĉ''ѝᇦ(ᵜṨᆇ"
     garbled = f"'{letters}'||" + "||".join(f"chr({c})" for c in (3, 15, 16, 17, 18, 19, 20, 21, 23, 24, 25, 26, 27))
     controls = "||".join(f"chr({c})" for c in (1, 2, 3, 4, 5, 6, 7, 8, 11, *range(14, 32), 127))
-    refs = strip(f"regexp_replace({strip(f'''regexp_replace({strip('''regexp_replace(st, '[①-⑳]+$', '')''')}, '(\\[\\p{Nd}+\\]|（\\p{Nd}+）|\\(\\p{Nd}+\\))+$', '')''')}, '[，,;；:：]+$', '')")
+    refs = strip(f"regexp_replace({strip(f'''regexp_replace({strip('''regexp_replace(st, '[①-⑳]+$', '')''')}, '(\\[\\p{{Nd}}+\\]|（\\p{{Nd}}+）|\\(\\p{{Nd}}+\\))+$', '')''')}, '[，,;；:：]+$', '')")
     last = f"case when length(st) > 1 and contains('{_CLOSERS}', right(st, 1)) then substr(st, length(st) - 1, 1) else right(st, 1) end"
     return {
         "footnote_letters": block(f"translate(text, '{low + low.upper()}', '{X.CIRCLED * 2}') as out"),
