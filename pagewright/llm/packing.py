@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Documents per group, on average. A group is packed by one task; more documents make more groups, not larger ones.
 GROUP = 16_384
+#: Limits at most, which are read to the driver.
+LIMITS = 1000
 
 
 class Tournament:
@@ -64,10 +66,16 @@ def pack(sizes: DataFrame, limits: DataFrame, key: str = "doc_id", lang: str = "
     n = sizes.count() if n_rows is None else n_rows
     groups = max(1, round(n / group))
     own = limits.filter("capacity_tokens > 0").select("pack_name", F.col("capacity_tokens").cast("bigint").alias("capacity"), F.col("lang").alias("pack_lang")).distinct()
-    # a handful of settings: its rows are checked before they are sent to every task
-    few = own.limit(1001).count() <= 1000
+    rows = own.limit(LIMITS + 1).collect()
+    if len(rows) > LIMITS:
+        raise ValueError(f"more than {LIMITS} limits")
     docs = sizes.select(F.col(key).alias("k"), F.col(lang).alias("l"), "n_tokens")
-    matches = docs.join(F.broadcast(own) if few else own, F.col("pack_lang").isNull() | (F.col("pack_lang") == F.col("l")))
+    # each document with its limits, those of its language and those of all, from constants: nothing is joined
+    of = lambda ls: F.array(*[F.struct(F.lit(r.pack_name).alias("pack_name"), F.lit(r.capacity).alias("capacity")) for r in ls]) if ls else F.expr("cast(array() as array<struct<pack_name:string,capacity:bigint>>)")
+    settings = of([r for r in rows if r.pack_lang is None])
+    for name in sorted({r.pack_lang for r in rows if r.pack_lang is not None}):
+        settings = F.concat(settings, F.when(F.col("l") == name, of([r for r in rows if r.pack_lang == name])).otherwise(of([])))
+    matches = docs.withColumn("s", F.explode(settings)).select("k", "n_tokens", "s.pack_name", F.col("s.capacity").cast("bigint").alias("capacity"))
     drawn = matches.select("pack_name", "capacity", "k", "n_tokens", F.pmod(F.xxhash64("k", F.lit(seed)), F.lit(groups)).cast("int").alias("g"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

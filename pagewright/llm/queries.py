@@ -49,6 +49,16 @@ def p2_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.pieces(table(spark, sf, "chunks"), "chunk_id", "content")
 
 
+def p2_rebuilt(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks put together again from their pieces without the overlap."""
+    p = p2_pieces(spark, sf)
+    own = F.transform(F.array_sort(F.collect_list(F.struct("piece_no", "start_pos", "end_pos", "piece"))), lambda x: F.struct(x["start_pos"].alias("a"), x["end_pos"].alias("b"), x["piece"].alias("t")))
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("t"), F.lit(True).alias("ok"))
+    step = lambda acc, x: F.struct(x["b"].alias("at"), F.concat(acc["t"], F.substr(x["t"], (acc["at"] - x["a"] + 1).cast("int"))).alias("t"), (acc["ok"] & (x["b"] - x["a"] <= 1024) & ((x["a"] == 0) | (acc["at"] - x["a"] == 64))).alias("ok"))
+    whole = p.groupBy("chunk_id").agg(own.alias("x")).select("chunk_id", F.aggregate("x", start, step).alias("r"))
+    return whole.select("chunk_id", F.md5("r.t").alias("content_md5"), F.col("r.ok").alias("within_limits"))
+
+
 def _running_text(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "ocr_pages").filter("prompt_type = 'free_ocr'")
     return boxes(pages).filter("label = 'text'")
@@ -93,6 +103,14 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
     return packing.fill(p8_containers(spark, sf), table(spark, sf, "pack_limits"))
 
 
+def p8_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of each limit, and containers that hold more than it."""
+    packed, limits = p8_containers(spark, sf), table(spark, sf, "pack_limits").select("pack_name", "capacity_tokens")
+    per = packed.groupBy("pack_name", "container_id").agg(F.sum("n_tokens").alias("t")).join(limits, "pack_name").groupBy("pack_name").agg(F.count_if(F.col("t") > F.col("capacity_tokens")).alias("n_over"))
+    docs = packed.groupBy("pack_name").agg(F.count_distinct("doc_id").alias("n_documents"))
+    return docs.join(per, "pack_name")
+
+
 def _mix(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     # sizes are used for the amounts and for the mix: encoded once
     sized = keep(tokens.sizes(table(spark, sf, "documents"), "doc_id", "text", "source"))
@@ -109,6 +127,13 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return _mix(spark, sf)[1]
 
 
+def p9_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources of the mix: whether each keeps its repeats and uses no document twice in a pass."""
+    mixed, shares = _mix(spark, sf)
+    twice = mixed.groupBy("source", "doc_id", "repeat_no").count().groupBy("source").agg(F.count_if(F.col("count") > 1).alias("n_twice"))
+    return shares.filter("used_tokens > 0").select("source", (F.col("repeats") <= F.col("max_repeats")).alias("within_repeats")).join(twice, "source")
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return truncation.truncated(table(spark, sf, "documents"), "doc_id", "text").select("doc_id").distinct()
 
@@ -123,8 +148,13 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p4_found, p4_clean, p6_found, p6_paragraphs, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_rates, p1_found, p1_members, p1_canonical, p2_found, p2_pieces, p3_found, p3_sentences)}
+    return {f.__name__: f for f in (p4_found, p4_clean, p6_found, p6_paragraphs, p8_containers, p8_fill, p8_whole, p9_mix, p9_shares, p9_repeats, p10_found, p10_rates, p1_found, p1_members, p1_canonical, p2_found, p2_pieces, p2_rebuilt, p3_found, p3_sentences)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": "select distinct chunk_id from chunks where length(content) > 1024"}
+    return {
+        "p2_found": "select distinct chunk_id from chunks where length(content) > 1024",
+        "p2_rebuilt": "select distinct chunk_id, md5(content) content_md5, true within_limits from chunks where length(content) > 1024",
+        "p8_whole": "select pack_name, count(distinct doc_id) n_documents, cast(0 as bigint) n_over from pack_limits l join documents d on (l.lang is null or l.lang = d.lang) where length(text) > 0 and capacity_tokens > 0 group by pack_name",
+        "p9_repeats": "select distinct source, true within_repeats, cast(0 as bigint) n_twice from mix_targets join documents using (source) where target_share > 0 and max_repeats > 0 and length(text) > 0",
+    }

@@ -63,7 +63,11 @@ def _joined(text: str, at: int) -> bool:
 
 
 def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
-    """(start, end) of the pieces, the overlap included. A text within the limit is one piece; an empty one has none."""
+    """(start, end) of the pieces, the overlap included. A text within the limit is one piece; an empty one has none.
+
+    The minimum is taken over the boundaries of ``boundaries``: weaker kinds count only where stronger ones are further apart
+    than a quarter of a piece, and a grid of positions only where none is within half a piece.
+    """
     if not 0 <= overlap < limit:
         raise ValueError("the overlap must be smaller than the limit")
     n = len(text)
@@ -94,7 +98,12 @@ def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
                 if c < best[j]:
                     best[j], back[j] = c, i
     if math.isinf(best[-1]):
-        cuts = list(range(limit, n, step))
+        # no way through the boundaries, as within a character of more marks than a piece: characters stay whole where they can
+        cuts, e = [], limit
+        while e < n:
+            whole = next((q for q in range(e, max(cuts[-1] if cuts else 0, e - step // 2), -1) if not _joined(text, q)), e)
+            cuts.append(whole)
+            e = whole + step
     else:
         cuts, j = [], back[-1]
         while j:

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 FOLDER = os.environ.get("PAGEWRIGHT_TOKENIZERS", "/opt/tokenizers")
 DEFAULT = f"{FOLDER}/piece_bpe_32k.model"
+#: How a .tiktoken vocabulary splits texts before merging; the file doesn't tell, so other vocabularies give their own.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def counter(path: str) -> Callable[[list[str]], list[int]]:
+def counter(path: str, split: str = SPLIT) -> Callable[[list[str]], list[int]]:
     """Counts tokens of texts with the tokenizer in the file: .model (sentencepiece), .tiktoken or .json (tokenizers)."""
     if path.endswith(".model"):
         import sentencepiece
@@ -27,8 +29,7 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        encoding = tiktoken.Encoding("own", pat_str=split, mergeable_ranks=ranks, special_tokens={})
         return lambda texts: [len(encoding.encode_ordinary(x)) for x in texts]
     from tokenizers import Tokenizer
 
@@ -37,7 +38,7 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
     return lambda texts: [len(x.ids) for x in own.encode_batch(texts, add_special_tokens=False)]
 
 
-def sizes(df: DataFrame, key: str, text: str, *keep: str, path: str = DEFAULT) -> DataFrame:
+def sizes(df: DataFrame, key: str, text: str, *keep: str, path: str = DEFAULT, split: str = SPLIT) -> DataFrame:
     """key, the kept columns and n_tokens (bigint) of every row with text; a row delivered twice counts once.
 
     Null and empty texts have no tokens and give no row. Whole texts are encoded; only the sizes are shuffled.
@@ -48,7 +49,7 @@ def sizes(df: DataFrame, key: str, text: str, *keep: str, path: str = DEFAULT) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        count = counter(path)
+        count = counter(path, split)
         for batch in batches:
             n = pa.array(count(batch.column(batch.num_columns - 1).to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], n], names=[*[f.name for f in batch.schema][:-1], "n_tokens"])
