@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as X
+from pagewright.operators.deliveries import latest
 
 
 def text_totals(chunks: DataFrame) -> DataFrame:
     """Per book: text items, characters of what is no image, largest id of a text item (0 without any)."""
-    once = chunks.dropDuplicates(["chunk_id"])
+    once = latest(chunks, "chunk_id", "processed_at")
     not_image = ~F.col("type").eqNullSafe("image")
     return once.groupBy("doc_key").agg(
         F.count_if(F.col("type") == "text").alias("text_items"),
@@ -20,7 +21,7 @@ def text_totals(chunks: DataFrame) -> DataFrame:
 
 
 def files_once(files: DataFrame) -> DataFrame:
-    return files.dropDuplicates(["file_md5"])
+    return latest(files, "file_md5", "ingested_at")
 
 
 def file_totals(files: DataFrame) -> DataFrame:
@@ -34,6 +35,18 @@ def file_totals(files: DataFrame) -> DataFrame:
     )
 
 
+def refreshed(totals: DataFrame, changed: DataFrame, key: str) -> DataFrame:
+    """Totals with the rows of the documents that were counted again in place of their earlier ones."""
+    return totals.join(changed.select(key), key, "left_anti").unionByName(changed.select(totals.columns))
+
+
+def catalogue(files: DataFrame, chars: DataFrame, paths: DataFrame, present: DataFrame, key: str = "file_md5") -> DataFrame:
+    """Files with what three other tables know of them: total_chars (0), file_path (null), file_exist (1 where present, else 0)."""
+    here = present.select(key).distinct().withColumn("__here", F.lit(1))
+    joined = files.join(chars.select(key, "total_chars"), key, "left").join(paths.select(key, "file_path"), key, "left").join(here, key, "left")
+    return joined.withColumns({"total_chars": F.coalesce("total_chars", F.lit(0)), "file_exist": F.coalesce("__here", F.lit(0))}).drop("__here")
+
+
 def upload_time(text: Column) -> Column:
     """Both formats of the catalogue; null as the epoch, so that undated files sort last."""
     parsed = F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")))

@@ -213,6 +213,30 @@ def _pack(glue: int) -> str:
     return pack_sql(_cross(False).replace("with pg", "with recursive pg") + items, glue)
 
 
+_FORMS = r"^第[一二三四五六七八九十百千万\p{Nd}]+[章节篇部分条款]|^[一二三四五六七八九十]+[、，\.]|^\([一二三四五六七八九十]+\)|^（[一二三四五六七八九十]+）|^\p{Nd}+\.|^\(\p{Nd}+\)|^（\p{Nd}+）"
+
+
+def _boxed() -> str:
+    """The boxed merge as a recursion over the boxes of a page: own is the group that a box opens or joins."""
+    strip = lambda x: f"regexp_replace({x}, '^{_BLANK}+|{_BLANK}+$', '', 'g')"
+    broken = f"replace(replace(regexp_replace(regexp_replace({strip('text')}, '([.。…]{{2,}}[\\s\\x{{3000}}]*\\p{{Nd}}+)', '\\1' || chr(1), 'g'), chr(1) || '([\\n\\r])', '\\1', 'g'), chr(1), chr(10)), chr(10) || chr(10), chr(10))"
+    last = lambda x: f"case when length({x}) > 1 and contains('{_CLOSERS}', right({x}, 1)) then substr({x}, length({x}) - 1, 1) else right({x}, 1) end"
+    cut = f"({last(strip('r.t'))}) <> '' and not contains('{_TERMINAL}', {last(strip('r.t'))})"
+    title = lambda x: f"(starts_with({strip(x)}, '#') or regexp_matches({strip(x)}, '{_FORMS}'))"
+    joins = f"(r.open and {cut} and not {title('r.t')} and not {title('n.t')} and (abs(r.x0 - coalesce(n.x0, 0)) > n.w * 0.05 or r.y1 > n.h * 0.85 or r.parted))"
+    return _B.replace("with pg", "with recursive pg") + f""",
+n0 as (select page_id, box_no, label, coalesce(w, 1024) w, coalesce(h, 1024) h, x0, y0, x1, y1, {broken} t from b),
+n as (select *, label in ('text', 'sub_title') is_t, row_number() over (partition by page_id order by box_no) k from n0 where label not in ('text', 'sub_title') or t <> ''),
+r as (select page_id, k, case when is_t then 1 else 0 end g, is_t open, case when is_t then 1 end own, coalesce(x0, 0) x0, coalesce(y1, 0) y1, case when is_t then t else '' end t, not is_t and label <> 'title' parted from n where k = 1
+  union all
+  select n.page_id, n.k, case when n.is_t and not j then r.g + 1 else r.g end, case when n.is_t then true when n.label = 'title' then false else r.open end, case when n.is_t and j then r.g when n.is_t then r.g + 1 end,
+    case when n.is_t and j then least(r.x0, coalesce(n.x0, 0)) when n.is_t then coalesce(n.x0, 0) else r.x0 end, case when n.is_t and j then greatest(r.y1, coalesce(n.y1, 0)) when n.is_t then coalesce(n.y1, 0) else r.y1 end,
+    case when n.is_t and j then r.t || n.t when n.is_t then n.t else r.t end, case when n.is_t or n.label = 'title' then false else true end
+  from r join n on n.page_id = r.page_id and n.k = r.k + 1, lateral (select coalesce({joins}, false) j) j)
+select n.page_id, min(n.box_no) head_no, count(*) n_boxes, min(n.x0) x0, min(n.y0) y0, max(n.x1) x1, max(n.y1) y1, string_agg(n.t, '' order by n.k) as content from r join n on n.page_id = r.page_id and n.k = r.k where r.own is not null group by n.page_id, r.own
+"""
+
+
 _NODES = f"""
 with pg as (select distinct on (page_id) page_id, image_dims.w w, image_dims.h h, raw_text from ocr_pages where raw_text is not null),
 sg as (select page_id, w, h, unnest(string_split(raw_text, '<|ref|>')[2:]) s, generate_subscripts(string_split(raw_text, '<|ref|>')[2:], 1) sn from pg),
@@ -235,6 +259,7 @@ def oracle_sql() -> dict[str, str]:
         "crosspage_merge_plain": _cross(True) + "select doc_key, hd.page_id head_page_id, hd.box_no head_no, n_nodes, content from para",
         "chunk_pack": _pack(1) + "select doc_key, cast(section as bigint) section, chunk_no, arg_min(page, rn) page, count(*) n_items, ltrim(string_agg(content, chr(10) order by rn), chr(10)) content from z group by doc_key, section, chunk_no",
         "chunk_pack_v3": _pack(0) + "select doc_key, cast(section as bigint) section, chunk_no, count(*) n_items, cast(length(ltrim(string_agg(content, chr(10) order by rn), chr(10))) as int) content_len from z group by doc_key, section, chunk_no",
+        "boxed_merge": _boxed(),
         "page_text": _B + ", q as (select page_id, count(*) n_nodes, coalesce(string_agg(nullif(text, ''), chr(10) order by box_no), '') box_text from b group by page_id) select page_id, n_nodes, length(box_text) page_text_len, box_text from q",
         "page_merge": _B.replace("with pg", "with recursive pg") + f""",
 q as (select doc_key, page, page_id, coalesce(string_agg(nullif(text, ''), chr(10) order by box_no), '') tx from b group by doc_key, page, page_id),

@@ -36,6 +36,22 @@ def file_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("file_md5", X.mask_name(F.col("file_name")).alias("shown"), F.md5("file_name").alias("name_key"), F.md5("file_path").alias("path_key"), F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("uploaded"), F.coalesce("total_chars", F.lit(0)).alias("total_chars"), F.coalesce("chunk_chars", F.lit(0)).alias("chunk_chars"), "file_exist").orderBy(F.desc("uploaded"), "file_md5")
 
 
+def file_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Books with the characters of their chunks, their paths, and whether scanned pages of them are there."""
+    files = stats.files_once(table(spark, sf, "book_files"))
+    chars = stats.text_totals(table(spark, sf, "chunks")).withColumnRenamed("doc_key", "file_md5")
+    pages = table(spark, sf, "ocr_pages").select(F.col("doc_key").alias("file_md5"))
+    return stats.catalogue(files.select("file_md5", "file_name", "directory_name"), chars, files, pages)
+
+
+def stats_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of all books, those of one folder counted again from their text items alone."""
+    totals = stats.text_totals(table(spark, sf, "chunks")).select("doc_key", "total_chars")
+    again = stats.files_once(table(spark, sf, "book_files")).filter("directory_name = 'admin2'").select(F.col("file_md5").alias("doc_key"))
+    texts = table(spark, sf, "chunks").filter("type = 'text'").join(again, "doc_key", "left_semi")
+    return stats.refreshed(totals, stats.text_totals(texts).select("doc_key", "total_chars"), "doc_key")
+
+
 def path_parts(spark: SparkSession, sf: str) -> DataFrame:
     files = stats.files_once(table(spark, sf, "book_files"))
     after = F.when(F.contains("file_path", F.lit("uploads")), F.regexp_replace("file_path", "^.*?uploads", ""))
@@ -105,7 +121,7 @@ def page_round_robin(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = (char_stats, char_stats_clean, doc_totals_by_flag, file_catalogue, path_parts, directory_files, line_dedup, distinct_clean_text, font_stats, heading_levels, check_report, model_match_rate, union_items, page_round_robin)
+    own = (char_stats, char_stats_clean, doc_totals_by_flag, file_catalogue, file_states, stats_refresh, path_parts, directory_files, line_dedup, distinct_clean_text, font_stats, heading_levels, check_report, model_match_rate, union_items, page_round_robin)
     return {f.__name__: f for f in own}
 
 
@@ -120,6 +136,8 @@ def oracle_sql() -> dict[str, str]:
         "char_stats_clean": "select source, cast(coalesce(sum(length(translate(text, '# ' || chr(10) || chr(13) || chr(9) || chr(12288), ''))), 0) as bigint) chars, count(*) docs from documents group by source",
         "doc_totals_by_flag": files + " select count(*) filter (where file_exist = 1) total_file_counts, cast(coalesce(sum(total_chars) filter (where file_exist = 1), 0) as bigint) total_file_chars, count(*) filter (where file_exist <> 1) total_file_counts_del, cast(coalesce(sum(total_chars) filter (where file_exist <> 1), 0) as bigint) total_file_chars_del from f",
         "file_catalogue": f"{files}, {chars} select file_md5, case when length(file_name) > 26 then left(file_name, 6) || repeat('*', length(file_name) - 26) || right(file_name, 24) else file_name end shown, md5(file_name) name_key, md5(file_path) path_key, coalesce(left(replace(file_upload_time, 'T', ' '), 19), '1970-01-01 00:00:00') uploaded, coalesce(f.total_chars, 0) total_chars, coalesce(t.total_chars, 0) chunk_chars, file_exist from f left join t on t.doc_key = f.file_md5",
+        "file_states": f"{files}, {chars} select f.file_md5, file_name, directory_name, coalesce(t.total_chars, 0) total_chars, f.file_path, case when exists (select 1 from ocr_pages o where o.doc_key = f.file_md5) then 1 else 0 end file_exist from f left join t on t.doc_key = f.file_md5",
+        "stats_refresh": f"{files}, {chars}, a as (select doc_key, cast(coalesce(sum(length(content)), 0) as bigint) total_chars from c where type = 'text' and doc_key in (select file_md5 from f where directory_name = 'admin2') group by doc_key) select t.doc_key, coalesce(a.total_chars, t.total_chars) total_chars from t left join a on a.doc_key = t.doc_key",
         "path_parts": files + " select file_md5, regexp_extract(file_path, 'check_book/(.*?)/1_Json', 1) key_part, case when contains(file_path, 'uploads') then regexp_replace(file_path, '^.*?uploads', '') end rest from f",
         "directory_files": files + " select file_md5, file_name from f where directory_name = 'admin2'",
         "line_dedup": _MAP + f", l as (select map_id, row_number() over (partition by doc_key, page, regexp_replace(text, '^{blank}+|{blank}+$', '', 'g'), cast(trunc(bbox[2] / 2.0) as int) order by md_line_index, map_id) n from mr where len(bbox) = 4) select map_id from l where n = 1",
