@@ -36,3 +36,23 @@ def latest(df: DataFrame, key: str, at: str | None = None) -> DataFrame:
         once = found.filter("__key is not null").dropDuplicates(["__key"])
         found = found.filter("__key is null").unionByName(once)
     return found.select(df.columns)
+
+
+def once(df: DataFrame, key: list[str], text: str | None = None) -> DataFrame:
+    """Rows that are equal in ``key`` (and in the hash of ``text``) once, any of them; null equals null.
+
+    Only rows of keys that occur several times are moved, as long as those keys are few enough to be broadcast.
+    """
+    own = df.withColumn("__h", F.xxhash64(text) if text else F.lit(0).cast("bigint"))
+    more = own.groupBy(*key, "__h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    n = more.limit(BROADCAST + 1).count()
+    if n == 0:
+        return df
+    if n > BROADCAST:
+        return own.dropDuplicates([*key, "__h"]).drop("__h")
+    twice = F.broadcast(more.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)], F.col("__h").alias("__x"), F.lit(True).alias("__twice")))
+    same = F.col("__h") == F.col("__x")
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    marked = own.join(twice, same, "left")
+    return marked.filter("__twice is null").unionByName(marked.filter("__twice").dropDuplicates([*key, "__h"])).select(df.columns)

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagewright.operators import nested
+from pagewright.operators.deliveries import once
 from pagewright.session import keep
 
 #: Marks of types that give no evidence by themselves.
@@ -357,7 +359,7 @@ def _put(record: dict, way: list[str], at: tuple[int, ...], value: object) -> No
     node[way[-1]] = value
 
 
-def consistent(records: DataFrame, stream: str = "stream_key", file: str = "file_name", written: str = "written_at", payload: str = "payload", line: str = "line_no", row: str | None = None, defaults: dict[str, object] | None = None) -> DataFrame:
+def consistent(records: DataFrame, stream: str = "stream_key", file: str = "file_name", written: str = "written_at", payload: str = "payload", line: str = "line_no", defaults: dict[str, object] | None = None) -> DataFrame:
     """All valid records of all streams in one consistent table: stream, file, version, line, then a typed column for each
     top-level field, with nested fields as structs and arrays of structs.
 
@@ -382,16 +384,8 @@ def consistent(records: DataFrame, stream: str = "stream_key", file: str = "file
         for i, x in enumerate(way):
             if x.endswith("[]"):
                 arrays[".".join(way[: i + 1])] = [*way[:i], x[:-2]]
-    columns = [F.col(stream).alias("stream"), F.col(file).alias("file"), F.col(line).cast("bigint").alias("line"), F.col(payload).alias("payload")]
-    same = ["stream", "file", "line", "h"]
-    if row is None:
-        rows = records.select(*columns).dropDuplicates(["stream", "file", "line", "payload"])
-    else:
-        light = records.select(*columns[:3], F.xxhash64(payload).alias("h"), F.col(row).alias("row"))
-        more = light.groupBy(*same).agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        null_safe = functools.reduce(lambda x, y: x & y, [light[c].eqNullSafe(more[c]) for c in same])
-        later = light.join(more, null_safe).filter("row <> first").select("row")
-        rows = records.select(*columns, F.col(row).alias("row")).join(later, "row", "left_anti").drop("row")
+    rows = records.select(F.col(stream).alias("stream"), F.col(file).alias("file"), F.col(line).cast("bigint").alias("line"), F.col(payload).alias("payload"))
+    rows = once(rows, ["stream", "file", "line"], "payload")
 
     @F.pandas_udf("string")
     def route(payloads: pd.Series, rule: pd.Series) -> pd.Series:
@@ -432,3 +426,31 @@ def field_values(table: DataFrame, keys: list[str] | None = None) -> DataFrame:
         return table.select(*keys, F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value")).limit(0)
     text = lambda c: F.to_json(F.col(f"`{c}`")) if isinstance(table.schema[c].dataType, (T.StructType, T.ArrayType)) else F.col(f"`{c}`").cast("string")
     return table.select(*keys, F.explode(F.array(*[F.struct(F.lit(c).alias("field"), text(c).alias("value")) for c in fields])).alias("x")).select(*keys, "x.*")
+
+
+def path_counts(table: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Values of each path of the consistent table over all records: path (as in the migration rules), n_values (not null)."""
+    keys = keys or ["stream", "file", "version", "line"]
+
+    def walk(kind: T.DataType, path: str) -> Iterator[tuple[str, int]]:
+        if isinstance(kind, T.StructType):
+            for f in kind:
+                yield from walk(f.dataType, f"{path}.{f.name}" if path else f.name)
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            yield from walk(kind.elementType, f"{path}[]")
+        else:
+            yield path, path.count("[]")
+
+    found = list(walk(T.StructType([f for f in table.schema if f.name not in keys]), ""))
+    counts = []
+    for path, depth in found:
+        column = nested.values_of(path)
+        for _ in range(depth - 1):
+            column = F.flatten(F.filter(column, lambda v: v.isNotNull()))
+        n = F.coalesce(F.size(F.filter(column, lambda v: v.isNotNull())), F.lit(0)) if depth else column.isNotNull().cast("int")
+        counts.append(F.sum(F.when(column.isNotNull(), n).otherwise(0)).alias(path.replace(".", "/")))
+    if not found:
+        return table.sparkSession.createDataFrame([], "path string, n_values bigint")
+    one = table.agg(*counts)
+    rows = F.array(*[F.struct(F.lit(p).alias("path"), F.coalesce(F.col(f"`{p.replace('.', '/')}`"), F.lit(0)).cast("bigint").alias("n_values")) for p, _ in found])
+    return one.select(F.explode(rows).alias("x")).select("x.*")

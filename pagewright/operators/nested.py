@@ -166,7 +166,7 @@ class Aligned:
     ordinals: Sequence[str]
 
 
-def _column(path: str) -> Column:
+def values_of(path: str) -> Column:
     """A path as nested arrays: ``a[].b`` is the array of the b of each a."""
     steps = path.split(".")
 
@@ -235,7 +235,7 @@ def related(df: DataFrame, key: Sequence[str], aligned: Sequence[Aligned] = (),
                 label, value, leaf = f"n_{label}", lambda c: F.when(c.isNotNull(), F.size(c)), T.IntegerType()
             else:
                 value, leaf = (lambda c: c), kind
-            nested = _column(path)
+            nested = values_of(path)
             for _ in range(depth):
                 leaf = T.ArrayType(leaf)
             columns[_free(label, taken)] = (_each(nested, depth, value) if counts else nested, leaf)

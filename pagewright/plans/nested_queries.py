@@ -77,7 +77,7 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p7_consistent(spark: SparkSession, sf: str) -> DataFrame:
     """All records of all streams in one table."""
-    return drift.consistent(table(spark, sf, "raw_page_records"), row="raw_id")
+    return drift.consistent(table(spark, sf, "raw_page_records"))
 
 
 def p7_fields(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,8 +85,13 @@ def p7_fields(spark: SparkSession, sf: str) -> DataFrame:
     return drift.field_values(p7_consistent(spark, sf))
 
 
+def p7_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Values of each path of the consistent table."""
+    return drift.path_counts(p7_consistent(spark, sf))
+
+
 def queries() -> dict:
-    own = (p5_found, p5_chunks, p5_groups, p5_nodes, p5_boxes, p5_texts, p5_pages, p5_page_boxes, p5_page_numbers, p7_found, p7_consistent, p7_fields)
+    own = (p5_found, p5_chunks, p5_groups, p5_nodes, p5_boxes, p5_texts, p5_pages, p5_page_boxes, p5_page_numbers, p7_found, p7_consistent, p7_fields, p7_paths)
     return {f.__name__: f for f in own}
 
 
@@ -113,7 +118,8 @@ def oracle_sql() -> dict[str, str]:
         "p5_pages": "select distinct page_id, image_dims.w image_dims_w, image_dims.h image_dims_h, cast(len(boxes) as int) n_boxes, metadata.mode metadata_mode, metadata.grounding metadata_grounding, metadata.has_boxes metadata_has_boxes, metadata.engine metadata_engine, prompt_type from ocr_pages",
         "p5_page_boxes": "with e as (select page_id, unnest(range(len(boxes))) i, unnest(boxes) b from ocr_pages) select distinct page_id, cast(i as bigint) box_no, b.label as label, cast(len(b.box) as int) n_numbers, md5(b.text_content) text_md5 from e",
         "p5_page_numbers": "with e as (select page_id, unnest(range(len(boxes))) i, unnest(boxes) b from ocr_pages) select distinct page_id, cast(i as bigint) no_1, cast(unnest(range(len(b.box))) as bigint) no_2, unnest(b.box) as value from e",
-        "p7_found": _P7,
+        "p7_found": _P7 + "select distinct o.f file_name, change_kind, old_path, new_path from ch join o using (s, n)",
+        "p7_paths": _P7.replace("with r as", "with recursive r as") + _P7_NAMES,
     }
 
 
@@ -145,5 +151,21 @@ ch as (
   union all select s, n, 'removed', p, '' from g2 where (s, n, p) not in (select (s, n, old_path) from r2)
   union all select s, n, 'added', '', p from c2 where (s, n, p) not in (select (s, n, new_path) from r2)
   union all select nw.s, nw.n, 'retyped', nw.p, nw.p from nw join od on od.s = nw.s and od.n = nw.n - 1 and od.p = nw.p where nw.t <> od.t and nw.t <> '' and od.t <> '')
-select distinct o.f file_name, change_kind, old_path, new_path from ch join o using (s, n)
+"""
+#: Names carried along the files of a stream by the renames; names of other streams taken over; then values counted by name.
+_P7_NAMES = """,
+rn as (select s, n, old_path, new_path from ch where change_kind = 'renamed'),
+al as (select c.s, c.n, c.p, coalesce(rn.old_path, c.p) pred from c left join rn on rn.s = c.s and rn.n = c.n and rn.new_path = c.p),
+cn as (select s, n, p, p canon from al where not exists (select 1 from c b where b.s = al.s and b.n = al.n - 1 and b.p = al.pred)
+  union all select al.s, al.n, al.p, cn.canon from cn join al on al.s = cn.s and al.n = cn.n + 1 and al.pred = cn.p),
+st as (select canon, count(distinct s) k from cn group by canon),
+pr as (select distinct cn.canon, cn.p, a.k ka from cn join st a on a.canon = cn.canon join st b on b.canon = cn.p where cn.p <> cn.canon and b.k < a.k
+  and not exists (select 1 from cn x join cn y on x.s = y.s where x.canon = cn.canon and y.canon = cn.p)),
+mp as (select p, arg_max(canon, (ka, canon)) as goal from pr group by p),
+fin as (select cn.s, cn.n, cn.p, coalesce(mp.goal, cn.canon) canon from cn left join mp on mp.p = cn.canon),
+rec as (select distinct stream_key s, file_name f, line_no, payload p from raw_page_records where json_valid(payload) and json_type(payload) = 'OBJECT'),
+ev as (select rec.s, rec.f, regexp_replace(replace(regexp_replace(t.fullkey, '^\\$\\.?', ''), '"', ''), '\\[[0-9]+\\]', '[]', 'g') p, t.type y, t.value v from rec, json_tree(rec.p) t where not ends_with(t.fullkey, ']') and t.fullkey <> '$' and t.type not in ('OBJECT', 'NULL')),
+lv as (select * from ev where not (y = 'ARRAY' and len(list_filter(json_extract(v, '$[*]'), lambda x: json_type(x) = 'OBJECT')) > 0)),
+kv as (select fin.canon, lv.y, lv.v from lv join o on o.s = lv.s and o.f = lv.f join fin on fin.s = lv.s and fin.n = o.n and fin.p = lv.p)
+select canon path, count(*) n_values from kv where not exists (select 1 from fin where starts_with(fin.canon, kv.canon || '.') or starts_with(fin.canon, kv.canon || '[')) group by canon
 """

@@ -59,33 +59,37 @@ def test_merge_types(types, want):
 
 def test_consistent_table(spark):
     data = rows([{"d": {"w": 1}, "t": "x"}], [{"d": {"width": 2}, "t": "y"}], [{"d": {"img_w": 2.5}, "t": None}])
-    got = drift.consistent(spark.createDataFrame(data + data, SCHEMA), row=None)
+    got = drift.consistent(spark.createDataFrame(data + data, SCHEMA))
     assert {(r.file, r.d.w, r.t) for r in got.collect()} == {("s0", 1.0, "x"), ("s1", 2.0, "y"), ("s2", 2.5, None)}
     assert got.count() == 3
-    with_default = drift.consistent(spark.createDataFrame(data, SCHEMA), row=None, defaults={"t": "none", "nowhere": 1})
+    with_default = drift.consistent(spark.createDataFrame(data, SCHEMA), defaults={"t": "none", "nowhere": 1})
     assert {r.t for r in with_default.collect()} == {"x", "y", "none"}
     assert drift.field_values(got).filter("field = 't' and value is null").count() == 1
 
 
 def test_old_name_that_comes_back_is_another_field(spark):
     data = rows([{"a": 1}], [{"b": 2}], [{"b": 3, "a": "x"}], [{"b": 4}], [{"a": "y", "b": 5}])
-    got = drift.consistent(spark.createDataFrame(data, SCHEMA), row=None)
+    got = drift.consistent(spark.createDataFrame(data, SCHEMA))
     assert dict(got.dtypes)["a"] == "bigint" and dict(got.dtypes)["a#2"] == "string"
     assert [(r["a"], r["a#2"]) for r in got.orderBy("file").collect()] == [(1, None), (2, None), (3, "x"), (4, None), (5, "y")]
     # a field that is taken away and comes back under its own name is the same
-    again = drift.consistent(spark.createDataFrame(rows([{"a": 1, "c": 1}], [{"c": 1}], [{"a": 2, "c": 1}]), SCHEMA), row=None)
+    again = drift.consistent(spark.createDataFrame(rows([{"a": 1, "c": 1}], [{"c": 1}], [{"a": 2, "c": 1}]), SCHEMA))
     assert "a#2" not in again.columns and [r.a for r in again.orderBy("file").collect()] == [1, None, 2]
 
 
 def test_one_name_for_all_streams_nested_arrays_and_rows_delivered_twice(spark):
     data = rows([{"n": [{"w": 1, "k": []}]}], [{"n": [{"width": 2, "k": [{"z": True}]}, {"width": 3}]}], [{"n": []}], stream="s")
     data += rows([{"n": [{"width": 7}], "v": [1, "x"]}], stream="t") + rows([{"n": [{"w": 4}]}], stream="u")
-    df = spark.createDataFrame([(*r, i) for i, r in enumerate(data + data[:3])], SCHEMA + ", raw_id bigint")
-    got = {r.file: r for r in drift.consistent(df, row="raw_id").collect()}
+    df = spark.createDataFrame(data + data[:3], SCHEMA)
+    rows_ = drift.consistent(df).collect()
+    got = {r.file: r for r in rows_}
+    assert len(rows_) == len(data)
+    counts = {r.path: r.n_values for r in drift.path_counts(drift.consistent(df)).collect()}
+    assert counts == {"n[].w": 5, "n[].k[].z": 1, "v": 1}
     assert {f: [x.w for x in r.n] for f, r in got.items()} == {"s0": [1], "s1": [2, 3], "s2": [], "t0": [7], "u0": [4]}
     assert got["s0"].n[0].k == [] and got["s1"].n[0].k[0].z is True and got["s1"].n[1].k is None
     # a value of one file where others have fields, and names of mixed types
-    mixed = drift.consistent(spark.createDataFrame(rows([{"d": 5}], [{"d": {"x": 1}}], ["{broken"]), SCHEMA), row=None)
+    mixed = drift.consistent(spark.createDataFrame(rows([{"d": 5}], [{"d": {"x": 1}}], ["{broken"]), SCHEMA))
     assert {(r.d._value, r.d.x) for r in mixed.collect()} == {(5, None), (None, 1)}
 
 
