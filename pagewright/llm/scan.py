@@ -586,9 +586,14 @@ def edge_lines(pages: DataFrame) -> DataFrame:
     digits = F.translate(F.col("x.raw"), "０１２３４５６７８９　／－．", "0123456789 /-.")
     line = F.trim(digits)
     out = both.select("page_id", "doc_key", "page", "n", "above", "top", "bottom", "box_no", "label", "x.first", line.alias("line")).filter("line <> ''")
+    # what can be neither head nor number goes first, by the line's ends alone: most lines are running text
+    begin, end = F.left("line", F.lit(1)), F.right("line", F.lit(1))
+    numbered = begin.rlike(r"[0-9ivxlcIVXLC\s\-—–·•.|~*第pPS]") & end.rlike(r"[0-9ivxlcIVXLC\s\-—–·•.|~*页頁]") | begin.rlike("[0-9]") | end.rlike("[0-9]")
+    out = out.filter(numbered | (F.col("first") & F.col("top") & F.col("above") & ~end.rlike("[。！？!?;；，,：:.]")))
     bare = F.regexp_extract("line", _BARE, 1)
     lead_n, lead_t = F.regexp_extract("line", _LEAD, 1), F.regexp_extract("line", _LEAD, 2)
-    tail_t, tail_n = F.regexp_extract("line", _TAIL, 1), F.regexp_extract("line", _TAIL, 2)
+    tail = F.when(F.right("line", F.lit(1)).rlike("[0-9]"), F.col("line")).otherwise("")
+    tail_t, tail_n = F.regexp_extract(tail, _TAIL, 1), F.regexp_extract(tail, _TAIL, 2)
     number = F.when(bare != "", bare).when(lead_n != "", lead_n).when(tail_n != "", tail_n)
     head = F.when(bare != "", F.lit(None)).when(lead_n != "", lead_t).when(tail_n != "", tail_t).otherwise(F.col("line"))
     key = F.lower(F.regexp_replace(head, r"[\s​-‏⁠﻿]", ""))
