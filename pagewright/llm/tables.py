@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.operators.deliveries import BROADCAST
+from pagewright.operators.deliveries import once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,15 +49,5 @@ def filled(text: Column) -> Column:
 
 
 def once_by_hash(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Each key and text once. Hashes are compared, so that texts of keys which occur once aren't moved."""
-    hashed = df.withColumn("__h", F.xxhash64(text))
-    more = hashed.groupBy(key, "__h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    n = more.limit(BROADCAST + 1).count()
-    if n == 0:
-        return df
-    if n > BROADCAST:
-        return hashed.dropDuplicates([key, "__h"]).drop("__h")
-    twice = F.broadcast(more.select(F.col(key).alias("__k"), F.col("__h").alias("__x"), F.lit(True).alias("__twice")))
-    marked = hashed.join(twice, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__h") == F.col("__x")), "left")
-    repeated = marked.filter("__twice").dropDuplicates([key, "__h"])
-    return marked.filter("__twice is null").unionByName(repeated).select(df.columns)
+    """Each key and text once; texts of keys that occur once aren't moved."""
+    return once(df, [key], text)
