@@ -62,12 +62,16 @@ def document_islands(b: DataFrame, plain: bool = False, others: bool = False) ->
     With ``others``, blocks that are no text are rows too, each its own head.
     """
     light = (_kept(b) if others else _kept(b).filter("is_text")).select("doc_key", "page", "page_id", "box_no", "label", "is_text", X.cut_off(F.col("text")).alias("cut"))
+    return _with_heads(light, plain).select("page_id", "box_no", F.col("head.page_id").alias("head_page_id"), F.col("head.box_no").alias("head_no"))
+
+
+def _with_heads(light: DataFrame, plain: bool) -> DataFrame:
+    """Adds head (page, page_id, box_no of the block that a block's paragraph begins with)."""
     order = Window.partitionBy("doc_key", "is_text").orderBy("page", "page_id", "box_no")
     same = F.lit(True) if plain else (F.col("label") == "text") & (F.lag("label").over(order) == "text")
     joins = F.coalesce(F.col("is_text") & same & F.lag("cut").over(order), F.lit(False))
-    marked = light.withColumn("head", F.when(~joins, F.struct("page_id", "box_no")))
-    found = marked.withColumn("head", F.last("head", True).over(order))
-    return found.select("page_id", "box_no", F.col("head.page_id").alias("head_page_id"), F.col("head.box_no").alias("head_no"))
+    marked = light.withColumn("head", F.when(~joins, F.struct("page", "page_id", "box_no")))
+    return marked.withColumn("head", F.last("head", True).over(order))
 
 
 def paragraphs(b: DataFrame, islands: DataFrame) -> DataFrame:
@@ -109,8 +113,12 @@ def pack(rows: DataFrame, limit: int = 1024, glue: int = 1) -> DataFrame:
     length of a section or document; texts join their chunk afterwards.
     """
     is_table = F.col("content").contains("<table>")
-    opens = is_table | F.col("content").startswith("#")
-    light = rows.select("doc_key", "page", "page_id", "box_no", F.length("content").alias("n"), opens.alias("opens"), is_table.alias("alone"))
+    light = rows.select("doc_key", "page", "page_id", "box_no", F.length("content").alias("n"), (is_table | F.col("content").startswith("#")).alias("opens"), is_table.alias("alone"))
+    return rows.join(_packed(light, limit, glue), ["page_id", "box_no"])
+
+
+def _packed(light: DataFrame, limit: int, glue: int) -> DataFrame:
+    """page_id, box_no, section, chunk_no of items given by place, length n, opens and alone."""
     ordered = light.repartition("doc_key").sortWithinPartitions("doc_key", "page", "page_id", "box_no")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,8 +142,27 @@ def pack(rows: DataFrame, limit: int = 1024, glue: int = 1) -> DataFrame:
                 chunks_.append(chunk)
             yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(sections, pa.int64()), pa.array(chunks_, pa.int64())], names=["page_id", "box_no", "section", "chunk_no"])
 
-    packed = ordered.mapInArrow(run, "page_id bigint, box_no int, section bigint, chunk_no bigint")
-    return rows.join(packed, ["page_id", "box_no"])
+    return ordered.mapInArrow(run, "page_id bigint, box_no int, section bigint, chunk_no bigint")
+
+
+def packed_chunks(b: DataFrame, plain: bool = False, limit: int = 1024, glue: int = 1) -> DataFrame:
+    """``chunks(pack(items(b)))`` without gathering paragraphs first: what packing needs to know of a paragraph (its length,
+    whether it is a heading or holds a table) is summed up over flags and lengths of its blocks, and each text moves to its
+    place once and to its chunk once."""
+    t = X.label_prefix(F.col("label"), F.col("text"))
+    light = _kept(b).select("doc_key", "page", "page_id", "box_no", "label", "is_text", X.cut_off(F.col("text")).alias("cut"), F.length(t).alias("n"), t.startswith("#").alias("sign"), t.contains("<table>").alias("alone"))
+    found = _with_heads(light, plain)
+    own = (F.col("page_id") == F.col("head.page_id")) & (F.col("box_no") == F.col("head.box_no"))
+    heads = found.groupBy("doc_key", "head").agg((F.sum("n") + F.count(F.lit(1)) - 1).alias("n"), F.max("alone").alias("alone"), F.max(own & F.col("sign")).alias("sign"))
+    packed = _packed(heads.select("doc_key", "head.page", "head.page_id", "head.box_no", F.col("n").cast("int").alias("n"), (F.col("alone") | F.col("sign")).alias("opens"), "alone"), limit, glue)
+    placed = found.select("page_id", "box_no", "head").join(packed.select(F.struct("page_id", "box_no").alias("at"), "section", "chunk_no"), F.struct("head.page_id", "head.box_no") == F.col("at")).select("page_id", "box_no", "head", "section", "chunk_no")
+    texts = _kept(b).select("doc_key", "page", "page_id", "box_no", t.alias("t"))
+    node = F.struct("head", "page", "page_id", "box_no", "t")
+    grouped = texts.join(placed, ["page_id", "box_no"]).groupBy("doc_key", "section", "chunk_no").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
+    # an empty item before another adds no break
+    text = F.expr("aggregate(nodes, '', (acc, x) -> if(acc = '', x.t, concat(acc, '\n', x.t)))")
+    n_items = F.size(F.array_distinct(F.transform("nodes", lambda x: x["head"])))
+    return grouped.select("doc_key", "section", "chunk_no", F.get("nodes", F.lit(0))["head"]["page"].alias("page"), n_items.alias("n_items"), text.alias("content"))
 
 
 def chunks(packed: DataFrame) -> DataFrame:

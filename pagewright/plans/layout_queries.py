@@ -42,12 +42,12 @@ def crosspage_merge_plain(spark: SparkSession, sf: str) -> DataFrame:
 
 def chunk_pack(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: pages to merged paragraphs to chunks of at most 1,024 characters."""
-    return L.chunks(L.pack(L.items(_blocks(spark, sf)))).select("doc_key", "section", "chunk_no", "page", F.col("n_items").cast("bigint").alias("n_items"), "content")
+    return L.packed_chunks(_blocks(spark, sf)).select("doc_key", "section", "chunk_no", "page", F.col("n_items").cast("bigint").alias("n_items"), "content")
 
 
 def chunk_pack_v3(spark: SparkSession, sf: str) -> DataFrame:
     """Packing that doesn't count the breaks between items."""
-    return L.chunks(L.pack(L.items(_blocks(spark, sf)), glue=0)).select("doc_key", "section", "chunk_no", F.col("n_items").cast("bigint").alias("n_items"), F.length("content").alias("content_len"))
+    return L.packed_chunks(_blocks(spark, sf), glue=0).select("doc_key", "section", "chunk_no", F.col("n_items").cast("bigint").alias("n_items"), F.length("content").alias("content_len"))
 
 
 def boxed_merge(spark: SparkSession, sf: str) -> DataFrame:

@@ -22,7 +22,7 @@ def pages_to_chunks(pages: DataFrame, layer: DataFrame | None = None, limit: int
         fallback = joins.match_boxes(grounding.parse(pages), b).join(grounding.parse(pages).select("page_id", "node_index", "text"), ["page_id", "node_index"]).select("page_id", "box_no", "text")
         fused = fusion.fuse_pages(b, layer, fallback).select("box_key", F.col("text").alias("fused"))
         b = b.join(fused, "box_key").withColumn("text", F.col("fused")).drop("fused")
-    chunks = layout.chunks(layout.pack(layout.items(b, plain), limit))
+    chunks = layout.packed_chunks(b, plain, limit)
     return sinks.with_ids(chunks, ["doc_key"], ["section", "chunk_no"])
 
 

@@ -199,3 +199,20 @@ def test_text_functions(spark):
     ).first()
     assert (one.m, one.j, one.u, one.d, one.n, one.f) == ("a" * 6 + "*" * 4 + "a" * 24, '{"a": {}}', "[1]", "秘", None, "①⑳字")
     assert one.r == "话。[3]" and one.t == "| a |  |\n| --- | --- |\n| b c | d |\n"
+
+
+def test_packed_chunks_are_those_of_items(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = []
+    for d, k in (("a", 60), (None, 25), ("b", 1)):
+        for p in range(k):
+            labels = rng.choices(["text", "text", "text", "title", "image", "table", "sub_title", None], k=rng.randint(0, 6))
+            boxes = [(lb, [0, 0, 9, 9], rng.choice(["", " ", "短句", "没有结束的" * rng.randint(1, 90), "完了。" * rng.randint(1, 200), "<table>x</table>", "# 题"])) for lb in labels]
+            rows.append((1000 * (d == "a") + 500 * (d is None) + p, d, p, (10, 10), boxes))
+    pages = spark.createDataFrame(rows, "page_id bigint, doc_key string, page int, image_dims struct<w:int,h:int>, boxes array<struct<label:string,box:array<int>,text_content:string>>")
+    b = L.blocks(pages)
+    for plain in (False, True):
+        want = sorted(map(tuple, L.chunks(L.pack(L.items(b, plain))).collect()), key=str)
+        assert sorted(map(tuple, L.packed_chunks(b, plain).collect()), key=str) == want and len(want) > 20
