@@ -11,6 +11,7 @@ its box) and its repetition over the pages of a book.
 
 from __future__ import annotations
 
+import gc
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass
@@ -644,6 +645,13 @@ def running_heads(lines: DataFrame) -> DataFrame:
     return exact.unionByName(labelled).unionByName(fuzzy).distinct()
 
 
+def _freed(df: DataFrame) -> DataFrame:
+    """The table, after the driver has let go of the plans and broadcasts that made it: long chains of jobs pile them up."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.java.lang.System.gc()
+    return df
+
+
 def _boxes(pages: DataFrame) -> DataFrame:
     """Boxes with the text of the next box of their page."""
     exploded = pages.select("page_id", F.col("boxes").alias("all"), F.posexplode("boxes").alias("box_no", "b"))
@@ -680,14 +688,14 @@ def analysed(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEX
     texts = _boxes(pages)
     table, forms = operations(texts, "text")
     weights = fitted(texts, "text", train_texts, table)
-    lines = edge_lines(pages).checkpoint()
-    heads, numbers = running_heads(lines).checkpoint(), page_numbers(lines).checkpoint()
+    lines = _freed(edge_lines(pages).checkpoint())
+    heads, numbers = running_heads(lines).checkpoint(), _freed(page_numbers(lines).checkpoint())
     raw = confirmed(proposals(texts, "box_key", "text", weights, "following", table).checkpoint(), forms)
     opened = raw.filter("kind like 'open%'")
-    proposed = raw.filter("kind not like 'open%'").unionByName(_continued(opened, pages, heads)).checkpoint()
+    proposed = _freed(raw.filter("kind not like 'open%'").unionByName(_continued(opened, pages, heads)).checkpoint())
     joins = divided(proposed, "box_key", vocabulary(texts, "text"))
     mended = proposed.filter("kind = 'misread'").unionByName(proposed.filter("kind <> 'misread'").join(joins, ["box_key", "pos"], "left_semi").withColumn("kind", F.lit("split_word")).select(proposed.columns))
-    return mended.select("box_key", "kind", "pos", "written", "printed").checkpoint(), heads, numbers
+    return _freed(mended.select("box_key", "kind", "pos", "written", "printed").checkpoint()), heads, numbers
 
 
 def defects(pages: DataFrame, spark: SparkSession, train_texts: int = TRAIN_TEXTS) -> DataFrame:
